@@ -23,22 +23,22 @@ def half_octave_bounds(low: int = -16, high: int = 34) -> tuple[float, ...]:
     )
 
 
-def bucket_index(value_us: Column, bounds: Sequence[float]) -> Column:
-    """Bucket number of a value in microseconds; upper bounds (seconds) are inclusive.
+def bucket_index(value_us: str, bounds: Sequence[float]) -> Column:
+    """Bucket number of a column in microseconds; upper bounds (seconds) are inclusive.
 
     A balanced tree of comparisons: it stays inside generated code and costs log2(n)
     comparisons per row.
     """
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
         # value <= bound in seconds, compared as whole microseconds
-        limit = F.lit(int(Decimal(str(bounds[mid])) * 1_000_000))
-        return F.when(value_us <= limit, tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        limit = int(Decimal(str(bounds[mid])) * 1_000_000)
+        return f"if(`{value_us}` <= {limit}L, {tree(lo, mid)}, {tree(mid + 1, hi)})"
 
-    return tree(0, len(bounds))
+    return F.expr(tree(0, len(bounds)))
 
 
 def histogram_buckets(
@@ -53,7 +53,7 @@ def histogram_buckets(
     value = F.col(value_us)
     return (
         df.where(value.isNotNull())
-        .withColumn("bucket", bucket_index(value, bounds))
+        .withColumn("bucket", bucket_index(value_us, bounds))
         .groupBy(*attrs, "bucket")
         .agg(
             F.count(F.lit(1)).alias("bucket_count"),
@@ -94,7 +94,7 @@ def histogram(
             F.max("max_us").alias("max_us"),
             by_bucket.alias("_by_bucket"),
         )
-        .withColumn("bounds", F.array(*[F.lit(float(b)) for b in bounds]))
+        .withColumn("bounds", F.expr(f"array({', '.join(f'{float(b)!r}D' for b in bounds)})"))
         .withColumn("bucket_counts", counts)
         .drop("_by_bucket")
     )

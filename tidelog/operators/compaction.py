@@ -13,7 +13,8 @@ def latest_per_key(log: DataFrame, drop_null_values: bool = False) -> DataFrame:
     key before the shuffle, so a hot key costs one row per task. A null value is a value
     like any other unless it is asked to delete its key.
     """
-    newest = log.groupBy("topic", "rkey").agg(
+    # the key comes first: topics share a prefix, which makes them slow to sort by
+    newest = log.groupBy("rkey", "topic").agg(
         F.max_by(F.struct("rvalue", "roff"), "roff").alias("_newest")
     )
     rows = newest.select("topic", "rkey", "_newest.rvalue", "_newest.roff")

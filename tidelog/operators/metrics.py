@@ -243,7 +243,8 @@ def topic_bytes_written(batches: DataFrame) -> DataFrame:
 def message_delay(polls: DataFrame) -> DataFrame:
     """``polls`` with ``delay_us``: how long before its poll a record was written.
 
-    The poll's time is that of its newest record. The window's groups are single polls.
+    The poll's time is that of its newest record. The window's groups are single polls, and
+    its sort follows the order the log is stored in.
     """
     poll = Window.partitionBy("topic", "part", "poll_id")
     return polls.withColumn("delay_us", F.max("ts_us").over(poll) - F.col("ts_us"))

@@ -22,8 +22,13 @@ GROUPS = {"consumer1": 1, "consumer2": 2, "consumer3": 3, "consumer4": 4}
 _stored: dict[tuple[str, str, str], LogTable] = {}
 
 
-def micros(ts: str) -> Column:
-    """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
+def micros(spark: SparkSession, ts: str) -> Column:
+    """Microseconds since 1970 of a timestamp without zone, whatever the session's zone.
+
+    In a UTC session a cast does it; elsewhere the slower way by subtraction is needed.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z", "GMT"):
+        return F.unix_micros(F.col(ts).cast("timestamp"))
     return F.expr(
         f"cast(cast(cast({ts} - timestamp_ntz'1970-01-01 00:00:00' as interval second)"
         " as decimal(18,6)) * 1000000 as bigint)"
@@ -57,7 +62,7 @@ class Inputs:
             F.col("event_type").alias("topic"),
             F.col("user_id").cast("string").alias("rkey"),
             F.col("props").alias("rvalue"),
-            micros("ts").alias("ts_us"),
+            micros(self.spark, "ts").alias("ts_us"),
             F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
             "event_id",
         )
@@ -83,7 +88,7 @@ class Inputs:
                 F.concat("l_returnflag", "l_linestatus").alias("topic"),
                 F.col("l_orderkey").cast("string").alias("rkey"),
                 F.concat_ws(":", "l_partkey", "l_suppkey", "l_linenumber").alias("rvalue"),
-                micros("l_shipdate").alias("ts_us"),
+                micros(self.spark, "l_shipdate").alias("ts_us"),
                 F.col("l_quantity").cast("int").alias("k"),
                 *order,
             )
@@ -96,7 +101,7 @@ class Inputs:
 
         return self._log("lines", build)
 
-    @property
+    @cached_property
     def record_log(self) -> DataFrame:
         return self.log_table.read(self.spark)
 
@@ -176,7 +181,7 @@ class Inputs:
             )
         )
 
-    @property
+    @cached_property
     def ends(self) -> DataFrame:
         return self.log_table.ends(self.spark)
 

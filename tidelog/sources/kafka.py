@@ -6,6 +6,8 @@ as dictionaries; loading the format then fails in Spark itself.
 
 from __future__ import annotations
 
+import json
+
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,20 @@ def source_options(
     return options
 
 
+def starting_offsets(ends: DataFrame, positions: DataFrame) -> str:
+    """``startingOffsets`` that resumes a group: its position in each partition, or the start.
+
+    ``ends`` lists the partitions; the text has one number for each of them.
+    """
+    known = ends.select("topic", "part").join(positions, ["topic", "part"], "left")
+    # Fixed value: -2 is the connector's code for the earliest offset.
+    rows = known.select("topic", "part", F.coalesce("position", F.lit(-2)).alias("at")).collect()
+    offsets: dict[str, dict[str, int]] = {}
+    for row in rows:
+        offsets.setdefault(row["topic"], {})[str(row["part"])] = row["at"]
+    return json.dumps(offsets, sort_keys=True)
+
+
 def replay_options(brokers: str, topic: str) -> dict[str, str]:
     """Batch options for a compacted topic, start to current end; no namespace is added."""
     return {

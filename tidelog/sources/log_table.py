@@ -107,9 +107,11 @@ def write_log(
     segments = spark.read.schema(
         "topic string, part int, _seg int, _first bigint, _n bigint, _shift bigint"
     ).parquet(segments_at)
-    segments.groupBy(*where).agg(F.sum("_n").alias("end_off")).write.parquet(f"{path}/ends")
+    ends = segments.groupBy(*where).agg(F.sum("_n").alias("end_off"), F.count("_seg").alias("_segments"))
+    ends.select(*where, "end_off").write.parquet(f"{path}/ends")
+    sizes = ends.agg(F.count(F.lit(1)), F.coalesce(F.sum("_segments"), F.lit(0))).first()
 
-    shifts = bounded(segments.select(*where, "_seg", "_shift"), segments.count())
+    shifts = bounded(segments.select(*where, "_seg", "_shift"), sizes[1])
     logged = (
         staged.join(shifts, [*where, "_seg"])
         .withColumn("roff", F.col("_row") + F.col("_shift"))
@@ -123,5 +125,4 @@ def write_log(
     )
     fields = {f.name: f for f in logged.schema.fields}
     stored = [f for name, f in fields.items() if name not in where] + [fields[c] for c in where]
-    count = spark.read.schema("topic string").parquet(f"{path}/ends").count()
-    return LogTable(path, T.StructType(stored), count)
+    return LogTable(path, T.StructType(stored), sizes[0])

@@ -30,7 +30,7 @@ def poll_id(offset: Column, max_poll: int = DEFAULT_MAX_POLL) -> Column:
     """Number of the poll a record comes in: at most ``max_poll`` records of a partition."""
     if max_poll < 1:
         raise ValueError("max poll records must be positive")
-    return ((offset - offset % max_poll) / max_poll).cast("bigint")
+    return F.call_function("div", offset, F.lit(max_poll).cast("bigint"))
 
 
 def with_polls(log: DataFrame, max_poll: int = DEFAULT_MAX_POLL) -> DataFrame:

@@ -123,6 +123,19 @@ def consume_groups(
     }
 
 
+def resume(stream: DataFrame, position: DataFrame) -> DataFrame:
+    """What a group that starts anew reads: each partition from its committed position.
+
+    A restart on the same checkpoint goes on after the last finished batch. A new run,
+    with a folder of its own, starts from the commits of the old one instead, so under
+    at-least-once delivery it gets the failed rows at or above them again. A partition
+    without a commit is read from its start.
+    """
+    marks = position.select(*PARTITION, "position")
+    unread = F.col("position").isNull() | (F.col("roff") >= F.col("position"))
+    return stream.join(marks, PARTITION, "left").where(unread).select(*stream.columns)
+
+
 def _stored(schema: T.StructType) -> T.StructType:
     return T.StructType(
         schema.fields
