@@ -23,7 +23,7 @@ def source(spark):
         def add(self, offsets, part=0, value="v"):
             data = [("t", part, o, f"k{o % 3}", f"{value}{o}") for o in offsets]
             df = spark.createDataFrame(data, "topic string, part int, roff bigint, rkey string, rvalue string")
-            df.withColumn("ts", F.timestamp_seconds("roff")).coalesce(1).write.mode("append").parquet(path)
+            df.withColumn("ts", F.timestamp_seconds(F.col("roff") + 1_000_000_000)).coalesce(1).write.mode("append").parquet(path)
 
         def stream(self):
             return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)

@@ -19,7 +19,9 @@ from tidelog.sources.envelope import to_envelope, to_record
 from tidelog.sources.log_table import choose_codec, write_log
 from tidelog.sources.shared import new_folder
 
-COUNT = F.count(F.lit(1)).alias("num_records")
+
+def num_records() -> Column:
+    return F.count(F.lit(1)).alias("num_records")
 
 
 # ---- scans -------------------------------------------------------------------------
@@ -43,7 +45,7 @@ def scan_topics(i: Inputs) -> DataFrame:
 )
 def scan_topics_regex(i: Inputs) -> DataFrame:
     found = scan.scan_topics_regex(i.record_log, ["click|gnu", "p.*e$"], NAMESPACE)
-    return found.groupBy("topic", "part").agg(COUNT, F.max("roff").alias("last_off"))
+    return found.groupBy("topic", "part").agg(num_records(), F.max("roff").alias("last_off"))
 
 
 @query(
@@ -83,7 +85,7 @@ def consumer_groups(i: Inputs) -> DataFrame:
 )
 def resume_from_commit(i: Inputs) -> DataFrame:
     rows = scan.from_commit(i.record_log, i.committed_offsets)
-    return rows.groupBy("grp", "topic", "part").agg(F.min("roff").alias("first_off"), COUNT)
+    return rows.groupBy("grp", "topic", "part").agg(F.min("roff").alias("first_off"), num_records())
 
 
 @query(
@@ -150,7 +152,7 @@ def route_by_key(i: Inputs) -> DataFrame:
     route = partition_for_key(F.col("rkey"), F.col("roff"), PARTS)
     return keyed.groupBy(
         "topic", F.coalesce("rkey", F.lit("")).alias("rkey"), route.alias("route")
-    ).agg(COUNT)
+    ).agg(num_records())
 
 
 @query(
@@ -160,7 +162,7 @@ def route_by_key(i: Inputs) -> DataFrame:
 )
 def custom_partitioner(i: Inputs) -> DataFrame:
     routed = to_envelope(i.event_records, NAMESPACE, PARTS, partitioner=F.col("k") % 3)
-    return routed.groupBy("topic", "part").agg(COUNT)
+    return routed.groupBy("topic", "part").agg(num_records())
 
 
 @query(
@@ -175,7 +177,7 @@ def sink_compression(i: Inputs) -> DataFrame:
     rows.write.option("compression", codec).partitionBy("topic").parquet(path)
     back = i.spark.read.schema(rows.schema).parquet(path)
     return back.groupBy(F.lit(codec).alias("codec"), "topic").agg(
-        COUNT, F.sum(F.length("rvalue")).alias("raw_bytes")
+        num_records(), F.sum(F.length("rvalue")).alias("raw_bytes")
     )
 
 
@@ -203,7 +205,7 @@ def delivery_report(i: Inputs) -> DataFrame:
 )
 def add_namespace_query(i: Inputs) -> DataFrame:
     wire = add_namespace(F.col("topic"), NAMESPACE).alias("wire_topic")
-    return i.event_records.groupBy("topic").agg(COUNT).select("topic", wire, "num_records")
+    return i.event_records.groupBy("topic").agg(num_records()).select("topic", wire, "num_records")
 
 
 @query(
@@ -212,7 +214,7 @@ def add_namespace_query(i: Inputs) -> DataFrame:
         from bare_and_foreign group by topic""",
 )
 def strip_namespace_query(i: Inputs) -> DataFrame:
-    counts = i.bare_and_foreign.groupBy("topic").agg(COUNT)
+    counts = i.bare_and_foreign.groupBy("topic").agg(num_records())
     return counts.withColumn("bare_topic", strip_namespace(F.col("topic"), NAMESPACE))
 
 
@@ -222,7 +224,7 @@ def strip_namespace_query(i: Inputs) -> DataFrame:
        where starts_with(topic, 'name_space-') group by topic""",
 )
 def filter_namespace(i: Inputs) -> DataFrame:
-    return in_namespace(i.bare_and_foreign, NAMESPACE).groupBy("topic").agg(COUNT)
+    return in_namespace(i.bare_and_foreign, NAMESPACE).groupBy("topic").agg(num_records())
 
 
 @query("to_record", f"select {bare()} as topic, part, rkey, rvalue from record_log")
@@ -485,7 +487,7 @@ def redelivery_dedup(i: Inputs) -> DataFrame:
     committed = i.committed_offsets.where(F.col("grp") == "consumer2")
     again = scan.from_commit(log, committed).select(*log.columns)
     once = delivery.redelivery_dedup(log.unionByName(again))
-    return once.groupBy("topic", "part").agg(COUNT, F.max("roff").alias("last_off"))
+    return once.groupBy("topic", "part").agg(num_records(), F.max("roff").alias("last_off"))
 
 
 # ---- compaction --------------------------------------------------------------------
