@@ -74,7 +74,7 @@ def bounded_polls(i: Inputs) -> DataFrame:
        cross join (select distinct grp from committed_offsets) g group by g.grp, topic, part""",
 )
 def consumer_groups(i: Inputs) -> DataFrame:
-    return scan.group_counts(i.record_log, list(GROUPS))
+    return scan.group_counts(i.routed, list(GROUPS))
 
 
 @query(
@@ -229,7 +229,7 @@ def filter_namespace(i: Inputs) -> DataFrame:
 
 @query("to_record", f"select {bare()} as topic, part, rkey, rvalue from record_log")
 def to_record_query(i: Inputs) -> DataFrame:
-    return to_record(i.record_log, NAMESPACE)
+    return to_record(i.routed, NAMESPACE)
 
 
 def _header(key: str, value: Column) -> Column:
@@ -239,7 +239,7 @@ def _header(key: str, value: Column) -> Column:
 def _with_headers(i: Inputs) -> DataFrame:
     """Records with three headers, two of them with the same key."""
     kind = strip_namespace(F.col("topic"), NAMESPACE)
-    return i.record_log.withColumn(
+    return i.routed.withColumn(
         "headers",
         F.array(
             _header("user", F.col("rkey")), _header("kind", kind), _header("user", F.col("k"))
@@ -267,7 +267,7 @@ def map_to_headers(i: Inputs) -> DataFrame:
     metadata = F.create_map(
         F.lit("user"), F.col("rkey"), F.lit("kind"), strip_namespace(F.col("topic"), NAMESPACE)
     )
-    listed = i.record_log.select(
+    listed = i.routed.select(
         "event_id", F.posexplode(hdr.map_to_headers(metadata)).alias("pos", "header")
     )
     return listed.select(
@@ -287,7 +287,7 @@ def enrich_metadata(i: Inputs) -> DataFrame:
     )
     replaced = hdr.enrich(start, F.lit("user"), F.col("k").cast("string"))
     full = hdr.enrich(replaced, F.lit("trace"), F.col("event_id").cast("string"))
-    return i.record_log.select("event_id", F.explode(full).alias("key", "value"))
+    return i.routed.select("event_id", F.explode(full).alias("key", "value"))
 
 
 @query(
@@ -312,7 +312,7 @@ def header_dimensions(i: Inputs) -> DataFrame:
     )
     attributes = F.create_map(F.lit("tier"), F.when(F.col("k") % 2 == 0, "even").otherwise("odd"))
     dims = hdr.record_dimensions(fixed, metadata, attributes, NAMESPACE)
-    return i.record_log.select("event_id", F.explode(dims).alias("key", "value"))
+    return i.routed.select("event_id", F.explode(dims).alias("key", "value"))
 
 
 @query(
@@ -326,7 +326,7 @@ def header_dimensions(i: Inputs) -> DataFrame:
 def topic_attribute_fn(i: Inputs) -> DataFrame:
     """Both forms, on distinct topics: the single pair replaces the tier of two topics."""
     dim = i.topic_dim.withColumn("topic", add_namespace(F.col("topic"), NAMESPACE))
-    topics = i.record_log.select("topic").distinct().join(dim, "topic", "left")
+    topics = i.routed.select("topic").distinct().join(dim, "topic", "left")
     many = F.when(
         F.col("team").isNotNull(),
         F.create_map(F.lit("team"), F.col("team"), F.lit("tier"), F.col("tier")),
@@ -473,7 +473,7 @@ def ordering_check_by_key(i: Inputs) -> DataFrame:
        from record_log group by topic""",
 )
 def consume_rate(i: Inputs) -> DataFrame:
-    return delivery.consume_rate(i.record_log, ["topic"])
+    return delivery.consume_rate(i.routed, ["topic"])
 
 
 @query(
@@ -532,7 +532,7 @@ def below_ten():
        from poll_log group by topic, part""",
 )
 def process_records(i: Inputs) -> DataFrame:
-    rows = i.record_log.select("topic", "part", "roff", "rvalue", "k")
+    rows = i.routed.select("topic", "part", "rvalue", "k")
     done = processing.process_records(rows, below_ten())
     return done.groupBy("topic", "part").agg(
         F.count(F.when(F.col("error").isNull(), 1)).alias("processed"),
@@ -558,7 +558,7 @@ def process_batch(i: Inputs) -> DataFrame:
         for batch in batches:
             batch["rvalue"].str.len().sum()
 
-    done = processing.process_batches(i.record_log.select("topic", "part", "rvalue"), process)
+    done = processing.process_batches(i.routed.select("topic", "part", "rvalue"), process)
     return done.agg(
         F.sum("num_records").alias("num_records"), F.count("error").alias("failed_batches")
     )

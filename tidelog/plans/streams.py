@@ -12,13 +12,11 @@ from tidelog.plans.views import Inputs
 from tidelog.sources.shared import new_folder
 from tidelog.streaming import delivery, stateful
 
-# Files in a micro-batch. The stored log has at least one file per partition.
-FILES = 10
 NEEDED = ["topic", "part", "roff", "rkey", "k"]
 
 
 def _stream(i: Inputs, columns: list[str] | None = None) -> DataFrame:
-    return i.log_table.read_stream(i.spark, FILES).select(*(columns or NEEDED))
+    return i.log_table.read_stream(i.spark).select(*(columns or NEEDED))
 
 
 def _drained(query_handle):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.naming import strip_namespace
 from tidelog.sources.envelope import to_envelope
-from tidelog.sources.log_table import LogTable, write_log
+from tidelog.sources.log_table import LogTable, read_ends, write_ends, write_log
 from tidelog.sources.scan import with_polls
 from tidelog.sources.shared import new_folder
 
@@ -19,7 +19,7 @@ MAX_POLL = 50
 FAILS_BELOW = 10
 GROUPS = {"consumer1": 1, "consumer2": 2, "consumer3": 3, "consumer4": 4}
 
-_stored: dict[tuple[str, str, str], LogTable] = {}
+_stored: dict[tuple[str, str, str], LogTable | str] = {}
 
 
 def micros(spark: SparkSession, ts: str) -> Column:
@@ -39,7 +39,9 @@ class Inputs:
     """The views of one data folder.
 
     Offsets are assigned once per session and folder: the log is written to the shared
-    folder as a table, as a broker would keep it, and every query reads that table.
+    folder as a table, as a broker would keep it, and queries that need offsets read that
+    table. Those that need only where partitions end read a table of counts, and those that
+    need neither read the routed events.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -49,7 +51,7 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _log(self, kind: str, build) -> LogTable:
+    def _once(self, kind: str, build):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, kind)
         if key not in _stored:
             _stored[key] = build()
@@ -67,16 +69,18 @@ class Inputs:
             "event_id",
         )
 
+    @cached_property
+    def routed(self) -> DataFrame:
+        """The records with wire topic and partition, not yet numbered."""
+        part = F.col("rkey").cast("bigint") % PARTS
+        return to_envelope(self.event_records, NAMESPACE, PARTS, partitioner=part).drop("headers")
+
     @cached_property
     def log_table(self) -> LogTable:
         def build() -> LogTable:
-            part = F.col("rkey").cast("bigint") % PARTS
-            envelope = to_envelope(self.event_records, NAMESPACE, PARTS, partitioner=part)
-            return write_log(
-                envelope.drop("headers"), new_folder(self.spark, "events"), ["ts_us", "event_id"]
-            )
+            return write_log(self.routed, new_folder(self.spark, "events"), ["ts_us", "event_id"])
 
-        return self._log("events", build)
+        return self._once("events", build)
 
     @cached_property
     def line_table(self) -> LogTable:
@@ -99,7 +103,7 @@ class Inputs:
                 ["ts_us", *order[1:]],
             )
 
-        return self._log("lines", build)
+        return self._once("lines", build)
 
     @cached_property
     def record_log(self) -> DataFrame:
@@ -183,7 +187,17 @@ class Inputs:
 
     @cached_property
     def ends(self) -> DataFrame:
-        return self.log_table.ends(self.spark)
+        """``topic, part, end_off``, from the stored log if there is one by now."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "events")
+        if key in _stored:
+            return self.log_table.ends(self.spark)
+
+        def build() -> str:
+            path = new_folder(self.spark, "ends")
+            write_ends(self.routed, path)
+            return path
+
+        return read_ends(self.spark, self._once("ends", build))
 
     @property
     def partition_offsets(self) -> DataFrame:
@@ -275,13 +289,13 @@ class Inputs:
             .when(code == 3, "UNKNOWN_TOPIC_OR_PARTITION")
             .when(code == 4, "POLICY_VIOLATION")
         )
-        return self.record_log.select("topic", operation.alias("operation"), err.alias("err"))
+        return self.routed.select("topic", operation.alias("operation"), err.alias("err"))
 
     @property
     def bare_and_foreign(self) -> DataFrame:
         """Topics inside and outside the namespace."""
         bare = strip_namespace(F.col("topic"), NAMESPACE)
         foreign = F.concat(F.lit("other-"), bare)
-        return self.record_log.select(
+        return self.routed.select(
             F.when(F.col("k") < 50, F.col("topic")).otherwise(foreign).alias("topic"), "event_id"
         )

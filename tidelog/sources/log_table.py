@@ -48,16 +48,33 @@ class LogTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.schema).parquet(f"{self.path}/log")
 
-    def read_stream(self, spark: SparkSession, files_per_trigger: int = 64) -> DataFrame:
-        """The log as a file stream; ``files_per_trigger`` bounds a micro-batch."""
+    def read_stream(self, spark: SparkSession, files_per_trigger: int | None = None) -> DataFrame:
+        """The log as a file stream.
+
+        ``files_per_trigger`` bounds a micro-batch; by default it grows with the cluster, a
+        file per core and at least ten.
+        """
+        files = files_per_trigger or max(10, spark.sparkContext.defaultParallelism)
         reader = spark.readStream.schema(self.schema)
-        return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(f"{self.path}/log")
+        return reader.option("maxFilesPerTrigger", files).parquet(f"{self.path}/log")
 
     def ends(self, spark: SparkSession) -> DataFrame:
         """``topic, part, end_off``: the next offset of each partition, without a log scan."""
-        return spark.read.schema("topic string, part int, end_off bigint").parquet(
-            f"{self.path}/ends"
-        )
+        return read_ends(spark, f"{self.path}/ends")
+
+
+def read_ends(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("topic string, part int, end_off bigint").parquet(path)
+
+
+def write_ends(records: DataFrame, path: str) -> DataFrame:
+    """Where each partition of a log of ``records`` ends, without building the log.
+
+    Offsets are dense, so that is the number of its records.
+    """
+    counts = records.groupBy("topic", "part").agg(F.count(F.lit(1)).alias("end_off"))
+    counts.write.parquet(path)
+    return read_ends(records.sparkSession, path)
 
 
 def write_log(
