@@ -7,8 +7,6 @@ depend on ``spark.sql.mapKeyDedupPolicy``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,36 +15,38 @@ EMPTY = "cast(map() as map<string,string>)"
 TRACE_HEADER = "traceparent"
 
 
-def merge_maps(*maps: Column) -> Column:
-    """Union of maps; on an equal key the later map wins. Null maps count as empty."""
+def last_wins(entries: Column) -> Column:
+    """``array<struct<key,value>>`` as a map; of equal keys the last entry stays.
+
+    The array is wrapped and bound to a lambda variable so that it is evaluated once, not
+    once per entry that is compared with it.
+    """
+
+    def to_map(listed: Column) -> Column:
+        kept = F.filter(
+            listed,
+            lambda entry, i: ~F.exists(
+                F.slice(listed, i + F.lit(2), F.size(listed)),
+                lambda later: later["key"] == entry["key"],
+            ),
+        )
+        return F.map_from_entries(kept)
 
-    def merge(older: Column, newer: Column) -> Column:
-        kept = F.map_filter(older, lambda k, _v: ~F.map_contains_key(newer, k))
-        return F.map_concat(kept, newer)
+    return F.get(F.transform(F.array(entries), to_map), F.lit(0))
 
-    return reduce(merge, [F.coalesce(m, F.expr(EMPTY)) for m in maps])
+
+def merge_maps(*maps: Column) -> Column:
+    """Union of maps; on an equal key the later map wins. Null maps count as empty."""
+    return last_wins(F.concat(*[F.map_entries(F.coalesce(m, F.expr(EMPTY))) for m in maps]))
 
 
 def headers_to_map(headers: Column) -> Column:
     """Header list to map; of equal keys the last one wins."""
-    last_only = F.filter(
+    entries = F.transform(
         headers,
-        lambda h, i: ~F.exists(
-            F.slice(headers, i + F.lit(2), F.size(headers)),
-            lambda later: later["key"] == h["key"],
-        ),
-    )
-    return F.coalesce(
-        F.map_from_entries(
-            F.transform(
-                last_only,
-                lambda h: F.struct(
-                    h["key"].alias("key"), h["value"].cast("string").alias("value")
-                ),
-            )
-        ),
-        F.expr(EMPTY),
+        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
     )
+    return F.coalesce(last_wins(entries), F.expr(EMPTY))
 
 
 def map_to_headers(metadata: Column) -> Column:
