@@ -71,11 +71,17 @@ def admin_outcomes(responses: DataFrame) -> DataFrame:
 
 
 def _counted(responses: DataFrame, operation: str, namespace: str) -> DataFrame:
+    """Equal responses are counted first, so labels are worked out once per kind."""
+    kinds = (
+        responses.where(F.col("operation") == operation)
+        .groupBy("operation", "topic", "err")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     return (
-        admin_outcomes(responses.where(F.col("operation") == operation))
+        admin_outcomes(kinds)
         .where(F.col("outcome") != "ignored")
         .groupBy(strip_namespace(F.col("topic"), namespace).alias("topic"), "outcome")
-        .agg(F.count(F.lit(1)).alias("value"))
+        .agg(F.sum("_n").alias("value"))
     )
 
 
@@ -102,10 +108,10 @@ def joined_errors(responses: DataFrame, namespace: str = "") -> DataFrame:
         wording = F.when(F.col("operation") == operation, text).otherwise(wording)
     bare = strip_namespace(F.col("topic"), namespace)
     line = F.concat(wording, F.lit(' "'), bare, F.lit('": '), F.col("err"))
-    failed = admin_outcomes(responses).where(F.col("outcome") == "failure")
+    kinds = responses.select("operation", "topic", "err").distinct()
+    failed = admin_outcomes(kinds).where(F.col("outcome") == "failure")
     return (
         failed.select("operation", line.alias("line"))
-        .distinct()
         .groupBy("operation")
         .agg(
             F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("errors"),

@@ -169,33 +169,31 @@ def to_points(
     not topic attributes or the namespace, which come last.
     """
     names = names or PRODUCE_NAMES
-    fixed_columns = {"system", "topic", "name", "part", "outcome", "codec", "operation"}
+    fixed = {"system", "topic", "name", "part", "outcome", "codec", "operation"}
     dims = [c for c in flat.columns if c not in ("metric", "unit", "value", metadata)]
 
     def as_map(columns: Sequence[str]) -> Column:
         if not columns:
             return F.expr(EMPTY)
-        pairs = [x for c in columns for x in (F.lit(names.get(c, c)), F.col(c).cast("string"))]
-        return F.map_filter(F.create_map(*pairs), lambda _k, v: v.isNotNull())
-
-    fixed = as_map([c for c in dims if c in fixed_columns])
-    later = as_map([c for c in dims if c not in fixed_columns])
-    headers = F.col(metadata) if metadata else F.expr(EMPTY)
-    return flat.select(
-        "metric", "unit", record_dimensions(fixed, headers, later, "").alias("attrs"), "value"
-    )
+        pairs = ", ".join(f"'{names.get(c, c)}', cast(`{c}` as string)" for c in columns)
+        return F.expr(f"map_filter(map({pairs}), (k, v) -> v is not null)")
+
+    if metadata:
+        attrs = record_dimensions(
+            as_map([c for c in dims if c in fixed]),
+            F.col(metadata),
+            as_map([c for c in dims if c not in fixed]),
+            "",
+        )
+    else:
+        attrs = as_map(dims)
+    return flat.select("metric", "unit", attrs.alias("attrs"), "value")
 
 
 def batch_points(sums: DataFrame, counters: dict[str, tuple[str, str]], names: dict[str, str]) -> DataFrame:
     """All counters of batch sums as points, without scanning the sums once per counter."""
-    measures = F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(m).alias("metric"), F.lit(unit).alias("unit"), F.col(c).alias("value"))
-                for m, (c, unit) in counters.items()
-            ]
-        )
-    )
+    rows = ", ".join(f"'{m}', '{unit}', `{c}`" for m, (c, unit) in counters.items())
+    measures = F.expr(f"stack({len(counters)}, {rows})").alias("metric", "unit", "value")
     dims = [c for c in sums.columns if c not in SIZES]
     return to_points(sums.select(*dims, measures), names)
 

@@ -1,8 +1,8 @@
 """Consuming a stream at least once or at most once.
 
 Each job owns a folder: ``checkpoint``, ``results/batch_id=N`` (processed rows under
-``failed=false``, dead letters under ``failed=true``), ``commits/batch_id=N`` and, for at
-most once, ``ledger/batch_id=N``. Put it in storage that all executors share.
+``failed=false``, dead letters under ``failed=true``) and ``commits/batch_id=N``. Put it in
+storage that all executors share.
 """
 
 from __future__ import annotations
@@ -88,26 +88,19 @@ def consume_at_most_once(
 ) -> StreamingQuery:
     """Commit, then process.
 
-    A batch enters the ledger before its first record is processed, and a batch found in
-    the ledger is never processed again: a crash in between loses it. An error while
-    committing ends the query before anything is processed.
+    The commits are the ledger: a batch enters it before its first record is processed, and
+    one found there, even half written, is never processed again. A crash in between loses
+    it. An error while committing ends the query before anything is processed.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mark = spark.range(1).select(F.current_timestamp().alias("claimed_at"))
+        polled = batch.groupBy(*PARTITION).agg((F.max("roff") + 1).alias("commit"))
         try:
-            mark.write.mode("errorifexists").parquet(f"{folder}/ledger/batch_id={batch_id}")
+            polled.write.mode("errorifexists").parquet(f"{folder}/commits/batch_id={batch_id}")
         except AnalysisException as found:
             if found.getCondition() == "PATH_ALREADY_EXISTS":
                 return
             raise
-        (
-            batch.groupBy(*PARTITION)
-            .agg((F.max("roff") + 1).alias("commit"))
-            .write.mode("overwrite")
-            .parquet(f"{folder}/commits/batch_id={batch_id}")
-        )
         _process_into(batch, batch_id, process, folder, ordered)
 
     return _start(stream, name, step, folder, drain)
