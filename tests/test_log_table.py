@@ -134,3 +134,21 @@ def test_kafka_options(spark):
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_micros_do_not_depend_on_the_session_zone(spark):
+    """The last time falls into a gap of New York's local time."""
+    from tidelog.plans.views import micros
+
+    df = spark.sql(
+        "select * from values (timestamp_ntz'2024-01-01 00:00:07.179575'),"
+        " (timestamp_ntz'1969-12-31 23:59:59.999999'), (timestamp_ntz'2024-03-10 02:30:00') as t(ts)"
+    )
+    want = [1704067207179575, -1, 1710037800000000]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.us for r in df.select(micros(spark, "ts").alias("us")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

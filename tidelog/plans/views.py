@@ -19,7 +19,8 @@ MAX_POLL = 50
 FAILS_BELOW = 10
 GROUPS = {"consumer1": 1, "consumer2": 2, "consumer3": 3, "consumer4": 4}
 
-_stored: dict[tuple[str, str, str], LogTable | str] = {}
+# What a session has stored or looked up, by application, folder and kind.
+_stored: dict = {}
 
 
 def micros(spark: SparkSession, ts: str) -> Column:
@@ -49,7 +50,10 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its schema is looked up once per session."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        schema = self._once(f"{name} schema", lambda: self.spark.read.parquet(path).schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _once(self, kind: str, build):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, kind)
@@ -230,7 +234,7 @@ class Inputs:
 
     def _rows(self, rows: list[tuple], columns: str) -> DataFrame:
         """A literal table; unlike ``createDataFrame`` its size is known to the planner."""
-        values = ", ".join(str(row) for row in rows)
+        values = ", ".join(str(row).replace("None", "null") for row in rows)
         return self.spark.sql(f"select * from values {values} as t({columns})")
 
     @property
@@ -277,19 +281,24 @@ class Inputs:
 
     @property
     def admin_responses(self) -> DataFrame:
-        """One administrative response per record: operation and error follow ``k``."""
-        k = F.col("k")
-        operation = (
-            F.when(k % 4 == 0, "create").when(k % 4 == 1, "grow").when(k % 4 == 2, "alter").otherwise("delete")
+        """One administrative response per record: operation and error follow ``k``.
+
+        They repeat every 20 values of ``k``, so they come from a table of 20 rows. Filters
+        on them then apply to that table instead of parsing ``k`` once more for each branch.
+        """
+        operations = ("create", "grow", "alter", "delete")
+        errors = (
+            None,
+            "TOPIC_ALREADY_EXISTS",
+            "INVALID_REQUEST",
+            "UNKNOWN_TOPIC_OR_PARTITION",
+            "POLICY_VIOLATION",
         )
-        code = F.expr("k div 4 % 5")
-        err = (
-            F.when(code == 1, "TOPIC_ALREADY_EXISTS")
-            .when(code == 2, "INVALID_REQUEST")
-            .when(code == 3, "UNKNOWN_TOPIC_OR_PARTITION")
-            .when(code == 4, "POLICY_VIOLATION")
+        kinds = self._rows(
+            [(n, operations[n % 4], errors[n // 4]) for n in range(20)], "id, operation, err"
         )
-        return self.routed.select("topic", operation.alias("operation"), err.alias("err"))
+        records = self.routed.select("topic", (F.col("k") % 20).alias("id"))
+        return records.join(kinds, "id").select("topic", "operation", "err")
 
     @property
     def bare_and_foreign(self) -> DataFrame:
