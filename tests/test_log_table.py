@@ -37,16 +37,11 @@ def test_offsets_match_brute_force_with_a_hot_partition(spark):
 
 
 def test_a_hot_partition_is_cut_into_segments(spark):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = spark.range(8000).select(
-            F.lit("one").alias("topic"), F.lit(0).alias("part"), F.col("id").alias("event_id")
-        )
-        path = new_folder(spark, "hot")
-        table = write_log(df, path, ["event_id"])
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+    df = spark.range(8000).select(
+        F.lit("one").alias("topic"), F.lit(0).alias("part"), F.col("id").alias("event_id")
+    )
+    path = new_folder(spark, "hot")
+    table = write_log(df, path, ["event_id"], segments=4)
     sizes = [r["_n"] for r in spark.read.parquet(f"{path}/segments").collect()]
     assert len(sizes) == 4 and max(sizes) < 4000 and sum(sizes) == 8000
     assert table.read(spark).where("roff <> event_id").count() == 0

@@ -78,7 +78,11 @@ def write_ends(records: DataFrame, path: str) -> DataFrame:
 
 
 def write_log(
-    records: DataFrame, path: str, order_by: Sequence[str], codec: str = "snappy"
+    records: DataFrame,
+    path: str,
+    order_by: Sequence[str],
+    codec: str = "snappy",
+    segments: int | None = None,
 ) -> LogTable:
     """Give every record its offset and store the log.
 
@@ -90,13 +94,17 @@ def write_log(
     segments; a row's offset is its position in the segment plus the sizes of the segments
     before it. The segmented rows are written before they are counted: both steps must see
     the same cuts, also when an executor is lost in between.
+
+    ``segments`` is how many cuts to make; by default the session's shuffle partitions,
+    merged where they are small.
     """
     spark = records.sparkSession
     where = ["topic", "part"]
     compression = _PARQUET_NAMES.get(codec, codec)
     staged_at, segments_at = f"{path}/staged", f"{path}/segments"
+    cuts = [segments] if segments else []
     (
-        records.repartitionByRange(*where, *order_by)
+        records.repartitionByRange(*cuts, *where, *order_by)
         .sortWithinPartitions(*where, *order_by)
         .withColumn("_seg", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
@@ -121,14 +129,14 @@ def write_log(
         .withColumn("_shift", F.sum("_n").over(earlier) - F.col("_n") - F.col("_first"))
         .write.parquet(segments_at)
     )
-    segments = spark.read.schema(
+    counted = spark.read.schema(
         "topic string, part int, _seg int, _first bigint, _n bigint, _shift bigint"
     ).parquet(segments_at)
-    ends = segments.groupBy(*where).agg(F.sum("_n").alias("end_off"), F.count("_seg").alias("_segments"))
+    ends = counted.groupBy(*where).agg(F.sum("_n").alias("end_off"), F.count("_seg").alias("_segments"))
     ends.select(*where, "end_off").write.parquet(f"{path}/ends")
     sizes = ends.agg(F.count(F.lit(1)), F.coalesce(F.sum("_segments"), F.lit(0))).first()
 
-    shifts = bounded(segments.select(*where, "_seg", "_shift"), sizes[1])
+    shifts = bounded(counted.select(*where, "_seg", "_shift"), sizes[1])
     logged = (
         staged.join(shifts, [*where, "_seg"])
         .withColumn("roff", F.col("_row") + F.col("_shift"))
