@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, lines, secrets, sharding
+from tidelog.llm import bpe, decontaminate, lines, secrets, sharding, substring
 from tidelog.llm.common import table
 
 SHARDS = 24
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return kept.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.coalesce("text", F.lit(""))
     sized = table(spark, sf_dir, "documents").select(
@@ -79,6 +86,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP1_SQL = """
+with split as (select doc_id, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
+    from documents),
+windows as (select doc_id, pos, words[pos : pos + 12] as gram
+    from (select doc_id, words, unnest(range(1, len(words) - 11)) as pos from split)),
+hits as (select doc_id, pos from (select doc_id, pos, min(doc_id) over (partition by gram) as least from windows)
+    where least < doc_id),
+gone as (select distinct doc_id, pos + k as n from hits, (select unnest(range(13)) as k)),
+marked as (select s.doc_id, s.word, n, g.n as gone_n
+    from (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as n from split) s
+    left join gone g using (doc_id, n)),
+kept as (select doc_id, count(*) as n_words, count(gone_n) as n_removed,
+    string_agg(case when gone_n is null then word end, ' ' order by n) as kept from marked group by doc_id)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from documents left join kept using (doc_id)
+"""
+
 OP4_SQL = """
 with raw as (select doc_id, text, list_filter(regexp_split_to_array(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -126,9 +151,16 @@ from documents d left join kept k using (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op3_shuffle_shards, op4_decontamination, op5_secret_scan, op8_line_dedup, op10_byte_bpe)
+        for f in (
+            op1_substring_dedup,
+            op3_shuffle_shards,
+            op4_decontamination,
+            op5_secret_scan,
+            op8_line_dedup,
+            op10_byte_bpe,
+        )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_line_dedup": OP8_SQL}
