@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, lines, secrets, sharding, substring
+from tidelog.llm import bpe, decontaminate, lines, secret_scan, sharding, substring, suffixes
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -54,14 +54,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
     base = F.filter("spans", lambda s: s["kind"] != "entropy")
     return found.select(
         "doc_id",
-        *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
-        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        *[count(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.dedup_suffixes(table(spark, sf_dir, "documents"))
+    return kept.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
@@ -156,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_shuffle_shards,
             op4_decontamination,
             op5_secret_scan,
+            op6_suffix_dedup,
             op8_line_dedup,
             op10_byte_bpe,
         )
