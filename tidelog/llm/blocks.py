@@ -23,7 +23,7 @@ from tidelog.llm.common import block_of, partitions
 
 #: Largest id: stands in for a null one, which is after all others.
 NO_ID = np.int64((1 << 63) - 1)
-_LOW = np.uint64((1 << 40) - 1)
+_LOW = np.uint64((1 << 32) - 1)
 
 
 def pieces(df: DataFrame) -> int:
@@ -46,22 +46,20 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def short(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Bucket and low 40 bits of a hash: what is left of it when five bytes are sent to a bucket.
+    """Bucket and low 32 bits of a hash: what is left of it when four bytes are sent to a bucket.
 
     Sorted hashes need not have sorted short forms.
     """
-    return bucket_of(hashes, n) << np.uint64(40) | hashes & _LOW
+    return bucket_of(hashes, n) << np.uint64(32) | hashes & _LOW
 
 
-def pack5(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """The low four bytes of each value."""
+    return values.astype("<u4").tobytes()
 
 
-def unpack5(data: bytes) -> np.ndarray:
-    few = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
-    out = np.zeros((len(few), 8), dtype=np.uint8)
-    out[:, :5] = few
-    return out.view("<u8").ravel()
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype="<u4").astype(np.uint64)
 
 
 def runs(values: np.ndarray) -> np.ndarray:
@@ -108,17 +106,17 @@ def send_hashes(block: int, hashes: np.ndarray, often: np.ndarray, n: int) -> pa
     order = np.argsort(hashes, kind="stable")
     hashes, often = hashes[order], often[order]
     rows = []
-    for bucket, at in each(hashes >> np.uint64(40)):
+    for bucket, at in each(hashes >> np.uint64(32)):
         own, many = hashes[at] & _LOW, often[at]
-        rows.append((bucket, block, pack5(own[~many]), pack5(own[many])))
+        rows.append((bucket, block, packed(own[~many]), packed(own[many])))
     return frame(SENT, rows)
 
 
 def answer_shared(table: pa.Table) -> pa.Table:
     """For each block: its hashes that it holds once and others hold too."""
     bucket = table["bucket"][0].as_py() if len(table) else 0
-    once = [unpack5(x) for x in table["once"].to_pylist()]
-    often = [unpack5(x) for x in table["often"].to_pylist()]
+    once = [unpacked(x) for x in table["once"].to_pylist()]
+    often = [unpacked(x) for x in table["often"].to_pylist()]
     blocks = table["block"].to_numpy()
     values = np.concatenate([*once, *often])
     senders = np.repeat(np.concatenate([blocks, np.full(len(often), -1)]), [len(x) for x in (*once, *often)])
@@ -130,7 +128,7 @@ def answer_shared(table: pa.Table) -> pa.Table:
     values, senders = values[told], senders[told]
     order = np.argsort(senders, kind="stable")
     values, senders = values[order], senders[order]
-    return frame(ANSWERED, [(block, bucket, pack5(values[s])) for block, s in each(senders)])
+    return frame(ANSWERED, [(block, bucket, packed(values[s])) for block, s in each(senders)])
 
 
 def shared_hashes(sent: DataFrame) -> DataFrame:
@@ -140,7 +138,7 @@ def shared_hashes(sent: DataFrame) -> DataFrame:
 def told_shared(answers: pa.Table) -> np.ndarray:
     """Sorted short hashes that a block was told of."""
     parts = [
-        np.uint64(bucket) << np.uint64(40) | unpack5(hashes)
+        np.uint64(bucket) << np.uint64(32) | unpacked(hashes)
         for bucket, hashes in zip(answers["bucket"].to_pylist(), answers["hashes"].to_pylist(), strict=True)
     ]
     return np.sort(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)

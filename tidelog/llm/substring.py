@@ -10,7 +10,7 @@ windows share an *anchor*, a run of ``size - PERIOD + 1`` words that begins at a
 position in both texts. Three steps, each an exchange between blocks of texts and buckets of
 hashes (see ``blocks``):
 
-1. anchors at cover positions only, five bytes each: which of them do several texts hold?
+1. anchors at cover positions only, four bytes each: which of them do several texts hold?
 2. *extend*: windows around shared anchors, by a 128-bit hash: which is the smallest id?
 3. cover the words of windows that have a smaller id elsewhere, and cut them out.
 

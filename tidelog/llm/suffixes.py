@@ -12,7 +12,7 @@ a *fragment*, the bytes from the first of them to the end of the last one's stri
 strings pick equal anchors at equal distances, so they meet in the bucket of the anchor's
 hash, and every start is in exactly one fragment. Steps (see ``blocks`` for the exchange):
 
-1. anchor hashes, five bytes each: which occur more than once?
+1. anchor hashes, four bytes each: which occur more than once?
 2. fragments of those anchors, each distinct one sent once by a block, go to their bucket.
    There the suffixes of distinct fragments are put in order (prefix doubling, as far as
    ``size`` bytes), neighbours get their common prefix, and for each suffix the previous and
