@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, lines, secret_scan, sharding, substring, suffixes
+from tidelog.llm import bpe, decontaminate, jaccard, lines, secret_scan, sharding, substring, suffixes
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -79,6 +79,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.similarity_join(table(spark, sf_dir, "documents"))
+    return joined.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -165,6 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_secret_scan,
             op6_suffix_dedup,
             op8_line_dedup,
+            op9_jaccard_join,
             op10_byte_bpe,
         )
     }
