@@ -27,8 +27,12 @@ _LOW = np.uint64((1 << 32) - 1)
 
 
 def pieces(df: DataFrame) -> int:
-    """How many blocks, and buckets: two for each shuffle partition, to even them out."""
-    return 2 * partitions(df.sparkSession)
+    """How many blocks, and buckets: as many as shuffle partitions.
+
+    Each block may write to each bucket, so there are up to the square of this of messages;
+    with partitions of 100 MB or more a message is still hundreds of bytes.
+    """
+    return partitions(df.sparkSession)
 
 
 def in_blocks(df: DataFrame, n: int, id_column: str, text: str) -> DataFrame:
