@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, jaccard, lines, secret_scan, sharding, substring, suffixes
+from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, secret_scan, sharding, substring, suffixes
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -21,6 +21,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
+    )
+
+
 def op3_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.coalesce("text", F.lit(""))
     sized = table(spark, sf_dir, "documents").select(
@@ -165,6 +175,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_substring_dedup,
+            op2_embedding_dedup,
             op3_shuffle_shards,
             op4_decontamination,
             op5_secret_scan,
