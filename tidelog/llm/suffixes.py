@@ -36,12 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import BYTE_VALUES, U64, _table, buffers, combined, prefix_sums, range_hashes, text_array
+from tidelog.llm.bytes_np import BYTE_VALUES, U64, _table, buffers, chunks, combined, prefix_sums, range_hashes, text_array
 
 ANCHOR = 64
 #: Bytes hashed in one go, and bytes of fragments sorted in one go (whole anchors at least).
-PIECE, SORTED = 1 << 20, 1 << 20
-SENT = "bucket int, block int, hashes binary, anchors binary, ids binary, starts binary, many binary, sizes binary, texts binary"
+PIECE, SORTED = 1 << 19, 1 << 19
+#: Start positions in a slice of an anchor with more bytes than that.
+SLICE = 32
+SENT = "bucket int, block int, hashes binary, anchors binary, ids binary, starts binary, offsets binary, many binary, sizes binary, texts binary"
 FOUND = "block int, bucket int, at binary, ranges binary"
 KEPT = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 OTHER_VALUES = _table(12)
@@ -70,6 +72,7 @@ class _Fragments:
         join = lambda k, kind: np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind)
         self.first, self.last = join(0, np.int64), join(1, np.int64)
         self.anchors, self.high, self.low = join(2, U64), join(3, U64), join(4, U64)
+        self.picks = join(5, np.int64)
         self.row = np.searchsorted(self.offsets, self.first, side="right") - 1
         self.starts = self.first - self.offsets[self.row]
 
@@ -112,6 +115,7 @@ class _Fragments:
             hashes[pick[heads]],
             range_hashes(sums, first, last + size, 1),
             range_hashes(more, first, last + size, 5),
+            pick[heads] - first,
         )
 
 
@@ -237,6 +241,7 @@ def dedup_suffixes(
                     own.anchors[at].astype("<u8").tobytes(),
                     ids[own.row[at]].astype("<i8").tobytes(),
                     own.starts[at].astype("<i8").tobytes(),
+                    own.picks[at].astype("<u4").tobytes(),
                     sent.many[s].astype(np.uint8).tobytes(),
                     (own.last[at] + size - own.first[at]).astype("<u4").tobytes(),
                     b"".join(own.raw[a:b].tobytes() for a, b in spans),
@@ -254,33 +259,16 @@ def dedup_suffixes(
         whole = sent.many[sent.number].copy()
         if keep == "first":
             whole[sent.head] = False
-        steps = np.zeros(len(own.raw) + 1, dtype=np.int32)
         at = sent.at[whole]
-        np.add.at(steps, own.first[at], 1)
-        np.add.at(steps, own.last[at] + size, -1)
+        begin, end = [own.first[at]], [own.last[at] + size]
         begins = {b: s.start for b, s in blocks.each(sent.bucket)}
         found = blocks.of_kind(answers, 1)
         for bucket, numbers, ranges in zip(*(found[c].to_pylist() for c in ("bucket", "a", "b")), strict=True):
             head = sent.at[sent.head[begins[bucket] + np.frombuffer(numbers, "<u4").astype(np.int64)]]
             pair = np.frombuffer(ranges, "<u4").reshape(-1, 2).astype(np.int64)
-            np.add.at(steps, own.first[head] + pair[:, 0], 1)
-            np.add.at(steps, own.first[head] + pair[:, 1] + size - 1, -1)
-        gone = np.cumsum(steps[:-1]) > 0
-        opens = gone.copy()
-        opens[1:] &= ~gone[:-1]
-        heads = own.offsets[:-1][np.diff(own.offsets) > 0]
-        opens[heads] = gone[heads]
-        total = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[own.offsets])
-        rest = np.concatenate(([0], np.cumsum(total(~gone))))
-        return pa.table(
-            {
-                "id": block_texts["id"],
-                "n_bytes": pa.array(np.diff(own.offsets), pa.int64()),
-                "n_removed": pa.array(total(gone), pa.int64()),
-                "n_spans": pa.array(total(opens), pa.int64()),
-                "kept": text_array(own.raw[~gone], rest, pa.binary()),
-            }
-        )
+            begin.append(own.first[head] + pair[:, 0])
+            end.append(own.first[head] + pair[:, 1] + size - 1)
+        return _cut(block_texts["id"], own.raw, own.offsets, np.concatenate(begin), np.concatenate(end))
 
     answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(send, blocks.SENT))
     sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(fragments, SENT)
@@ -292,6 +280,40 @@ def dedup_suffixes(
     return texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(cut, KEPT)
 
 
+def _cut(ids: pa.ChunkedArray, raw: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
+    """Rows without the bytes that the ranges cover; a range lies within a text."""
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], end[order]
+    removed, spans, kept, sizes = [], [], [], [np.zeros(1, dtype=np.int64)]
+    for a, b in chunks(offsets, PIECE):
+        base, part = offsets[a], raw[offsets[a] : offsets[b]]
+        some = slice(np.searchsorted(begin, base), np.searchsorted(begin, offsets[b]))
+        steps = np.zeros(len(part) + 1, dtype=np.int32)
+        np.add.at(steps, begin[some] - base, 1)
+        np.add.at(steps, end[some] - base, -1)
+        gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
+        opens = gone.copy()
+        opens[1:] &= ~gone[:-1]
+        rows = offsets[a : b + 1] - base
+        heads = rows[:-1][np.diff(rows) > 0]
+        opens[heads] = gone[heads]
+        total = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[rows])
+        removed.append(total(gone))
+        spans.append(total(opens))
+        sizes.append(sizes[-1][-1] + np.cumsum(np.diff(rows) - removed[-1]))
+        kept.append(part[~gone])
+    join = lambda arrays, kind: np.concatenate(arrays) if arrays else np.zeros(0, kind)
+    return pa.table(
+        {
+            "id": ids,
+            "n_bytes": pa.array(np.diff(offsets), pa.int64()),
+            "n_removed": pa.array(join(removed, np.int64), pa.int64()),
+            "n_spans": pa.array(join(spans, np.int64), pa.int64()),
+            "kept": text_array(join(kept, np.uint8), np.concatenate(sizes), pa.binary()),
+        }
+    )
+
+
 def _ids(texts: pa.Table) -> np.ndarray:
     return texts["id"].fill_null(int(blocks.NO_ID)).to_numpy()
 
@@ -309,6 +331,7 @@ def _repeated(table: pa.Table, size: int, keep: str) -> pa.Table:
     hashes = column("hashes", "<u8").reshape(-1, 2)
     anchors, ids, starts = column("anchors", "<u8"), column("ids", "<i8"), column("starts", "<i8")
     many, sizes = column("many", np.uint8) > 0, column("sizes", "<u4").astype(np.int64)
+    picks = column("offsets", "<u4").astype(np.int64)
     text = column("texts", np.uint8)
     begin = np.cumsum(sizes) - sizes
 
@@ -329,12 +352,16 @@ def _repeated(table: pa.Table, size: int, keep: str) -> pa.Table:
     todo: list[np.ndarray] = []
     volume = 0
     for a, b in [*zip(at[:-1][sized > 1], at[1:][sized > 1], strict=True), (0, 0)]:
-        if todo and (volume > SORTED or a == b):
+        own = by_place[a:b]
+        bytes_ = int(sizes[own].sum())
+        if todo and (volume + bytes_ > SORTED or a == b):
             ranges |= _ranges(text, begin, sizes, np.concatenate(todo), size, keep)
             todo, volume = [], 0
-        if b > a:
-            todo.append(by_place[a:b])
-            volume += int(sizes[by_place[a:b]].sum())
+        if bytes_ > SORTED:
+            ranges |= _sliced(text, begin, sizes, picks, own, size, keep)
+        elif b > a:
+            todo.append(own)
+            volume += bytes_
 
     rows: dict[int, list] = {}
     first = np.zeros(len(order), dtype=bool)
@@ -368,7 +395,6 @@ def _ranges(text, begin, sizes, fragments: np.ndarray, size: int, keep: str) ->
     ends = np.cumsum(own)
     heads = ends - own
     source = np.repeat(begin[fragments] - heads, own) + np.arange(ends[-1])
-    owned = np.ones(ends[-1] + 1, dtype=np.int32)
     steps = np.zeros(ends[-1] + 1, dtype=np.int32)
     np.add.at(steps, heads, 1)
     np.add.at(steps, ends - size + 1, -1)
@@ -387,3 +413,39 @@ def _ranges(text, begin, sizes, fragments: np.ndarray, size: int, keep: str) ->
     last = np.concatenate((at[1:], [len(starts)])) - 1
     pairs = np.stack([starts[at] - heads[number[at]], starts[last] - heads[number[at]] + 1], axis=1)
     return {int(fragments[k]): pairs[s] for k, s in blocks.each(number[at])}
+
+
+def _sliced(text, begin, sizes, picks, fragments: np.ndarray, size: int, keep: str) -> dict[int, np.ndarray]:
+    """As ``_ranges``, for an anchor with many fragments.
+
+    Equal strings begin at equal distances from the anchor, so a few distances at a time are
+    enough; there, most fragments of near copies have equal bytes, and equal ones are looked
+    at once.
+    """
+    out: dict[int, list] = {}
+    count = sizes[fragments] - size + 1
+    lowest = -picks[fragments]
+    for low in range(int(lowest.min()), int((lowest + count).max()), SLICE):
+        first = np.maximum(low - lowest, 0)
+        last = np.minimum(low + SLICE - lowest, count)
+        pieces: dict[tuple, list[int]] = {}
+        for k in np.flatnonzero(first < last).tolist():
+            at = begin[fragments[k]]
+            key = (int(lowest[k] + first[k]), text[at + first[k] : at + last[k] - 1 + size].tobytes())
+            pieces.setdefault(key, []).append(k)
+        heads = np.array([members[0] for members in pieces.values()], dtype=np.int64)
+        some = _ranges(
+            text,
+            begin[fragments[heads]] + first[heads],
+            last[heads] - first[heads] - 1 + size,
+            np.arange(len(heads)),
+            size,
+            keep,
+        )
+        for number, members in enumerate(pieces.values()):
+            for nth, k in enumerate(members):
+                if len(members) > 1 and (keep == "none" or nth):
+                    out.setdefault(k, []).append(np.array([[first[k], last[k]]]))
+                elif number in some:
+                    out.setdefault(k, []).append(some[number] + first[k])
+    return {int(fragments[k]): np.concatenate(found) for k, found in out.items()}
