@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, secret_scan, sharding, substring, suffixes
+from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, quality, secret_scan, sharding, substring, suffixes
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -82,6 +82,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    scored = quality.classify(documents, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", *[F.round(c, 6).alias(c) for c in quality.OUTPUT[:4]], "rejected")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -180,6 +186,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op4_decontamination,
             op5_secret_scan,
             op6_suffix_dedup,
+            op7_quality_classifier,
             op8_line_dedup,
             op9_jaccard_join,
             op10_byte_bpe,
