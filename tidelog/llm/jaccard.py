@@ -40,6 +40,8 @@ CLASSES = "block int, bucket int, at binary, classes binary"
 SETS = "id bigint, n bigint, h1 bigint, h2 bigint, single int, prefix array<bigint>, shingles binary, histogram binary"
 #: Pairs left for the last step, per prefix entry, above which another pivot is tried first.
 PAIRS_PER_ENTRY = 4
+#: Pivots tried in a group at most, before what is left of its pairs is verified all the same.
+PIVOTS = 6
 _BINS = 64
 
 
@@ -262,7 +264,7 @@ def similarity_join(
 
     links = tested = used = None
     state = entries.withColumn("component", F.col("node"))
-    while True:
+    for _ in range(PIVOTS):
         # The most central member that has not been a pivot: few shingles of its own.
         rank = F.struct("own", F.col("node"), F.col("n"), F.col("at"))
         free = state if used is None else state.join(used, ["shingle", "node"], "left_anti")
