@@ -200,12 +200,13 @@ def test_jaccard(spark, corpus):
     assert jaccard.similarity_join(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("most", [4, 0.001])
-def test_jaccard_chains_and_large_groups(spark, most, monkeypatch):
+@pytest.mark.parametrize("most, spared", [(4, 0.1), (0.001, 0.1), (0.001, 0.01)])
+def test_jaccard_chains_and_large_groups(spark, most, spared, monkeypatch):
     """A chain of edits whose ends do not link, and a group whose members link only to some."""
     import random
 
     monkeypatch.setattr(jaccard, "PAIRS_PER_ENTRY", most)
+    monkeypatch.setattr(jaccard, "LEAST_SPARED", spared)
     r = random.Random(2)
     base = [f"b{k}" for k in range(120)]
     rows, current = [], list(base)

@@ -10,13 +10,15 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
    ``n - ceil(percent * n / 100) + 1``: the *prefix*. Shingles of one text alone find no
    partner and only take up places. Texts of equal sets become one representative here.
 3. Candidates are pairs with a common prefix shingle whose sizes (length filter) and places
-   of the first common shingle (positional filter) leave room for enough overlap. What is
-   left is compared by a histogram of hash classes (suffix filter), then set by set, once.
+   of that shingle (positional filter) leave room for enough overlap: what comes before it
+   and is of one text alone cannot count. What is left is compared by a histogram of hash
+   classes (suffix filter), then set by set, once.
 4. Groups around a common shingle may be large, so not all their pairs are made. Each group
    picks a *pivot*, its most central member, and only pairs with the pivot are verified.
    Members that end up in one component need no further look. What remains are pairs of
-   members in different components: if they are many, further pivots follow, then all of
-   them are verified. So components are exact, whatever the group.
+   members in different components: while they are many and pivots make them fewer, further
+   pivots follow; then all that pass the filters are verified. So components are exact,
+   whatever the group.
 
 Shingles are told apart by 64 bits in the sets that decide on equality and on prefixes, and
 by 48 bits inside the comparison of two sets. Null ids are after all others; rows of equal
@@ -40,8 +42,8 @@ CLASSES = "block int, bucket int, at binary, classes binary"
 SETS = "id bigint, n bigint, h1 bigint, h2 bigint, single int, prefix array<bigint>, shingles binary, histogram binary"
 #: Pairs left for the last step, per prefix entry, above which another pivot is tried first.
 PAIRS_PER_ENTRY = 4
-#: Pivots tried in a group at most, before what is left of its pairs is verified all the same.
-PIVOTS = 6
+#: Another pivot follows only if the last one spared at least this share of the pairs.
+LEAST_SPARED = 0.1
 _BINS = 64
 
 
@@ -161,9 +163,9 @@ def _describe(texts: pa.Table, answers: pa.Table, size: int, percent: int, n_buc
     )
 
 
-def _overlap(a: bytes, b: bytes) -> int:
-    def wide(data: bytes) -> np.ndarray:
-        out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+def _overlap(a: pa.Buffer, b: pa.Buffer) -> int:
+    def wide(data: pa.Buffer) -> np.ndarray:
+        out = np.zeros((data.size // 6, 8), dtype=np.uint8)
         out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
         return out.view("<u8").ravel()
 
@@ -193,8 +195,12 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def link(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("x", "y", "n_a", "n_b")]
-            good = [_overlap(x, y) * (100 + percent) >= percent * (n + m) for x, y, n, m in zip(*columns, strict=True)]
+            left, right = batch.column("x"), batch.column("y")
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            good = [
+                _overlap(left[k].as_buffer(), right[k].as_buffer()) * (100 + percent) >= percent * n[k]
+                for k in range(len(batch))
+            ]
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
@@ -209,12 +215,14 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _roomy(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (node, other, with sizes n and places at of a common prefix shingle) that pass the
-    length filter, once each, and then the positional filter at their first common shingle."""
+    """Pairs with sizes n and the place of a common prefix shingle (at; k among those of several
+    texts) that pass the length and the positional filter, once each, and then the positional
+    filter at their first common shingle."""
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     needed = percent * (F.col("n_a") + F.col("n_b"))
+    after = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     return (
-        pairs.where(small * 100 >= percent * large)
+        pairs.where((small * 100 >= percent * large) & ((F.least("k_a", "k_b") + after) * (100 + percent) >= needed))
         .groupBy("a", "b", "n_a", "n_b")
         .agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"))
         .where(F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * (100 + percent) >= needed)
@@ -228,7 +236,7 @@ def _pair(left: str, right: str) -> list[Column]:
     side = lambda c: (F.when(first, F.col(f"{left}.{c}")).otherwise(F.col(f"{right}.{c}")),
                       F.when(first, F.col(f"{right}.{c}")).otherwise(F.col(f"{left}.{c}")))
     out = []
-    for c, name in (("node", ""), ("n", "n_"), ("at", "at_")):
+    for c, name in (("node", ""), ("n", "n_"), ("at", "at_"), ("k", "k_")):
         x, y = side(c)
         out += [x.alias(f"{name}a"), y.alias(f"{name}b")]
     return out
@@ -256,7 +264,7 @@ def similarity_join(
     groups = prefix.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
     entries = staged(
         prefix.join(groups.select("shingle"), "shingle").select(
-            "shingle", "node", "n", "own", (F.col("single") + F.col("k")).cast("bigint").alias("at")
+            "shingle", "node", "n", "own", (F.col("single") + F.col("k")).cast("bigint").alias("at"), "k"
         ),
         "entries",
     )
@@ -264,12 +272,13 @@ def similarity_join(
 
     links = tested = used = None
     state = entries.withColumn("component", F.col("node"))
-    for _ in range(PIVOTS):
+    left = float("inf")
+    while True:
         # The most central member that has not been a pivot: few shingles of its own.
-        rank = F.struct("own", F.col("node"), F.col("n"), F.col("at"))
+        rank = F.struct("own", F.col("node"), F.col("n"), F.col("at"), F.col("k"))
         free = state if used is None else state.join(used, ["shingle", "node"], "left_anti")
         pivot = free.groupBy("shingle").agg(F.min(rank).alias("p"))
-        pivots = pivot.select("shingle", F.col("p.node").alias("node"), F.col("p.n").alias("n"), F.col("p.at").alias("at"))
+        pivots = pivot.select("shingle", F.col("p.node").alias("node"), *[F.col(f"p.{c}").alias(c) for c in ("n", "at", "k")])
         pivots = staged(pivots, "pivots")
         used = pivots.select("shingle", "node") if used is None else used.unionAll(pivots.select("shingle", "node"))
         owner = state.select("shingle", F.col("node").alias("pivot_node"), F.col("component").alias("pivot_component"))
@@ -287,8 +296,9 @@ def similarity_join(
         tested = fresh.select("a", "b") if tested is None else tested.unionAll(fresh.select("a", "b"))
         found = _verify(fresh, sets, percent)
         links = found if links is None else links.unionAll(found)
+        before = _pairs_between(state) if left == float("inf") else left
         state, left = _remaining(entries, links)
-        if left <= PAIRS_PER_ENTRY * total:
+        if left <= PAIRS_PER_ENTRY * total or left > (1 - LEAST_SPARED) * before:
             break
     rest = _cross_pairs(state)
     last = staged(_roomy(rest, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
@@ -310,16 +320,21 @@ def similarity_join(
     )
 
 
-def _remaining(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+def _remaining(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, float]:
     """Entries of groups that span several components, with the component of each, and the
     number of pairs of different components in them."""
     roots = components(links)
     located = entries.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
     spread = located.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     state = staged(located.join(spread.select("shingle"), "shingle"), "entries")
+    return state, _pairs_between(state)
+
+
+def _pairs_between(state: DataFrame) -> float:
+    """Pairs of members of one group in different components."""
     sizes = state.groupBy("shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
     pairs = sizes.groupBy("shingle").agg(((F.sum("m") ** 2 - F.sum(F.col("m") ** 2)) / 2).alias("pairs"))
-    return state, pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+    return pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
 
 
 def _cross_pairs(state: DataFrame) -> DataFrame:
