@@ -6,11 +6,13 @@ included, are removed. With ``keep="none"`` all copies go, with ``keep="first"``
 goes only where it started before, in the order of (id, position), so the first copy stays.
 Strings are judged on the input and never cross texts.
 
-No task sorts the suffixes of everything. Each start position of a string picks an *anchor*:
-the leftmost least hash of 64 bytes inside the string. Starts that pick the same anchor form
-a *fragment*, the bytes from the first of them to the end of the last one's string. Equal
-strings pick equal anchors at equal distances, so they meet in the bucket of the anchor's
-hash, and every start is in exactly one fragment. Steps (see ``blocks`` for the exchange):
+No task sorts the suffixes of everything. Each start position of a string picks two *anchors*:
+the leftmost least hashes of 64 bytes in the first and the second half of the string. Equal
+strings pick equal anchors at equal distances, so a string whose anchors do not both occur
+elsewhere is not repeated. Starts whose lesser anchor is the same form a *fragment*, the
+bytes from the first of them to the end of the last one's string; equal strings meet in the
+bucket of that anchor's hash, and every start is in one fragment at most. Steps (see
+``blocks`` for the exchange):
 
 1. anchor hashes, four bytes each: which occur more than once?
 2. fragments of those anchors, each distinct one sent once by a block, go to their bucket.
@@ -30,13 +32,15 @@ block and no sorting.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import BYTE_VALUES, U64, _table, buffers, chunks, combined, prefix_sums, range_hashes, text_array
+from tidelog.llm.bytes_np import BYTE_VALUES, U64, buffers, chunks, combined, prefix_sums, range_hashes, text_array
 
 ANCHOR = 64
 #: Bytes hashed in one go, and bytes of fragments sorted in one go (whole anchors at least).
@@ -46,7 +50,6 @@ SLICE = 32
 SENT = "bucket int, block int, hashes binary, anchors binary, ids binary, starts binary, offsets binary, many binary, sizes binary, texts binary"
 FOUND = "block int, bucket int, at binary, ranges binary"
 KEPT = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-OTHER_VALUES = _table(12)
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -63,20 +66,24 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-class _Fragments:
-    """All fragments of a block: first and last start, anchor hash, row; positions in the block."""
+class _Runs:
+    """The start positions of a block, in runs that pick the same two anchors.
+
+    Of each run: first and last start, the hashes and places of the least anchors of the
+    strings' first and second half, and the lesser of them, which is the string's anchor.
+    """
 
     def __init__(self, texts: pa.Table, size: int):
         self.raw, self.offsets = buffers(combined(texts["text"]))
-        found = [self._piece(a, b, size) for a, b in self._pieces(size)]
-        join = lambda k, kind: np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind)
-        self.first, self.last = join(0, np.int64), join(1, np.int64)
-        self.anchors, self.high, self.low = join(2, U64), join(3, U64), join(4, U64)
-        self.picks = join(5, np.int64)
-        self.row = np.searchsorted(self.offsets, self.first, side="right") - 1
-        self.starts = self.first - self.offsets[self.row]
-
-    def _pieces(self, size: int):
+        found = [self._piece(a, b, size) for a, b in self._pieces()]
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 6
+        self.first, self.last, self.left, self.right, left_hash, right_hash = columns
+        self.left_hash, self.right_hash = left_hash.astype(U64), right_hash.astype(U64)
+        lesser = self.left_hash >> U64(32) <= self.right_hash >> U64(32)
+        self.pick = np.where(lesser, self.left, self.right)
+        self.anchor = np.where(lesser, self.left_hash, self.right_hash)
+
+    def _pieces(self):
         """Ranges of start positions: whole texts up to ``PIECE`` bytes, longer texts in parts."""
         a, end = 0, int(self.offsets[-1])
         while a < end:
@@ -89,51 +96,67 @@ class _Fragments:
     def _piece(self, a: int, b: int, size: int):
         row = np.searchsorted(self.offsets, b - 1, side="right") - 1
         raw = self.raw[a : min(b + size - 1, int(self.offsets[row + 1]))]
-        sums = prefix_sums(BYTE_VALUES[raw], 1)
         at = np.arange(max(0, len(raw) - ANCHOR + 1))
-        hashes = range_hashes(sums, at, at + ANCHOR, 1)
-        least = sliding_least(hashes >> U64(32) << U64(32) | at.astype(U64), size - ANCHOR + 1)
+        hashes = range_hashes(prefix_sums(BYTE_VALUES[raw], 1), at, at + ANCHOR, 1)
+        width = size - ANCHOR + 1
+        half = width // 2
+        least = sliding_least(hashes >> U64(32) << U64(32) | at.astype(U64), width - half)
         ends = np.minimum(self.offsets[1:] - a, len(raw))
         ends = ends[(self.offsets[:-1] < a + len(raw)) & (self.offsets[1:] > a)]
         begins = np.concatenate(([0], ends[:-1]))
-        good = np.zeros(len(least) + 1, dtype=np.int32)
+        steps = np.zeros(len(raw) + 2, dtype=np.int32)
         some = ends - begins >= size
-        np.add.at(good, begins[some], 1)
-        np.add.at(good, np.minimum(ends[some] - size + 1, len(least)), -1)
-        starts = np.flatnonzero(np.cumsum(good[:-1]) > 0)
+        np.add.at(steps, begins[some], 1)
+        np.add.at(steps, ends[some] - size + 1, -1)
+        starts = np.flatnonzero(np.cumsum(steps) > 0)
         starts = starts[starts < b - a]
-        pick = (least[starts] & U64(0xFFFFFFFF)).astype(np.int64)
+        place = lambda x: (x & U64(0xFFFFFFFF)).astype(np.int64)
+        left, right = place(least[starts]), place(least[starts + half])
         fresh = np.ones(len(starts), dtype=bool)
-        fresh[1:] = (pick[1:] != pick[:-1]) | (starts[1:] != starts[:-1] + 1)
+        fresh[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1]) | (starts[1:] != starts[:-1] + 1)
         heads = np.flatnonzero(fresh)
         tails = np.concatenate((heads[1:], [len(starts)])) - 1 if len(heads) else heads
-        first, last = starts[heads], starts[tails]
-        more = prefix_sums(OTHER_VALUES[raw], 5)
-        return (
-            first + a,
-            last + a,
-            hashes[pick[heads]],
-            range_hashes(sums, first, last + size, 1),
-            range_hashes(more, first, last + size, 5),
-            pick[heads] - first,
-        )
+        left, right = left[heads], right[heads]
+        # Hashes go as signed numbers, so that all columns have one type.
+        return starts[heads] + a, starts[tails] + a, left + a, right + a, hashes[left].view(np.int64), hashes[right].view(np.int64)
 
+    def anchors(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct short hashes of all anchors, and which of them lie at several places."""
+        near = blocks.short(np.concatenate((self.left_hash, self.right_hash)), n)
+        return blocks.held_often(near, np.concatenate((self.left, self.right)))
 
-class _Distinct:
-    """Fragments with a shared anchor, and the distinct ones in the order they are sent."""
 
-    def __init__(self, own: _Fragments, told: np.ndarray, ids: np.ndarray, n: int):
-        near = blocks.short(own.anchors, n)
-        hashes, often = blocks.held_often(near, np.arange(len(near)))
-        self.at = np.flatnonzero(blocks.member(near, np.union1d(hashes[often], told)))
-        high, low, bucket = own.high[self.at], own.low[self.at], blocks.bucket_of(own.anchors[self.at], n)
-        order = np.lexsort((own.starts[self.at], own.row[self.at], ids[own.row[self.at]], low, high, bucket))
+class _Fragments:
+    """Fragments of a block: runs of starts whose anchors both occur elsewhere, joined where
+    the string's anchor is the same. ``head`` has the first copy of each distinct one, in the
+    order they are sent, ``number`` the distinct one of each, ``many`` those with copies."""
+
+    def __init__(self, own: _Runs, told: np.ndarray, ids: np.ndarray, size: int, n: int):
+        hashes, often = own.anchors(n)
+        shared = np.union1d(hashes[often], told)
+        both = blocks.member(blocks.short(own.left_hash, n), shared) & blocks.member(blocks.short(own.right_hash, n), shared)
+        at = np.flatnonzero(both)
+        fresh = np.ones(len(at), dtype=bool)
+        fresh[1:] = (own.pick[at[1:]] != own.pick[at[:-1]]) | (own.first[at[1:]] != own.last[at[:-1]] + 1)
+        heads = np.flatnonzero(fresh)
+        tails = np.concatenate((heads[1:], [len(at)])) - 1 if len(heads) else heads
+        self.first, self.last = own.first[at[heads]], own.last[at[tails]]
+        self.anchors, self.picks = own.anchor[at[heads]], own.pick[at[heads]] - self.first
+        self.row = np.searchsorted(own.offsets, self.first, side="right") - 1
+        self.starts = self.first - own.offsets[self.row]
+        digests = b"".join(
+            hashlib.blake2b(own.raw[a:b].data, digest_size=16).digest()
+            for a, b in zip(self.first.tolist(), (self.last + size).tolist(), strict=True)
+        )
+        self.hashes = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        bucket = blocks.bucket_of(self.anchors, n)
+        order = np.lexsort((self.starts, self.row, ids[self.row], self.hashes[:, 1], self.hashes[:, 0], bucket))
         fresh = np.ones(len(order), dtype=bool)
-        fresh[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+        fresh[1:] = (self.hashes[order][1:] != self.hashes[order][:-1]).any(axis=1)
         heads = np.flatnonzero(fresh)
         self.number = np.empty(len(order), dtype=np.int64)
         self.number[order] = np.cumsum(fresh) - 1
-        self.head = order[heads]  # among ``at``: the first copy of each distinct fragment
+        self.head = order[heads]
         self.many = np.diff(np.concatenate((heads, [len(order)]))) > 1
         self.bucket = bucket[self.head]
 
@@ -219,31 +242,29 @@ def dedup_suffixes(
     texts = blocks.in_blocks(df, n, id_column, text)
 
     def send(block_texts: pa.Table) -> pa.Table:
-        own = _Fragments(block_texts, size)
-        near = blocks.short(own.anchors, n)
-        hashes, often = blocks.held_often(near, np.arange(len(near)))
+        hashes, often = _Runs(block_texts, size).anchors(n)
         return blocks.send_hashes(block_texts["block"][0].as_py(), hashes, often, n)
 
     def fragments(block_texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(block_texts):
             return blocks.frame(SENT, [])
-        own, ids = _Fragments(block_texts, size), _ids(block_texts)
-        sent = _Distinct(own, blocks.told_shared(answers), ids, n)
+        own, ids = _Runs(block_texts, size), _ids(block_texts)
+        found = _Fragments(own, blocks.told_shared(answers), ids, size, n)
         rows = []
-        for bucket, s in blocks.each(sent.bucket):
-            at = sent.at[sent.head[s]]
-            spans = list(zip(own.first[at].tolist(), (own.last[at] + size).tolist(), strict=True))
+        for bucket, s in blocks.each(found.bucket):
+            at = found.head[s]
+            spans = zip(found.first[at].tolist(), (found.last[at] + size).tolist(), strict=True)
             rows.append(
                 (
                     bucket,
                     block_texts["block"][0].as_py(),
-                    np.stack([own.high[at], own.low[at]], axis=1).astype("<u8").tobytes(),
-                    own.anchors[at].astype("<u8").tobytes(),
-                    ids[own.row[at]].astype("<i8").tobytes(),
-                    own.starts[at].astype("<i8").tobytes(),
-                    own.picks[at].astype("<u4").tobytes(),
-                    sent.many[s].astype(np.uint8).tobytes(),
-                    (own.last[at] + size - own.first[at]).astype("<u4").tobytes(),
+                    found.hashes[at].astype("<u8").tobytes(),
+                    found.anchors[at].astype("<u8").tobytes(),
+                    ids[found.row[at]].astype("<i8").tobytes(),
+                    found.starts[at].astype("<i8").tobytes(),
+                    found.picks[at].astype("<u4").tobytes(),
+                    found.many[s].astype(np.uint8).tobytes(),
+                    (found.last[at] + size - found.first[at]).astype("<u4").tobytes(),
                     b"".join(own.raw[a:b].tobytes() for a, b in spans),
                 )
             )
@@ -253,21 +274,20 @@ def dedup_suffixes(
         return _repeated(table, size, keep)
 
     def cut(block_texts: pa.Table, answers: pa.Table) -> pa.Table:
-        own, ids = _Fragments(block_texts, size), _ids(block_texts)
+        own, ids = _Runs(block_texts, size), _ids(block_texts)
         told = blocks.told_shared(blocks.of_kind(answers, 0).rename_columns({"a": "hashes"}))
-        sent = _Distinct(own, told, ids, n)
-        whole = sent.many[sent.number].copy()
+        found = _Fragments(own, told, ids, size, n)
+        whole = found.many[found.number].copy()
         if keep == "first":
-            whole[sent.head] = False
-        at = sent.at[whole]
-        begin, end = [own.first[at]], [own.last[at] + size]
-        begins = {b: s.start for b, s in blocks.each(sent.bucket)}
-        found = blocks.of_kind(answers, 1)
-        for bucket, numbers, ranges in zip(*(found[c].to_pylist() for c in ("bucket", "a", "b")), strict=True):
-            head = sent.at[sent.head[begins[bucket] + np.frombuffer(numbers, "<u4").astype(np.int64)]]
+            whole[found.head] = False
+        begin, end = [found.first[whole]], [found.last[whole] + size]
+        begins = {b: s.start for b, s in blocks.each(found.bucket)}
+        repeated = blocks.of_kind(answers, 1)
+        for bucket, numbers, ranges in zip(*(repeated[c].to_pylist() for c in ("bucket", "a", "b")), strict=True):
+            head = found.head[begins[bucket] + np.frombuffer(numbers, "<u4").astype(np.int64)]
             pair = np.frombuffer(ranges, "<u4").reshape(-1, 2).astype(np.int64)
-            begin.append(own.first[head] + pair[:, 0])
-            end.append(own.first[head] + pair[:, 1] + size - 1)
+            begin.append(found.first[head] + pair[:, 0])
+            end.append(found.first[head] + pair[:, 1] + size - 1)
         return _cut(block_texts["id"], own.raw, own.offsets, np.concatenate(begin), np.concatenate(end))
 
     answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(send, blocks.SENT))
