@@ -16,13 +16,13 @@ def polls(spark, outcomes, max_poll, topic="t", part=0):
 
 # name, delivery, first records, poll size, later records, processed by the second run, failed in the first
 CASES = [
-    ("12_produced_10_poll_AMOD", "amod", 10, 10, 2, 2, 10),
-    ("30_produced_2_poll_AMOD", "amod", 20, 2, 10, 28, 2),
-    ("12_produced_1_poll_AMOD", "amod", 1, 1, 11, 11, 1),
-    ("12_produced_10_poll_ALOD", "alod", 10, 10, 2, 12, 10),
-    ("30_produced_2_poll_ALOD", "alod", 20, 2, 10, 30, 2),
-    ("12_produced_1_poll_ALOD", "alod", 1, 1, 11, 12, 1),
-    ("1_produced_1_poll_ALOD", "alod", 1, 1, 0, 1, 1),
+    ("a whole first poll is lost", "amod", 10, 10, 2, 2, 10),
+    ("many small polls, one lost", "amod", 20, 2, 10, 28, 2),
+    ("a lone record is lost", "amod", 1, 1, 11, 11, 1),
+    ("a whole first poll comes again", "alod", 10, 10, 2, 12, 10),
+    ("many small polls, one comes again", "alod", 20, 2, 10, 30, 2),
+    ("a lone record comes again", "alod", 1, 1, 11, 12, 1),
+    ("only the failed record is there", "alod", 1, 1, 0, 1, 1),
 ]
 
 
@@ -201,3 +201,19 @@ def test_partition_order(spark):
         return process
 
     assert processing.dead_letters(processing.process_records(log, watch(), ordered=True)).count() == 0
+
+
+def test_a_partition_without_a_commit_is_read_from_its_start(spark, rows):
+    log = spark.createDataFrame([("t", p, o) for p in (0, 1) for o in range(4)], "topic string, part int, roff bigint")
+    committed = spark.createDataFrame([("g", "t", 0, 2), ("h", "t", 0, 4)], "grp string, topic string, part int, committed bigint")
+    ends = spark.createDataFrame([("t", 0, 4), ("t", 1, 4)], "topic string, part int, end_off bigint")
+    for known in (None, ends):
+        got = rows(scan.from_commit(log, committed, known), "grp", "part", "roff")
+        assert got == [("g", 0, 2), ("g", 0, 3), *[("g", 1, o) for o in range(4)], *[("h", 1, o) for o in range(4)]]
+
+
+def test_a_loss_without_a_known_end_is_reported(spark, rows):
+    fetched = spark.createDataFrame([("t", 0, 5, 2), ("t", 1, 5, 3)], "topic string, part int, poll_id bigint, num_records bigint")
+    none = spark.createDataFrame([], "topic string, part int, client_id string")
+    ends = spark.createDataFrame([("t", 0, 9)], "topic string, part int, end_off bigint")
+    assert rows(delivery.revoked_data_loss(fetched, none, ends), "part", "hwm", "num_records") == [(0, 9, 2), (1, None, 3)]

@@ -147,3 +147,23 @@ def test_micros_do_not_depend_on_the_session_zone(spark):
             assert [r.us for r in df.select(micros(spark, "ts").alias("us")).collect()] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_files_hold_unbroken_ranges_in_order_of_time(spark):
+    rows_ = spark.range(20_000).select(
+        F.concat(F.lit("t"), F.col("id") % 2).alias("topic"), (F.col("id") % 3).cast("int").alias("part"),
+        F.col("id").cast("string").alias("rkey"), F.lit("v").alias("rvalue"), F.hash("id").alias("n"), "id",
+    )
+    table = write_log(rows_, new_folder(spark, "files"), ["n", "id"], segments=8)
+    per_file = (
+        spark.read.schema(table.schema).parquet(f"{table.path}/log")
+        .select("topic", "part", "roff", "_metadata.file_path", "_metadata.file_modification_time")
+        .groupBy("topic", "part", "file_path", "file_modification_time")
+        .agg(F.min("roff").alias("low"), F.max("roff").alias("high"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    assert len(per_file) > 8 and all(f.high - f.low + 1 == f.n for f in per_file)
+    for key in {(f.topic, f.part) for f in per_file}:
+        own = sorted((f for f in per_file if (f.topic, f.part) == key), key=lambda f: f.low)
+        assert [f.file_modification_time for f in own] == sorted(f.file_modification_time for f in own)
+        assert all(a.high + 1 == b.low for a, b in zip(own, own[1:]))

@@ -67,8 +67,7 @@ def test_failures_by_reason(spark, rows):
 
 
 def test_failure_headers_become_dimensions(spark):
-    clean = failures(spark).withColumn("meta", F.map_filter("meta", lambda k, _v: k != "traceparent"))
-    failed = metrics.producer_messages_failed(clean, "ns", metadata="meta")
+    failed = metrics.producer_messages_failed(failures(spark), "ns", metadata="meta")
     points = metrics.to_points(failed, metadata="meta").collect()
     by_reason = {p.attrs["error_reason"]: p for p in points}
     assert by_reason["timeout"].value == 2 and by_reason["timeout"].attrs["header"] == "x"
@@ -162,3 +161,10 @@ def test_delay_is_measured_from_the_newest_record_of_the_poll(spark, rows):
 def test_fetch_errors_without_a_topic(spark, rows):
     fetched = spark.createDataFrame([("ns-t", 1, "E"), (None, 0, "E"), ("ns-t", 1, None)], "topic string, part int, err string")
     assert rows(metrics.fetch_errors(fetched, "ns")) == [("", 0, "E", 1), ("t", 1, "E", 1)]
+
+
+def test_failures_that_differ_in_their_trace_are_one_point(spark):
+    data = [("ns-t", 0, "boom", False, {"a": "1", "traceparent": f"trace{k}"}) for k in range(2)]
+    df = spark.createDataFrame(data, "topic string, part int, err string, is_broker_err boolean, meta map<string,string>")
+    points = metrics.to_points(metrics.producer_messages_failed(df, "ns", metadata="meta"), metadata="meta").collect()
+    assert [p.value for p in points] == [2] and "traceparent" not in points[0].attrs

@@ -7,6 +7,8 @@ depend on ``spark.sql.mapKeyDedupPolicy``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,26 +20,25 @@ TRACE_HEADER = "traceparent"
 def last_wins(entries: Column) -> Column:
     """``array<struct<key,value>>`` as a map; of equal keys the last entry stays.
 
-    The array is wrapped and bound to a lambda variable so that it is evaluated once, not
-    once per entry that is compared with it.
+    Without equal keys, the usual case, the entries are the map. With them, each key takes
+    the last of its entries, found from the end of the list.
     """
-
-    def to_map(listed: Column) -> Column:
-        kept = F.filter(
-            listed,
-            lambda entry, i: ~F.exists(
-                F.slice(listed, i + F.lit(2), F.size(listed)),
-                lambda later: later["key"] == entry["key"],
-            ),
-        )
-        return F.map_from_entries(kept)
-
-    return F.get(F.transform(F.array(entries), to_map), F.lit(0))
+    keys = entries["key"]
+    distinct = F.array_distinct(keys)
+    backward = F.reverse(keys)
+    last = F.transform(
+        distinct, lambda k: F.get(entries, F.size(keys) - F.array_position(backward, k).cast("int"))
+    )
+    return F.map_from_entries(F.when(F.size(distinct) == F.size(keys), entries).otherwise(last))
 
 
 def merge_maps(*maps: Column) -> Column:
     """Union of maps; on an equal key the later map wins. Null maps count as empty."""
-    return last_wins(F.concat(*[F.map_entries(F.coalesce(m, F.expr(EMPTY))) for m in maps]))
+
+    def two(early: Column, late: Column) -> Column:
+        return F.map_concat(F.map_filter(early, lambda k, _v: ~F.map_contains_key(late, k)), late)
+
+    return reduce(two, [F.coalesce(m, F.expr(EMPTY)) for m in maps])
 
 
 def headers_to_map(headers: Column) -> Column:

@@ -13,14 +13,8 @@ DEFAULT_BOUNDS = (0, 5, 10, 25, 50, 75, 100, 250, 500, 750, 1000, 2500, 5000, 75
 
 
 def half_octave_bounds(low: int = -16, high: int = 34) -> tuple[float, ...]:
-    """Bounds at every half power of two, to six significant digits.
-
-    The default range, 2^-8 to 2^17 seconds, has 51 bounds. Exact powers keep all digits.
-    """
-    return tuple(
-        2.0 ** (i // 2) if i % 2 == 0 else float(f"{2.0 ** (i / 2):.6g}")
-        for i in range(low, high + 1)
-    )
+    """Bounds at every half power of two; the default range is 2^-8 to 2^17 seconds."""
+    return tuple(2.0 ** (i / 2) for i in range(low, high + 1))
 
 
 def bucket_index(value_us: str, bounds: Sequence[float]) -> Column:

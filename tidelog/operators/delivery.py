@@ -79,6 +79,8 @@ def revoked_data_loss(
 ) -> DataFrame:
     """Fetched partitions that no longer have an owner, with high watermark and size.
 
+    A partition whose end is not known is reported with a null watermark.
+
     Only at-most-once delivery loses them; under at-least-once they are read again, so
     nothing is reported.
     """
@@ -86,7 +88,7 @@ def revoked_data_loss(
     if delivery != "amod":
         orphans = orphans.where(F.lit(False))
     marks = ends.select(*PARTITION, F.col("end_off").alias("hwm"))
-    return orphans.join(marks, PARTITION).select(
+    return orphans.join(marks, PARTITION, "left").select(
         strip_namespace(F.col("topic"), namespace).alias("topic"),
         "part",
         "poll_id",

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.headers import EMPTY, record_dimensions
+from tidelog.functions.headers import EMPTY, header_dimensions, record_dimensions
 from tidelog.functions.histogram import DEFAULT_BOUNDS, histogram
 from tidelog.functions.labels import (
     codec_label,
@@ -134,11 +134,15 @@ def producer_messages_failed(
     """Failed records by reason, one per record; rows without an error are ignored.
 
     ``failures`` has ``topic, part, err, is_broker_err``. With ``metadata``, the name of a
-    map column, its headers become dimensions when the result goes through ``to_points``.
+    map column, its headers become dimensions when the result goes through ``to_points``;
+    the trace header, which differs in each record, is left out before anything is counted.
     """
     extra = [metadata] if metadata else []
+    failed = failures.where(F.col("err").isNotNull())
+    if metadata:
+        failed = failed.withColumn(metadata, header_dimensions(F.col(metadata)))
     counted = (
-        failures.where(F.col("err").isNotNull())
+        failed
         .groupBy("topic", "part", "err", "is_broker_err", *extra)
         .agg(F.count(F.lit(1)).alias("value"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators import catalog, lag
+from tidelog.functions.naming import strip_namespace
 from tidelog.plans.registry import query
 from tidelog.plans.sql import bare
 from tidelog.plans.views import NAMESPACE, Inputs
@@ -35,7 +36,7 @@ def consumer_group_lag(i: Inputs) -> DataFrame:
                or (w.regex <> '' and regexp_matches({bare('c.topic')}, w.regex))))""",
 )
 def monitored_topics(i: Inputs) -> DataFrame:
-    pairs = i.committed_offsets.withColumn("topic", F.substring("topic", len(NAMESPACE) + 2, 1000))
+    pairs = i.committed_offsets.withColumn("topic", strip_namespace(F.col("topic"), NAMESPACE))
     return lag.monitored_topics(pairs, i.monitor)
 
 

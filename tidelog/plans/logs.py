@@ -77,25 +77,36 @@ def consumer_groups(i: Inputs) -> DataFrame:
     return scan.group_counts(i.routed, list(GROUPS))
 
 
+def _some_commits(i: Inputs) -> DataFrame:
+    """The commits without those of one group in one partition number, as if it were new."""
+    return i.committed_offsets.where("not (grp = 'consumer2' and part = 1)")
+
+
+SOME_COMMITS = """(select g.grp, o.topic, o.part, coalesce(c.committed, -1) as committed
+    from partition_offsets o cross join (select distinct grp from committed_offsets) g
+    left join committed_offsets c on c.grp = g.grp and c.topic = o.topic and c.part = o.part
+        and not (c.grp = 'consumer2' and c.part = 1))"""
+
+
 @query(
     "resume_from_commit",
-    """select c.grp, r.topic, r.part, min(r.roff) as first_off, count(*) as num_records
-       from record_log r join committed_offsets c on c.topic = r.topic and c.part = r.part
+    f"""select c.grp, r.topic, r.part, min(r.roff) as first_off, count(*) as num_records
+       from record_log r join {SOME_COMMITS} c on c.topic = r.topic and c.part = r.part
        where r.roff >= c.committed group by c.grp, r.topic, r.part""",
 )
 def resume_from_commit(i: Inputs) -> DataFrame:
-    rows = scan.from_commit(i.record_log, i.committed_offsets)
+    rows = scan.from_commit(i.record_log, _some_commits(i), i.ends)
     return rows.groupBy("grp", "topic", "part").agg(F.min("roff").alias("first_off"), num_records())
 
 
 @query(
     "unread_records",
-    """select c.grp, r.topic, r.part, r.roff, r.rkey
-       from record_log r join committed_offsets c on c.topic = r.topic and c.part = r.part
+    f"""select c.grp, r.topic, r.part, r.roff, r.rkey
+       from record_log r join {SOME_COMMITS} c on c.topic = r.topic and c.part = r.part
        where r.roff >= c.committed""",
 )
 def unread_records(i: Inputs) -> DataFrame:
-    rows = scan.from_commit(i.record_log, i.committed_offsets)
+    rows = scan.from_commit(i.record_log, _some_commits(i), i.ends)
     return rows.select("grp", "topic", "part", "roff", "rkey")
 
 
@@ -376,12 +387,14 @@ def dispatch_partitions(i: Inputs) -> DataFrame:
 @query(
     "revoked_data_loss",
     f"""select {bare('f.topic')} as topic, f.part, f.poll_id, o.end_off as hwm, f.num_records
-        from {FETCHES} f join partition_offsets o on o.topic = f.topic and o.part = f.part
+        from {FETCHES} f left join partition_offsets o on o.topic = f.topic and o.part = f.part
+            and o.topic <> 'name_space-view'
         where not exists (select 1 from members m where m.grp = 'consumer1' and m.topic = f.topic and m.part = f.part)""",
 )
 def revoked_data_loss(i: Inputs) -> DataFrame:
     fetched = delivery.fetches(i.poll_log)
-    return delivery.revoked_data_loss(fetched, _owners(i), i.ends, "amod", NAMESPACE)
+    known = i.ends.where(F.col("topic") != f"{NAMESPACE}-view")  # one topic's ends are missing
+    return delivery.revoked_data_loss(fetched, _owners(i), known, "amod", NAMESPACE)
 
 
 @query(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators import compaction
@@ -69,34 +70,60 @@ def drain_and_stop(i: Inputs) -> DataFrame:
     return done.groupBy("topic").agg(F.count(F.lit(1)).alias("num_records"))
 
 
-def order_watcher():
-    """A user function that fails a record handled after a later one of its partition.
-
-    What it has seen lives as long as its task.
-    """
-    seen: dict = {}
-
-    def process(batch):
-        errors = []
-        for topic, part, offset in zip(batch["topic"], batch["part"], batch["roff"]):
-            late = offset <= seen.get((topic, part), -1)
-            errors.append("out of order" if late else None)
-            seen[(topic, part)] = offset
-        return errors
-
-    return process
+def first_of_each(folder: str, i: Inputs, schema) -> DataFrame:
+    """What each micro-batch held of each partition: number of records, first and last offset."""
+    done = delivery.results(i.spark, folder, schema)
+    return done.groupBy("topic", "part", "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("roff").alias("low"), F.max("roff").alias("high")
+    )
 
 
 @query(
     "stream_partition_order",
-    "select topic, part, count(*) as num_records, cast(0 as bigint) as out_of_order from record_log group by topic, part",
+    """select topic, part, count(*) as num_records, cast(0 as bigint) as out_of_order, cast(0 as bigint) as repeated
+       from record_log group by topic, part""",
 )
 def stream_partition_order(i: Inputs) -> DataFrame:
-    stream, folder = _stream(i), new_folder(i.spark, "order")
-    _drained(delivery.consume_at_least_once(stream, order_watcher(), folder, "order", drain=True))
-    done = delivery.results(i.spark, folder, stream.schema)
-    return done.groupBy("topic", "part").agg(
-        F.count(F.lit(1)).alias("num_records"), F.count("error").alias("out_of_order")
+    """Micro-batches small enough that a partition comes in several, each after those before it."""
+    stream = i.log_table.read_stream(i.spark, 1000).select(*NEEDED)
+    folder = new_folder(i.spark, "order")
+    _drained(delivery.consume_at_least_once(stream, below_ten(), folder, "order", drain=True))
+    earlier = Window.partitionBy("topic", "part").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    polls = first_of_each(folder, i, stream.schema).withColumn("before", F.max("high").over(earlier))
+    return polls.groupBy("topic", "part").agg(
+        F.sum("n").alias("num_records"),
+        F.count(F.when(F.col("low") < F.col("before"), 1)).alias("out_of_order"),
+        (F.sum("n") - F.max("high") - 1).alias("repeated"),
+    )
+
+
+@query(
+    "stream_resume",
+    "select topic, part, count(*) as num_records, max(roff) + 1 as reached from record_log group by topic, part",
+)
+def stream_resume(i: Inputs) -> DataFrame:
+    """A run that dies at its third batch, then one that starts anew from the commits: all is handled."""
+    stream = i.log_table.read_stream(i.spark, 1000).select(*NEEDED)
+    first, second = new_folder(i.spark, "died"), new_folder(i.spark, "resumed")
+    step = delivery.at_least_once_step(below_ten(), first)
+
+    def dying(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 2:
+            raise RuntimeError("the third batch fails")
+        step(batch, batch_id)
+
+    job = stream.writeStream.foreachBatch(dying).option("checkpointLocation", f"{first}/checkpoint")
+    try:
+        job.trigger(availableNow=True).start().awaitTermination()
+    except StreamingQueryException as failure:
+        if "the third batch fails" not in str(failure):
+            raise
+    resumed = delivery.resume(stream, delivery.positions(i.spark, first))
+    _drained(delivery.consume_at_least_once(resumed, below_ten(), second, "resumed", drain=True))
+    both = [delivery.results(i.spark, folder, stream.schema) for folder in (first, second)]
+    rows = both[0].unionByName(both[1]).select("topic", "part", "roff").distinct()
+    return rows.groupBy("topic", "part").agg(
+        F.count(F.lit(1)).alias("num_records"), (F.max("roff") + 1).alias("reached")
     )
 
 

@@ -69,7 +69,7 @@ class Inputs:
             F.col("user_id").cast("string").alias("rkey"),
             F.col("props").alias("rvalue"),
             micros(self.spark, "ts").alias("ts_us"),
-            F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+            F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("k"),
             "event_id",
         )
 
@@ -115,7 +115,9 @@ class Inputs:
 
     @property
     def poll_log(self) -> DataFrame:
-        return with_polls(self.record_log, MAX_POLL).withColumn("ok", F.col("k") >= FAILS_BELOW)
+        return with_polls(self.record_log, MAX_POLL).withColumn(
+            "ok", F.coalesce(F.col("k") >= FAILS_BELOW, F.lit(False))
+        )
 
     @property
     def batch_log(self) -> DataFrame:
@@ -177,7 +179,7 @@ class Inputs:
         )
         return (
             self.table("events")
-            .withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
+            .withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).try_cast("int"))
             .select(
                 "event_id",
                 kind.alias("kind"),
@@ -191,10 +193,7 @@ class Inputs:
 
     @cached_property
     def ends(self) -> DataFrame:
-        """``topic, part, end_off``, from the stored log if there is one by now."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "events")
-        if key in _stored:
-            return self.log_table.ends(self.spark)
+        """``topic, part, end_off``, counted once per session."""
 
         def build() -> str:
             path = new_folder(self.spark, "ends")

@@ -1,12 +1,16 @@
 """A record log stored as a table.
 
-The layout is ``<path>/log/topic=<t>/part=<p>/*.parquet``, rows carrying the offset
-``roff`` that a broker would have given them, plus ``<path>/ends`` with one row per
-partition. A topic filter prunes directories and an offset range prunes row groups.
+The layout is ``<path>/log/topic=<t>/part=<p>/segment=<n>/*.parquet``, rows carrying the
+offset ``roff`` that a broker would have given them, plus ``<path>/ends`` with one row per
+partition. A topic filter prunes directories. A file holds one unbroken range of offsets of
+one partition, so an offset range prunes files, and the files' times follow their offsets,
+which is the order in which a stream takes them.
 """
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +21,8 @@ from pyspark.sql import types as T
 from tidelog.functions.joins import bounded
 from tidelog.functions.labels import CODECS
 
+#: How much of a log a micro-batch takes by default.
+BYTES_PER_TRIGGER = 256 << 20
 # Codecs the Parquet writer knows under another name.
 _PARQUET_NAMES = {"none": "uncompressed", "lz4": "lz4_raw"}
 
@@ -46,17 +52,13 @@ class LogTable:
     partitions: int
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(f"{self.path}/log")
+        rows = spark.read.schema(self.schema).parquet(f"{self.path}/log")
+        return rows.select(*self.schema.names)
 
-    def read_stream(self, spark: SparkSession, files_per_trigger: int | None = None) -> DataFrame:
-        """The log as a file stream.
-
-        ``files_per_trigger`` bounds a micro-batch; by default it grows with the cluster, a
-        file per core and at least ten.
-        """
-        files = files_per_trigger or max(10, spark.sparkContext.defaultParallelism)
-        reader = spark.readStream.schema(self.schema)
-        return reader.option("maxFilesPerTrigger", files).parquet(f"{self.path}/log")
+    def read_stream(self, spark: SparkSession, bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
+        """The log as a file stream; a micro-batch takes ``bytes_per_trigger`` of files, one at least."""
+        reader = spark.readStream.schema(self.schema).option("maxBytesPerTrigger", bytes_per_trigger)
+        return reader.parquet(f"{self.path}/log").select(*self.schema.names)
 
     def ends(self, spark: SparkSession) -> DataFrame:
         """``topic, part, end_off``: the next offset of each partition, without a log scan."""
@@ -140,14 +142,37 @@ def write_log(
     logged = (
         staged.join(shifts, [*where, "_seg"])
         .withColumn("roff", F.col("_row") + F.col("_shift"))
-        .drop("_seg", "_row", "_shift")
+        .withColumnRenamed("_seg", "segment")
+        .drop("_row", "_shift")
     )
+    # Tasks may read several segments; a directory each keeps their offsets in files apart.
     (
-        logged.sortWithinPartitions(*where, "roff")
+        logged.sortWithinPartitions(*where, "segment", "roff")
         .write.option("compression", compression)
-        .partitionBy(*where)
+        .partitionBy(*where, "segment")
         .parquet(f"{path}/log")
     )
-    fields = {f.name: f for f in logged.schema.fields}
+    _time_in_order(spark, f"{path}/log")
+    fields = {f.name: f for f in logged.drop("segment").schema.fields}
     stored = [f for name, f in fields.items() if name not in where] + [fields[c] for c in where]
     return LogTable(path, T.StructType(stored), sizes[0])
+
+
+def _time_in_order(spark: SparkSession, path: str) -> None:
+    """Give the files of a log times in the order of their segments, a millisecond apart.
+
+    File streams take files by time. On stores that cannot set times the order of a stream
+    is the order of writing; commits count unbroken ranges only, so nothing is lost there.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = fs.listFiles(folder, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        match = re.search(r"/segment=(\d+)/[^/]*part-(\d+)[^/]*$", file.toString())
+        if match:
+            files.append((int(match[1]), int(match[2]), file.toString(), file))
+    now = int(time.time() * 1000) - len(files)
+    for nth, (*_, file) in enumerate(sorted(files, key=lambda f: f[:3])):
+        fs.setTimes(file, now + nth, -1)

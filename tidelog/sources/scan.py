@@ -51,14 +51,23 @@ def replay(log: DataFrame, ends: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def from_commit(log: DataFrame, committed: DataFrame) -> DataFrame:
+def from_commit(log: DataFrame, committed: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     """What each group would read after a restart: rows at or after its commit.
 
-    ``committed`` has ``grp, topic, part, committed``; -1 is no commit, so the start.
+    ``committed`` has ``grp, topic, part, committed``; -1 is no commit, so the start. A
+    partition that a group has no row for, as a new one, is read from its start too.
+    ``ends`` names the partitions there are; without it the log is asked.
     """
-    return log.join(committed.select("grp", *PARTITION, "committed"), PARTITION).where(
-        F.col("roff") >= F.col("committed")
+    partitions = (log if ends is None else ends).select(*PARTITION).distinct()
+    groups = committed.select("grp").distinct()
+    marks = (
+        partitions.join(F.broadcast(groups))  # a few groups, for each partition of metadata
+        .join(committed.select("grp", *PARTITION, "committed"), ["grp", *PARTITION], "left")
+        .withColumn("committed", F.coalesce("committed", F.lit(-1)))
     )
+    lowest = marks.agg(F.min("committed")).scalar()
+    tail = log.where(F.col("roff") >= lowest)
+    return tail.join(marks, PARTITION).where(F.col("roff") >= F.col("committed"))
 
 
 def group_counts(log: DataFrame, groups: list[str]) -> DataFrame:

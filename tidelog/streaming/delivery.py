@@ -8,7 +8,7 @@ storage that all executors share.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +37,17 @@ def _process_into(
     return target
 
 
+def _ranges(batch: DataFrame, commit: Column) -> DataFrame:
+    """Unbroken runs of offsets in a micro-batch: ``first``, ``next`` after the last, ``commit``."""
+    in_order = Window.partitionBy(*PARTITION).orderBy("roff")
+    return (
+        batch.withColumn("_run", F.col("roff") - F.row_number().over(in_order))
+        .groupBy(*PARTITION, "_run")
+        .agg(F.min("roff").alias("first"), (F.max("roff") + 1).alias("next"), commit.alias("commit"))
+        .drop("_run")
+    )
+
+
 def _start(stream: DataFrame, name: str, step, folder: str, drain: bool) -> StreamingQuery:
     writer = (
         stream.writeStream.foreachBatch(step)
@@ -57,25 +68,26 @@ def consume_at_least_once(
     """Process, then commit.
 
     The checkpoint marks a batch as done only after it was processed, so a crash brings it
-    again. The commit of a partition is the offset after its last success, even if earlier
+    again. The commit of a range of offsets is the one after its last success, even if earlier
     rows failed; those go to the dead letters, not to a retry. ``drain`` stops once all
     records present at the start are processed. ``ordered`` handles a partition's rows in
     offset order in one task; without it they spread over tasks, for functions that do not
     depend on order.
     """
 
+    return _start(stream, name, at_least_once_step(process, folder, ordered), folder, drain)
+
+
+def at_least_once_step(process: BatchProcessor, folder: str, ordered: bool = True):
+    """What ``consume_at_least_once`` does with each micro-batch."""
+
     def step(batch: DataFrame, batch_id: int) -> None:
         target = _process_into(batch, batch_id, process, folder, ordered)
         done = batch.sparkSession.read.schema(_stored(batch.schema)).parquet(target)
-        (
-            done.where(~F.col("failed"))
-            .groupBy(*PARTITION)
-            .agg((F.max("roff") + 1).alias("commit"))
-            .write.mode("overwrite")
-            .parquet(f"{folder}/commits/batch_id={batch_id}")
-        )
+        ranges = _ranges(done, F.max(F.when(~F.col("failed"), F.col("roff"))) + 1)
+        ranges.write.mode("overwrite").parquet(f"{folder}/commits/batch_id={batch_id}")
 
-    return _start(stream, name, step, folder, drain)
+    return step
 
 
 def consume_at_most_once(
@@ -94,7 +106,7 @@ def consume_at_most_once(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        polled = batch.groupBy(*PARTITION).agg((F.max("roff") + 1).alias("commit"))
+        polled = _ranges(batch, F.max("roff") + 1)
         try:
             polled.write.mode("errorifexists").parquet(f"{folder}/commits/batch_id={batch_id}")
         except AnalysisException as found:
@@ -143,11 +155,36 @@ def results(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame
 
 
 def commits(spark: SparkSession, folder: str) -> DataFrame:
-    """Committed position per batch and partition."""
-    schema = "topic string, part int, commit bigint, batch_id bigint"
+    """What was handled per batch and partition: ranges of offsets and the commit in each.
+
+    ``commit`` is null where nothing of a range succeeded.
+    """
+    schema = "topic string, part int, first bigint, next bigint, commit bigint, batch_id bigint"
     return spark.read.schema(schema).parquet(f"{folder}/commits")
 
 
-def positions(spark: SparkSession, folder: str) -> DataFrame:
-    """``topic, part, position``: where the group stands now."""
-    return commits(spark, folder).groupBy(*PARTITION).agg(F.max("commit").alias("position"))
+def positions(spark: SparkSession, folder: str, start: DataFrame | None = None) -> DataFrame:
+    """``topic, part, position``: where the group stands now.
+
+    A position is the last commit of the ranges handled without a gap, from offset 0 or from
+    the ``position`` in ``start``. Batches that came out of offset order leave gaps; what lies
+    above one has been handled but is not counted, so a new run reads it again and skips
+    nothing. Failed rows count as handled.
+    """
+    ranges = commits(spark, folder)
+    if start is not None:
+        ranges = ranges.join(start.select(*PARTITION, F.col("position").alias("_start")), PARTITION, "left")
+    else:
+        ranges = ranges.withColumn("_start", F.lit(None).cast("bigint"))
+    in_order = Window.partitionBy(*PARTITION).orderBy("first", "next")
+    reached = F.max("next").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    gap = F.col("first") > F.coalesce(F.greatest(reached, F.coalesce("_start", F.lit(0))), F.lit(0))
+    unbroken = ranges.withColumn("_gap", gap.cast("int")).withColumn(
+        "_gaps", F.sum("_gap").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return (
+        unbroken.where("_gaps = 0")
+        .groupBy(*PARTITION)
+        .agg(F.max("commit").alias("position"))
+        .where("position is not null")
+    )
