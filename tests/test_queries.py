@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as repo
+from tidelog.plans import registry
 from tools.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,18 +19,19 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(repo.queries()) == set(repo.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(repo.queries())
 
 
 def test_entry(spark):
     assert repo.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(repo.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, db, name):
-    frame = repo.queries()[name](spark, FOLDER)
+    frame = registry.queries()[name](spark, FOLDER)
     got = [tuple(r) for r in frame.collect()]
-    want = db.execute(repo.oracle_sql()[name])
+    want = db.execute(registry.oracle_sql()[name])
     columns = [d[0] for d in want.description]
     assert sorted(frame.columns) == sorted(columns)
     assert rows_of(frame.columns, got) == rows_of(columns, want.fetchall())

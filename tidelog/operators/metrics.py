@@ -194,8 +194,15 @@ def to_points(
     return flat.select("metric", "unit", attrs.alias("attrs"), "value")
 
 
+def wanted_counters(
+    counters: dict[str, tuple[str, str]], metrics: Sequence[str] | None
+) -> dict[str, tuple[str, str]]:
+    """Those of ``counters`` that are among ``metrics``; None stands for all."""
+    return counters if metrics is None else {m: c for m, c in counters.items() if m in metrics}
+
+
 def batch_points(sums: DataFrame, counters: dict[str, tuple[str, str]], names: dict[str, str]) -> DataFrame:
-    """All counters of batch sums as points, without scanning the sums once per counter."""
+    """The named counters of batch sums as points, without scanning the sums once per counter."""
     rows = ", ".join(f"'{m}', '{unit}', `{c}`" for m, (c, unit) in counters.items())
     measures = F.expr(f"stack({len(counters)}, {rows})").alias("metric", "unit", "value")
     dims = [c for c in sums.columns if c not in SIZES]
@@ -260,6 +267,16 @@ def consumer_delay_histogram(
     return histogram(message_delay(polls), list(attrs), "delay_us", bounds)
 
 
+def describe_delays(
+    delays: DataFrame, namespace: str = "", topic_dim: DataFrame | None = None
+) -> DataFrame:
+    """A delay histogram by topic and part with the dimensions of message metrics.
+
+    They follow from the topic, so they join after the records are counted.
+    """
+    return _describe(delays, namespace, topic_dim)
+
+
 def with_latency(events: DataFrame) -> DataFrame:
     """Broker events with ``latency_us``: waiting plus transfer."""
     return events.withColumn("latency_us", F.col("wait_us") + F.col("io_us"))

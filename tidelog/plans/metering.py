@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,6 +116,21 @@ def producer_messages_failed(i: Inputs) -> DataFrame:
     return _filled(_failed(i))
 
 
+@query(
+    "producer_failed_by_header",
+    f"""select f.topic, f.part, f.error_reason, f.tenant, count(*) as value
+        from (select *, {PRODUCE_REASON} as error_reason, cast(k % 3 as varchar) as tenant from produce_failure_log) f
+        group by f.topic, f.part, f.error_reason, f.tenant""",
+)
+def producer_failed_by_header(i: Inputs) -> DataFrame:
+    """One point for each tenant: the trace header differs in every record and is no dimension."""
+    tenant = (F.col("k") % 3).cast("string")
+    trace = F.concat_ws("-", "topic", "part", "roff")
+    meta = F.create_map(F.lit("tenant"), tenant, F.lit("traceparent"), trace)
+    failed = metrics.producer_messages_failed(i.produce_failure_log.withColumn("meta", meta), NAMESPACE, metadata="meta")
+    return failed.select("topic", "part", "error_reason", F.col("meta")["tenant"].alias("tenant"), "value")
+
+
 ALL_SQL = f"""
 select * replace (coalesce(codec, '') as codec, coalesce(error_reason, '') as error_reason)
 from ({_counter_sql('producer.messages.count')} union all by name {FAILED_SQL}) u"""
@@ -200,12 +216,19 @@ def fetch_errors(i: Inputs) -> DataFrame:
 # ---- points ------------------------------------------------------------------------
 
 
-def _points(i: Inputs) -> DataFrame:
-    """All counters of the log as points."""
-    produced = metrics.batch_points(_produced(i), metrics.PRODUCE_COUNTERS, metrics.PRODUCE_NAMES)
-    fetched = metrics.batch_points(_fetched(i), metrics.FETCH_COUNTERS, metrics.FETCH_NAMES)
-    failed = metrics.to_points(_failed(i), metrics.PRODUCE_NAMES)
-    return produced.unionByName(fetched).unionByName(failed)
+def _points(i: Inputs, wanted: Sequence[str] | None = None) -> DataFrame:
+    """The counters of the log as points; only what ``wanted`` needs is computed."""
+    parts = []
+    for sums, counters, names in (
+        (_produced, metrics.PRODUCE_COUNTERS, metrics.PRODUCE_NAMES),
+        (_fetched, metrics.FETCH_COUNTERS, metrics.FETCH_NAMES),
+    ):
+        some = metrics.wanted_counters(counters, wanted)
+        if some:
+            parts.append(metrics.batch_points(sums(i), some, names))
+    if wanted is None or "producer.messages.count" in wanted:
+        parts.append(metrics.to_points(_failed(i), metrics.PRODUCE_NAMES))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _points_sql() -> str:
@@ -250,7 +273,7 @@ PICKED = ["producer.messages.count", "consumer.messages.wire.bytes", "producer.m
 )
 def metric_scope_filter(i: Inputs) -> DataFrame:
     """The last name is one that nothing reports."""
-    return metrics.pick_metrics(_points(i), PICKED)
+    return metrics.pick_metrics(_points(i, PICKED), PICKED)
 
 
 @query(
@@ -258,7 +281,7 @@ def metric_scope_filter(i: Inputs) -> DataFrame:
     f"select cast(sum(value) as bigint) as total from ({_points_sql()}) p where metric = 'producer.messages.count'",
 )
 def metric_total(i: Inputs) -> DataFrame:
-    return metrics.metric_total(_points(i), "producer.messages.count")
+    return metrics.metric_total(_points(i, ["producer.messages.count"]), "producer.messages.count")
 
 
 # ---- histograms --------------------------------------------------------------------
@@ -277,10 +300,14 @@ def _by_bucket(hist: DataFrame, attrs: Sequence[str]) -> DataFrame:
 
 @query(
     "consumer_delay_histogram",
-    histogram_sql("select * from message_delay", ["topic", "part"], "delay_us", DEFAULT_BOUNDS),
+    f"""select h.*, 'kafka' as system, {bare('h.topic')} as name, 'name_space' as namespace,
+               coalesce(d.team, '') as team, coalesce(d.tier, '') as tier
+        from ({histogram_sql("select * from message_delay", ["topic", "part"], "delay_us", DEFAULT_BOUNDS)}) h
+        left join topic_dim d on d.topic = {bare('h.topic')}""",
 )
 def consumer_delay_histogram(i: Inputs) -> DataFrame:
-    return _by_bucket(metrics.consumer_delay_histogram(i.poll_log), ["topic", "part"])
+    delays = metrics.describe_delays(metrics.consumer_delay_histogram(i.poll_log), NAMESPACE, i.topic_dim)
+    return _filled(_by_bucket(delays, ["topic", "part", "system", "name", "namespace", "team", "tier"]))
 
 
 LATENCY = """select operation, case when err is null then 'success' else 'failure' end as outcome,

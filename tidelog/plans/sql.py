@@ -153,7 +153,7 @@ CONNECT_REASON = (
 
 def histogram_sql(source: str, attrs: Sequence[str], value: str, bounds: Sequence[float]) -> str:
     """One row per attribute set and bucket, empty buckets included."""
-    limits = ", ".join(str(round(b * 1_000_000)) for b in bounds)
+    limits = ", ".join(str(int(b * 1_000_000 + 1e-6)) for b in bounds)
     keys = "".join(f"{a}, " for a in attrs)
     same = "".join(f" and c.{a} = t.{a}" for a in attrs)
     outer = "".join(f"t.{a}, " for a in attrs)
