@@ -27,9 +27,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of repeated three-line windows."""
-    kept = lines.dedup_lines(docs)
+    """Documents without the lines of repeated three-line windows; one that has no line left goes."""
     changed = F.col("n_lines_removed") > 0
+    kept = lines.dedup_lines(docs).where(~changed | (F.col("n_lines_removed") < F.col("n_lines")))
     return kept.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
