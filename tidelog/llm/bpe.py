@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.llm.bytes_np import slices
+
 #: A text longer than this many characters is encoded in pieces of about this size.
 PIECE = 100_000
 
@@ -98,7 +100,7 @@ def unpacked(df: DataFrame, ids: str = "ids", to: str = "id_array") -> DataFrame
     """``df`` with packed ``ids`` as ``array<int>`` in the column ``to``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ids):
             values = [np.frombuffer(v.as_py() or b"", dtype="<i4") for v in batch.column(ids)]
             yield _with_column(batch, to, pa.array(values, pa.list_(pa.int32())))
 
@@ -117,7 +119,7 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
 def _with_binary(df: DataFrame, source: str, to: str, ranks: str, pattern: str, one) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(ranks, pattern)
-        for batch in batches:
+        for batch in slices(batches, source):
             values = [one(value.as_py(), own) for value in batch.column(source)]
             yield _with_column(batch, to, pa.array(values, pa.binary()))
 

@@ -101,6 +101,19 @@ def chunks(offsets: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 * CHUNK) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column`` has at most ``most`` bytes in each, or one row.
+
+    What a task holds besides the batch it was given stays small; memory that is no longer
+    used goes back, since workers live on.
+    """
+    for batch in batches:
+        _, offsets = buffers(batch.column(column))
+        for a, b in chunks(offsets, most):
+            yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
+
+
 def is_space() -> np.ndarray:
     """Which bytes separate words: space and the control characters 9 to 13."""
     out = np.zeros(256, dtype=bool)

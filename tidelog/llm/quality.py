@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.bytes_np import Words, buffers, chunks, combined, is_space, lowered, powers, prefix_sums, range_hashes, BYTE_VALUES
+from tidelog.llm.bytes_np import Words, buffers, chunks, combined, is_space, lowered, powers, prefix_sums, range_hashes, slices, BYTE_VALUES
 from tidelog.llm.common import staged
 
 OUTPUT = ("p_low", "p_toxic", "p_site", "p_reject", "rejected")
@@ -160,7 +160,7 @@ def fit(
     chosen = _pick_words(labelled.where(F.col(fold) == 0), text, low, toxic)
 
     def measure(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             values = _measures(batch.column("text"), chosen)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -190,7 +190,7 @@ def _pick_words(labelled: DataFrame, text: str, low: str, toxic: str) -> tuple[n
     """For each head the words that are the strongest evidence, by document counts."""
 
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             flags = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("low", "toxic")], axis=1)
             for a, read in _reads(batch.column("text")):
                 hashes, owners = (np.concatenate(x) for x in zip(*read.tokens(), strict=True))
@@ -264,7 +264,7 @@ def evidence(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType([*own, T.StructField("p_low", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
 
     def score(batches):
-        for batch in batches:
+        for batch in slices(batches, text):
             z = (_measures(batch.column(text), model.words) - model.center) / model.spread
             odds = [np.clip(z @ w[:-1] + w[-1], -15, 15) for w in model.weights]
             columns = [batch.column(f.name) for f in own] + [pa.array(1 / (1 + np.exp(-o)), pa.float64()) for o in odds]
