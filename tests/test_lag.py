@@ -114,3 +114,16 @@ def test_regex_rows_never_match_by_name(spark, rows):
 def test_monitored_groups(spark, rows):
     monitor = frames(spark)[3]
     assert [r[0] for r in rows(lag.monitored_groups(monitor))] == ["connect", "consumer1", "consumer2", "consumer3"]
+
+
+def test_an_error_of_the_commit_comes_first(spark):
+    """The same partition fails to list its end and to give its commit: the commit's error stays."""
+    from pyspark.sql import functions as F
+
+    offsets = [("topic1", 1, 1, 1, None, "OFFSET_OUT_OF_RANGE"), ("topic1", 2, 2, 2, None, None)]
+    committed, *rest = frames(spark, offsets=offsets)
+    broken = committed.withColumn("commit_err", F.when(F.col("grp") == "consumer1", "NOT_COORDINATOR"))
+    state = lag.lag_state(broken, *rest, "name_space").where("topic = 'topic1'").collect()
+    errors = {(r.grp, r.part): r.err for r in state}
+    assert errors["consumer1", 1] == "NOT_COORDINATOR"
+    assert errors["consumer2", 1] == "OFFSET_OUT_OF_RANGE" and errors["consumer2", 2] is None

@@ -167,3 +167,16 @@ def test_files_hold_unbroken_ranges_in_order_of_time(spark):
         own = sorted((f for f in per_file if (f.topic, f.part) == key), key=lambda f: f.low)
         assert [f.file_modification_time for f in own] == sorted(f.file_modification_time for f in own)
         assert all(a.high + 1 == b.low for a, b in zip(own, own[1:]))
+
+
+@pytest.mark.parametrize("codec", ["zstd", "gzip", "none", "lz4"])
+def test_the_codec_is_in_the_files(spark, codec):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = spark.createDataFrame([("t", 0, "k", "v" * 100, n) for n in range(50)], "topic string, part int, rkey string, rvalue string, n int")
+    table = write_log(df, new_folder(spark, "codec"), ["n"], codec=codec)
+    files = glob.glob(f"{table.path}/log/**/*.parquet", recursive=True)
+    found = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    assert found == {{"none": "UNCOMPRESSED", "lz4": "LZ4"}.get(codec, codec.upper())}

@@ -51,8 +51,9 @@ def lost_records(polls: DataFrame, partitions: int, delivery: str = "alod") -> D
     """
     failed = polls.where(~F.col("ok")).select(*PARTITION, "roff")
     if delivery == "alod":
-        positions = bounded(final_positions(alod_commits(polls)), partitions)
-        failed = failed.join(positions, PARTITION).where(F.col("roff") < F.col("position"))
+        # The last commit of all polls is the one after the partition's last success.
+        last = polls.where("ok").groupBy(*PARTITION).agg((F.max("roff") + 1).alias("position"))
+        failed = failed.join(bounded(last, partitions), PARTITION).where(F.col("roff") < F.col("position"))
     return failed.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("lost"))
 
 

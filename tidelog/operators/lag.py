@@ -2,7 +2,7 @@
 
 Inputs (wire topic names):
 
-* ``committed``: ``grp, topic, part, committed`` (-1 = none)
+* ``committed``: ``grp, topic, part, committed`` (-1 = none) and, optionally, ``commit_err``
 * ``members``: ``grp, topic, part, client_id``
 * ``offsets``: ``topic, part, start_off, end_off, start_err, end_err``
 * ``monitor``: ``topic, regex, consumer`` (bare topic names)
@@ -59,7 +59,8 @@ def lag_state(
 
     Columns: ``grp, topic`` (bare)``, part, client_id, committed, start_off, end_off, lag,
     err``. A group reports all partitions of each topic it has a commit or a member in. Lag
-    is end - committed, without a commit end - start, and never negative.
+    is end - committed, without a commit end - start, and never negative. The error is that
+    of the commit, else of the offsets.
 
     Commits, members and listed offsets are stacked and folded by key, so the only joins
     are the monitor filter and the expansion of topics to partitions.
@@ -70,23 +71,24 @@ def lag_state(
             "topic", strip_namespace(F.col("topic"), namespace)
         )
 
-    facts = committed.select(*KEYS, "committed").unionByName(
+    commit_err = F.col("commit_err") if "commit_err" in committed.columns else F.lit(None).cast("string")
+    facts = committed.select(*KEYS, "committed", commit_err.alias("commit_err")).unionByName(
         members.select(*KEYS, "client_id"), allowMissingColumns=True
     )
     if failed_groups is not None:
         facts = facts.join(failed_groups.select("grp"), "grp", "left_anti")
-    known = monitored(scoped(facts), monitor)
+    # The patterns are tried once for each group and topic, not for each partition.
+    pairs = monitored_topics(scoped(facts), monitor)
+    known = scoped(facts).join(pairs, ["grp", "topic"], "left_semi")
     measures = ["start_off", "end_off", "start_err", "end_err"]
     listed = (
-        known.select("grp", "topic")
-        .distinct()
-        .join(scoped(offsets.select("topic", "part", *measures)), "topic")
+        pairs.join(scoped(offsets.select("topic", "part", *measures)), "topic")
         .withColumn("_listed", F.lit(True))
     )
     state = (
         known.unionByName(listed, allowMissingColumns=True)
         .groupBy(*KEYS)
-        .agg(*[F.max(c).alias(c) for c in ("committed", "client_id", *measures, "_listed")])
+        .agg(*[F.max(c).alias(c) for c in ("committed", "commit_err", "client_id", *measures, "_listed")])
     )
     has_commit = F.coalesce(F.col("committed"), F.lit(-1)) >= 0
     lag = F.col("end_off") - F.when(has_commit, F.col("committed")).otherwise(F.col("start_off"))
@@ -98,7 +100,7 @@ def lag_state(
         "start_off",
         "end_off",
         F.greatest(lag, F.lit(0)).cast("bigint").alias("lag"),
-        F.coalesce(missing, F.col("start_err"), F.col("end_err")).alias("err"),
+        F.coalesce(F.col("commit_err"), missing, F.col("start_err"), F.col("end_err")).alias("err"),
     )
 
 

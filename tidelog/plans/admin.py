@@ -15,8 +15,10 @@ CONFIGS = {"retention.ms": "123", "cleanup.policy": "compact,delete", "max.messa
 
 
 def _state(i: Inputs) -> DataFrame:
+    # One group's commits in one partition number could not be read.
+    broken = F.when(F.expr("grp = 'consumer2' and part = 0"), "UNKNOWN_TOPIC_OR_PARTITION")
     return lag.lag_state(
-        i.committed_offsets, i.members, i.partition_offsets, i.monitor, NAMESPACE
+        i.committed_offsets.withColumn("commit_err", broken), i.members, i.partition_offsets, i.monitor, NAMESPACE
     )
 
 

