@@ -7,6 +7,7 @@ crash changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog.functions.histogram import DEFAULT_BOUNDS, bucket_index
 from tidelog.operators.compaction import latest_per_key
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -110,6 +112,28 @@ def count_deltas(
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
+def count_buckets(
+    stream: DataFrame,
+    by: list[str],
+    value_us: str,
+    folder: str,
+    name: str,
+    bounds: Sequence[float] = DEFAULT_BOUNDS,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Explicit-bucket histograms: what each micro-batch added to each bucket."""
+    valued = stream.where(F.col(value_us).isNotNull()).withColumn("bucket", bucket_index(value_us, bounds))
+    measures = {"bucket_count": F.count(F.lit(1)), "sum_us": F.sum(value_us)}
+    return count_deltas(valued, [*by, "bucket"], measures, folder, name, drain)
+
+
+def bucket_totals(spark: SparkSession, folder: str, by_schema: str, by: list[str]) -> DataFrame:
+    """The histograms that ``count_buckets`` has counted so far, one row per bucket in use."""
+    schema = f"{by_schema}, bucket int, bucket_count bigint, sum_us bigint, batch_id bigint"
+    deltas = spark.read.schema(schema).parquet(f"{folder}/updates")
+    return deltas.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in ("bucket_count", "sum_us")])
+
+
 def dedup_stream(stream: DataFrame, event_time: str, horizon: str) -> DataFrame:
     """Drop records delivered again within ``horizon`` of event time."""
     return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(
