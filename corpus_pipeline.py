@@ -49,8 +49,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids`` (packed), and whether the ids decode to the text."""
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern)
-    decoded = bpe.decode(encoded, ranks, pattern)
+    rows = docs.select("doc_id", "lang", "source", "text")
+    decoded = bpe.encode(rows, ranks, pattern, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select("doc_id", "lang", "source", bpe.token_count("ids").alias("n_tokens"), "ids", same.alias("round_trip"))
 

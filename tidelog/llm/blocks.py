@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.bytes_np import lean
 from tidelog.llm.common import block_of, partitions
 
 #: Largest id: stands in for a null one, which is after all others.
@@ -136,7 +137,7 @@ def answer_shared(table: pa.Table) -> pa.Table:
 
 
 def shared_hashes(sent: DataFrame) -> DataFrame:
-    return sent.groupBy("bucket").applyInArrow(answer_shared, ANSWERED)
+    return sent.groupBy("bucket").applyInArrow(lean(answer_shared), ANSWERED)
 
 
 def told_shared(answers: pa.Table) -> np.ndarray:

@@ -63,21 +63,29 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 
 
 def encode(
-    df: DataFrame, ranks: str, pattern: str, text: str = "text", to: str = "ids", size: int = PIECE
+    df: DataFrame,
+    ranks: str,
+    pattern: str,
+    text: str = "text",
+    to: str = "ids",
+    size: int = PIECE,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``df`` with the token ids of ``text`` in the column ``to``, replacing one of that name.
 
     Ids are packed as in a token file: little-endian unsigned 32-bit integers, one after the
-    other, in a binary value; ``unpacked`` gives them as an array.
+    other, in a binary value; ``unpacked`` gives them as an array. With ``decoded`` the bytes
+    that the ids stand for come in a column of that name, out of the same pass.
     """
 
-    def packed(value: str | None, own) -> bytes:
-        return b"".join(
+    def both(value: str | None, own) -> list[bytes]:
+        ids = b"".join(
             own.encode_to_numpy(piece, allowed_special=set(), disallowed_special=()).astype("<u4").tobytes()
             for piece in pieces(value or "", size)
         )
+        return [ids, _bytes_of(ids, own)] if decoded else [ids]
 
-    return _with_binary(df, text, to, ranks, pattern, packed)
+    return _with_binary(df, text, [to, decoded] if decoded else [to], ranks, pattern, both)
 
 
 def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -85,11 +93,11 @@ def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", to: str =
 
     The bytes are what the tokens hold, whether or not they are valid UTF-8.
     """
+    return _with_binary(df, ids, [to], ranks, pattern, lambda value, own: [_bytes_of(value or b"", own)])
 
-    def whole(value: bytes | None, own) -> bytes:
-        return own.decode_bytes(np.frombuffer(value or b"", dtype="<u4").tolist())
 
-    return _with_binary(df, ids, to, ranks, pattern, whole)
+def _bytes_of(ids: bytes, own) -> bytes:
+    return own.decode_bytes(np.frombuffer(ids, dtype="<u4").tolist())
 
 
 def token_count(ids: str = "ids") -> Column:
@@ -116,11 +124,16 @@ def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [column], [*names, name])
 
 
-def _with_binary(df: DataFrame, source: str, to: str, ranks: str, pattern: str, one) -> DataFrame:
+def _with_binary(df: DataFrame, source: str, to: list[str], ranks: str, pattern: str, values) -> DataFrame:
+    """``df`` with binary columns ``to``, which ``values(value, encoding)`` lists for each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(ranks, pattern)
         for batch in slices(batches, source):
-            values = [one(value.as_py(), own) for value in batch.column(source)]
-            yield _with_column(batch, to, pa.array(values, pa.binary()))
+            rows = [values(value.as_py(), own) for value in batch.column(source)]
+            for k, name in enumerate(to):
+                batch = _with_column(batch, name, pa.array([row[k] for row in rows], pa.binary()))
+            yield batch
 
-    return df.mapInArrow(run, _with_field(df, to, T.BinaryType()))
+    fields = [f for f in df.schema.fields if f.name not in to] + [T.StructField(n, T.BinaryType()) for n in to]
+    return df.mapInArrow(run, T.StructType(fields))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import BYTE_VALUES, U64, Words, buffers, chunks, combined, is_space, lowered, mix, prefix_sums, range_hashes
+from tidelog.llm.bytes_np import BYTE_VALUES, U64, Words, buffers, chunks, combined, give_back, is_space, lean, lowered, mix, prefix_sums, range_hashes
 from tidelog.llm.common import staged
 from tidelog.llm.components import components
 
@@ -202,6 +202,7 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for k in range(len(batch))
             ]
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+            give_back()
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
         return pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a").join(
@@ -247,11 +248,12 @@ def similarity_join(
 ) -> DataFrame:
     """``id, n_shingles, component`` for each row: the least id reachable by links, itself included."""
     n = blocks.pieces(df)
-    texts = blocks.in_blocks(df, n, id_column, text)
-    counts = texts.groupBy("block").applyInArrow(lambda t: _send(t, size, n), COUNTS)
-    classes = counts.groupBy("bucket").applyInArrow(_add_up, CLASSES)
+    # Sets take several times the room of their texts, so blocks are half as large.
+    texts = blocks.in_blocks(df, 2 * n, id_column, text)
+    counts = texts.groupBy("block").applyInArrow(lean(lambda t: _send(t, size, n)), COUNTS)
+    classes = counts.groupBy("bucket").applyInArrow(lean(_add_up), CLASSES)
     described = texts.groupBy("block").cogroup(classes.groupBy("block")).applyInArrow(
-        lambda t, a: _describe(t, a, size, percent, n), SETS
+        lean(lambda t, a: _describe(t, a, size, percent, n)), SETS
     )
     rows = staged(described.withColumn("node", F.monotonically_increasing_id()), "sets")
 

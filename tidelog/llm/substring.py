@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import Words, buffers, chunks, combined, is_space, mix, prefix_sums, range_hashes, text_array
+from tidelog.llm.bytes_np import Words, buffers, chunks, combined, is_space, lean, mix, prefix_sums, range_hashes, text_array
 
 PERIOD, COVER = 7, (0, 1, 3)
 WINDOWS = "bucket int, block int, hashes binary, ids binary"
@@ -149,14 +149,14 @@ def dedup_substrings(df: DataFrame, id_column: str = "doc_id", text: str = "text
         removed = [at[gone[a:b]] for at, a, b in zip(found.starts, bounds[:-1], bounds[1:], strict=True)]
         return _kept(block_texts, parts, removed, size)
 
-    answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(send, blocks.SENT))
-    windows = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_if_texts(extend, WINDOWS), WINDOWS)
-    smallest = windows.groupBy("bucket").applyInArrow(_smallest, SMALLEST)
+    answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(lean(send), blocks.SENT))
+    windows = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean(_if_texts(extend, WINDOWS)), WINDOWS)
+    smallest = windows.groupBy("bucket").applyInArrow(lean(_smallest), SMALLEST)
     both = blocks.answers_for(
         (answers, [F.col("hashes").alias("a"), F.lit(None).cast("binary").alias("b")]),
         (smallest, [F.col("at").alias("a"), F.col("ids").alias("b")]),
     )
-    return texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(cut, KEPT)
+    return texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lean(cut), KEPT)
 
 
 def _if_texts(step, schema: str):

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import BYTE_VALUES, U64, buffers, chunks, combined, prefix_sums, range_hashes, text_array
+from tidelog.llm.bytes_np import BYTE_VALUES, U64, buffers, chunks, combined, lean, prefix_sums, range_hashes, text_array
 
 ANCHOR = 64
 #: Bytes hashed in one go, and bytes of fragments sorted in one go (whole anchors at least).
@@ -290,14 +290,14 @@ def dedup_suffixes(
             end.append(found.first[head] + pair[:, 1] + size - 1)
         return _cut(block_texts["id"], own.raw, own.offsets, np.concatenate(begin), np.concatenate(end))
 
-    answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(send, blocks.SENT))
-    sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(fragments, SENT)
-    found = sent.groupBy("bucket").applyInArrow(find, FOUND)
+    answers = blocks.shared_hashes(texts.groupBy("block").applyInArrow(lean(send), blocks.SENT))
+    sent = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean(fragments), SENT)
+    found = sent.groupBy("bucket").applyInArrow(lean(find), FOUND)
     both = blocks.answers_for(
         (answers, [F.col("hashes").alias("a"), F.lit(None).cast("binary").alias("b")]),
         (found, [F.col("at").alias("a"), F.col("ranges").alias("b")]),
     )
-    return texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(cut, KEPT)
+    return texts.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lean(cut), KEPT)
 
 
 def _cut(ids: pa.ChunkedArray, raw: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Table:
