@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
-from tidelog.llm.bytes_np import BYTE_VALUES, U64, buffers, chunks, combined, lean, prefix_sums, range_hashes, text_array
+from tidelog.llm.bytes_np import BYTE_VALUES, U64, buffers, chunks, combined, lean, mix, prefix_sums, range_hashes, text_array
 
 ANCHOR = 64
 #: Bytes hashed in one go, and bytes of fragments sorted in one go (whole anchors at least).
@@ -80,6 +80,8 @@ class _Runs:
         self.first, self.last, self.left, self.right, left_hash, right_hash = columns
         self.left_hash, self.right_hash = left_hash.astype(U64), right_hash.astype(U64)
         lesser = self.left_hash >> U64(32) <= self.right_hash >> U64(32)
+        # Anchors are picked for small hashes; mixed once more they spread over all buckets.
+        self.left_hash, self.right_hash = mix(self.left_hash), mix(self.right_hash)
         self.pick = np.where(lesser, self.left, self.right)
         self.anchor = np.where(lesser, self.left_hash, self.right_hash)
 
