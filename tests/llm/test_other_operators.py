@@ -140,6 +140,26 @@ def test_audit_widens_until_recall_is_reached():
     assert len(q) >= 0.98 * true and ((x[q] * x[v]).sum(axis=1) >= 0.93 - 1e-6).all()
 
 
+@pytest.mark.parametrize("blind", [0, 3])
+@pytest.mark.parametrize("pairs", [5, 40])
+def test_audit_judges_by_links_of_other_vectors(blind, pairs):
+    """A graph without links finds each vector itself and nothing else; the few real links still all come."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(2000, 32))
+    x[:pairs] = x[pairs : 2 * pairs] + r.normal(scale=0.05, size=(pairs, 32))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    true = {(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.93), strict=True) if a != b}
+    assert len(true) == 2 * pairs
+    graph = hnsw.Graph(x).build()
+    graph.links[0][:, blind:] = -1
+    q, v, _ = hnsw.audited(graph, x, np.arange(len(x)), 0.93)
+    got = {(a, b) for a, b in zip(q.tolist(), v.tolist(), strict=True) if a != b}
+    assert len(got & true) >= 0.99 * len(true) and not got - true
+    # The same from another shard, where searches begin at the entry only.
+    q, v, _ = hnsw.audited(graph, x[: 2 * pairs], None, 0.93)
+    assert len({*zip(q.tolist(), v.tolist(), strict=True)} & true) >= 0.99 * len(true)
+
+
 # classifier
 
 

@@ -7,9 +7,11 @@ of its label (of two shards, one asks the other).
 
 A query is a beam search. Where all of a beam lies within the threshold it is widened for
 that vector, since there may be more. An *audit* compares a sample of the queries with brute
-force over the shard: as long as fewer links than ``recall`` of the true ones were found,
-the beam is doubled for all; a beam as wide as the shard is exhaustive. What the search
-finds is verified by cosine in double precision, so no link is below the threshold.
+force over the shard. A vector's match with itself is no link and does not count; the sample
+grows until ``AUDIT`` of its queries have a link, to the whole shard if links are rare. As
+long as fewer links than ``recall`` of the true ones were found, the beam is doubled for all,
+and once its searches would look at as many vectors as the shard has, all are compared. What
+is found is verified by cosine in double precision, so no link is below the threshold.
 
 Shard against shard gives each vector a number of links and a spanning forest of the links,
 not all pairs; components are joined from the forests.
@@ -217,31 +219,53 @@ class Graph:
         return join(found_q), join(found_v)
 
 
+def _all_within(graph: Graph, queries: np.ndarray, some: np.ndarray, least: float) -> np.ndarray:
+    """Pairs of queries numbered ``some`` with vectors within the threshold, as one number each."""
+    q, v = np.nonzero(queries[some] @ graph.vectors.T >= least)
+    return some[q] * len(graph.vectors) + v
+
+
 def audited(
     graph: Graph, queries: np.ndarray, own: np.ndarray | None, least: float, recall: float = RECALL, audit: int = AUDIT
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """Pairs within the threshold, and the beam at which the audit passed.
 
-    The audit's sample is ``audit`` random queries. It passes when the search found at least
-    ``recall`` of the pairs that brute force finds for them.
+    The audit's sample is random queries, as many as it takes until ``audit`` of them have a
+    link, or all. It passes when the search found at least ``recall`` of the links that brute
+    force finds for them. The pair of a vector with itself, where a search begins, is no link.
     """
+    n = len(graph.vectors)
+    order = np.random.default_rng(3).permutation(len(queries))
+    none = np.zeros(0, np.int64)
+
+    def links(pairs: np.ndarray) -> np.ndarray:
+        return pairs if own is None else pairs[pairs % n != own[pairs // n]]
+
+    def search(some: np.ndarray, beam: int) -> np.ndarray:
+        q, v = graph.within(queries[some], None if own is None else own[some], least, beam)
+        return some[q] * n + v
+
+    parts, size, linked = [none], 0, 0
+    while size < len(order) and linked < audit:
+        some = order[size : size + 128]
+        parts.append(_all_within(graph, queries, some, least))
+        linked += len(np.unique(links(parts[-1]) // n))
+        size += len(some)
+    known, rest = np.concatenate(parts), order[size:]
+    true = links(known)
     beam = BEAM
-    sample = np.random.default_rng(3).permutation(len(queries))[:audit]
-    true = np.concatenate(
-        [
-            (s[at[0]] * len(graph.vectors) + at[1])
-            for s in np.array_split(sample, max(1, len(sample) // 128))
-            for at in [np.nonzero(queries[s] @ graph.vectors.T >= least)]
-        ]
-    ) if len(sample) else np.zeros(0, np.int64)
-    while True:
-        q, v = graph.within(queries[sample], None if own is None else own[sample], least, beam)
-        hit = np.isin(true, sample[q] * len(graph.vectors) + v).sum()
-        if hit >= recall * len(true) or beam >= len(graph.vectors):
+    while np.isin(true, search(order[:size], beam)).sum() < recall * len(true):
+        beam *= 2
+        if beam * 2 * graph.most >= n:  # each vector of a beam has its neighbours looked at
+            beam = n
             break
-        beam = min(beam * 2, len(graph.vectors))
-    q, v = graph.within(queries, own, least, beam)
-    return q, v, beam
+    # Of the sample all pairs are known, whatever the search found.
+    if beam == n:
+        found = [_all_within(graph, queries, rest[k : k + 128], least) for k in range(0, len(rest), 128)]
+    else:
+        found = [search(rest, beam)]
+    pairs = np.concatenate((known, *found))
+    return pairs // n, pairs % n, beam
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
