@@ -354,6 +354,28 @@ def test_entropy_spans(spark):
         assert spans[k] == [tuple(x) for x in brute_entropy(values[k], 20, least)] != [], k
 
 
+def test_random_strings_of_each_class_are_found(spark):
+    import random
+    import string
+
+    r = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    alphabets = {"digits": string.digits, "hex": "0123456789abcdef", "letters and digits": letters, "all": letters + "+/_-"}
+    rows, kinds = [], {}
+    for name, alphabet in alphabets.items():
+        for size, least in ((20, 0.88), (32, 0.98)):
+            values = ["".join(r.choice(alphabet) for _ in range(size)) for _ in range(500)]
+            kinds[len(rows)] = (name, size, least)
+            rows.append((len(rows), " ".join(values)))
+    plain = "20242024202420242024 11111111111111111111 12341234123412341234 00000000000000012345"
+    rows.append((len(rows), plain))
+    spans = {q.doc_id: [s for s in q.spans if s.kind == "entropy"] for q in secret_scan.scan(frame(spark, rows)).collect()}
+    for k, (name, size, least) in kinds.items():
+        found = {s.start // (size + 1) for s in spans[k]}
+        assert len(found) >= least * 500, (name, size, len(found))
+    assert spans[len(rows) - 1] == []
+
+
 # byte-level BPE
 
 

