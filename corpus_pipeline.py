@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, decontaminate, jaccard, lines, quality
-from tidelog.llm.common import staged, table
+from tidelog.llm.common import staged, table, text_identity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -34,10 +34,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    groups = jaccard.similarity_join(docs)
-    copies = groups.where("id <> component").select(F.col("id").alias("doc_id"))
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each group of near copies.
+
+    Ids may repeat: documents are told apart by id and text, the first of a group in that order
+    stays, and of its exactly repeated rows one (the least by its other columns).
+    """
+    key = ["doc_id", "t1", "t2"]
+    groups = jaccard.similarity_join(docs, identity=True).where("id is not null and n_shingles > 0")
+    marked = groups.groupBy(F.col("id").alias("doc_id"), "t1", "t2").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("n"))
+    several = staged(marked.where("not first or n > 1"), "copies")
+    known = text_identity("doc_id", "text")
+    rows = docs.select("*", known["t1"].alias("t1"), known["t2"].alias("t2"))
+    kept = rows.join(several, key, "left_anti").select(docs.columns)
+    repeated = several.where("first")
+    if repeated.isEmpty():
+        return kept
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    return kept.unionAll(rows.join(repeated, key, "left_semi").groupBy(*key).agg(row).select("row.*"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

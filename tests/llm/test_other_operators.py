@@ -235,6 +235,24 @@ def test_pipeline_equals_its_parts(spark):
     assert {r.doc_id for r in cp.run(spark, SMALL).select("doc_id").collect()} == ids[-1]
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    import corpus_pipeline as cp
+
+    text = lambda name, last: " ".join([*[f"{name}{k}" for k in range(60)], last])
+    rows = [
+        (5, text("a", "x"), "s2"), (5, text("a", "x"), "s1"), (5, text("a", "x"), "s1"), (9, text("a", "y"), "s1"),
+        (7, text("b", "x"), "s1"), (7, text("a", "z"), "s1"), (11, text("c", "x"), "s1"), (11, text("c", "y"), "s1"),
+        (None, text("a", "x"), "s1"), (None, text("a", "x"), "s1"), (3, "", "s1"), (3, "", "s1"), (4, None, "s1"),
+        (6, text("d", "x"), "s1"), (8, text("e", "x"), "s1"), (8, text("e", "x"), "s1"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = [tuple(r) for r in cp.one_of_each(spark, docs, "").collect()]
+    of_c = [r for r in got if r[0] == 11]
+    assert len(of_c) == 1 and of_c[0] in rows
+    want = [rows[1], rows[4], *rows[8:14], rows[14]]
+    assert sorted((r for r in got if r[0] != 11), key=repr) == sorted(want, key=repr)
+
+
 def test_queries_against_their_sql(spark):
     import duckdb
 

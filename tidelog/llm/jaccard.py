@@ -22,7 +22,8 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
 
 Shingles are told apart by 64 bits in the sets that decide on equality and on prefixes, and
 by 48 bits inside the comparison of two sets. Null ids are after all others; rows of equal
-ids are different texts. Other columns are not carried; join on the id.
+ids are different texts. Other columns are not carried; join on the id, or where ids may
+repeat on the id and the hashes of the text (``identity``).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
 from tidelog.llm.bytes_np import BYTE_VALUES, U64, Words, buffers, chunks, combined, give_back, is_space, lean, lowered, mix, prefix_sums, range_hashes
-from tidelog.llm.common import staged
+from tidelog.llm.common import staged, text_identity
 from tidelog.llm.components import components
 
 COUNTS = "bucket int, block int, hashes binary, counts binary"
@@ -129,6 +130,7 @@ def _describe(texts: pa.Table, answers: pa.Table, size: int, percent: int, n_buc
         commonness[begins[bucket] + np.frombuffer(at, "<u4").astype(np.int64)] = np.frombuffer(classes, np.uint8)
     common = commonness[own.inverse]
     n = np.diff(sets.first)
+    identity = {c: texts[c] for c in ("t1", "t2") if c in texts.column_names}
     low = mix(sets.hashes ^ np.uint64(0x51ED))
     total = lambda values: np.diff(np.concatenate((np.zeros(1, U64), np.cumsum(values, dtype=U64)))[sets.first])
     h1, h2 = total(mix(sets.hashes)), total(mix(low))
@@ -159,6 +161,7 @@ def _describe(texts: pa.Table, answers: pa.Table, size: int, percent: int, n_buc
             "prefix": pa.array(prefixes, pa.list_(pa.int64())),
             "shingles": pa.array(shingles, pa.binary()),
             "histogram": pa.array(histograms, pa.binary()),
+            **identity,
         }
     )
 
@@ -244,16 +247,30 @@ def _pair(left: str, right: str) -> list[Column]:
 
 
 def similarity_join(
-    df: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    percent: int = 75,
+    identity: bool = False,
 ) -> DataFrame:
-    """``id, n_shingles, component`` for each row: the least id reachable by links, itself included."""
+    """``id, n_shingles, component`` for each row: the least id reachable by links, itself included.
+
+    ``identity`` adds the text's hashes ``t1, t2`` as ``text_identity`` has them, and ``first``:
+    whether the row's id and hashes are the least of its component. Equal rows share it.
+    """
     n = blocks.pieces(df)
     # Sets take several times the room of their texts, so blocks are half as large.
     texts = blocks.in_blocks(df, 2 * n, id_column, text)
+    marks, schema = [], SETS
+    if identity:
+        known_text = text_identity("id", "text")
+        texts = texts.select("*", known_text["t1"].alias("t1"), known_text["t2"].alias("t2"))
+        marks, schema = ["t1", "t2"], f"{SETS}, t1 bigint, t2 bigint"
     counts = texts.groupBy("block").applyInArrow(lean(lambda t: _send(t, size, n)), COUNTS)
     classes = counts.groupBy("bucket").applyInArrow(lean(_add_up), CLASSES)
     described = texts.groupBy("block").cogroup(classes.groupBy("block")).applyInArrow(
-        lean(lambda t, a: _describe(t, a, size, percent, n)), SETS
+        lean(lambda t, a: _describe(t, a, size, percent, n)), schema
     )
     rows = staged(described.withColumn("node", F.monotonically_increasing_id()), "sets")
 
@@ -313,12 +330,19 @@ def similarity_join(
     key = F.when(F.col("root").isNotNull(), F.struct(F.lit(0).cast("bigint").alias("x"), F.col("root").alias("y"), F.lit(0).cast("bigint").alias("z"))).otherwise(
         F.struct(F.lit(1).cast("bigint").alias("x"), F.col("h1").alias("y"), F.col("h2").alias("z"))
     )
-    keyed = keyed.select("id", "n", key.alias("key"))
-    least = keyed.groupBy("key").agg(F.min("id").alias("component"))
+    keyed = keyed.select("id", "n", *marks, key.alias("key"))
+    least = [F.min("id").alias("component")]
+    first, alone = [], []
+    if identity:
+        own = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2")
+        least.append(F.min(own).alias("head"))
+        first, alone = [(own == F.col("head")).alias("first")], [F.lit(True).alias("first")]
     return (
-        keyed.join(least, "key")
-        .select("id", F.col("n").alias("n_shingles"), "component")
-        .unionAll(rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component")))
+        keyed.join(keyed.groupBy("key").agg(*least), "key")
+        .select("id", F.col("n").alias("n_shingles"), "component", *marks, *first)
+        .unionAll(
+            rows.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component"), *marks, *alone)
+        )
     )
 
 
