@@ -29,6 +29,22 @@ def test_matrix_sums_and_mean():
     assert large.sum(axis=1).tolist() == [2_000_000_000, 1_500_000_001] and np.ptp(large.sum(axis=0)) <= 1
 
 
+def test_large_populations_are_drawn_by_the_same_law():
+    random = np.random.default_rng(2)
+    # 100 of 3e9 places, a hundredth of them good: nearly Poisson with mean 1, far from a normal number.
+    drawn = np.array([sharding._drawn(random, 30_000_000, 2_970_000_000, 100) for _ in range(6000)])
+    for k, want in enumerate((0.99**100, 100 * 0.01 * 0.99**99, 4950 * 0.01**2 * 0.99**98)):
+        assert abs((drawn == k).mean() - want) < 0.025
+    # The bulk: mean and spread of a draw of a million from two thousand times as many places.
+    drawn = np.array([sharding._drawn(random, 1_000_000_000, 1_000_000_000, 1_000_000) for _ in range(400)])
+    assert abs(drawn.mean() - 500_000) < 150 and 420 < drawn.std() < 580
+    # Below the limit both ways agree.
+    ours = [sharding._by_ratios(random, 400, 600, 50) for _ in range(4000)]
+    theirs = random.hypergeometric(400, 600, 50, 4000)
+    assert abs(np.mean(ours) - theirs.mean()) < 0.4 and abs(np.std(ours) - theirs.std()) < 0.25
+    assert sharding._by_ratios(random, 5, 2, 7) == 5 and sharding._by_ratios(random, 5, 0, 3) == 3
+
+
 @pytest.mark.parametrize("piece_rows", [7, 1000])
 def test_shards(spark, piece_rows):
     rows = [(k if k % 3 else None, "same" if k % 2 else f"t{k}", k) for k in range(1003)]

@@ -56,19 +56,31 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
 
 
 def _drawn(random: np.random.Generator, good: int, bad: int, sample: int) -> int:
-    """A hypergeometric number.
-
-    The generator takes populations below 1e9. Above, a rounded normal number of the same
-    mean and variance stands in for it; the matrix's sums stay exact.
-    """
+    """A hypergeometric number; the generator takes populations below 1e9."""
     if good == 0:
         return 0
-    total = good + bad
-    if total < 1_000_000_000:
+    if good + bad < 1_000_000_000:
         return int(random.hypergeometric(good, bad, sample))
-    share = good / total
-    spread = (sample * share * (1 - share) * (total - sample) / (total - 1)) ** 0.5
-    return min(max(round(random.normal(sample * share, spread)), sample - bad, 0), good, sample)
+    return _by_ratios(random, good, bad, sample)
+
+
+def _by_ratios(random: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """A hypergeometric number of any population, by inversion of its distribution.
+
+    Neighbouring probabilities have simple ratios. What lies further from the mean than 12
+    standard deviations and 64 is less likely than a double can tell from nothing.
+    """
+    total = good + bad
+    mean = sample * good // total
+    spread = (sample * (good / total) * (bad / total) * ((total - sample) / (total - 1))) ** 0.5
+    reach = int(12 * spread) + 64
+    low = max(sample - bad, 0, mean - reach)
+    high = min(good, sample, mean + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log((good - k) / (k + 1)) + np.log((sample - k) / (bad - sample + k + 1))
+    logs = np.concatenate(([0.0], np.cumsum(steps)))
+    below = np.cumsum(np.exp(logs - logs.max()))
+    return min(low + int(np.searchsorted(below, random.random() * below[-1], side="right")), high)
 
 
 def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 7, piece_rows: int = PIECE_ROWS) -> DataFrame:
