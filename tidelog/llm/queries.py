@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, quality, secret_scan, sharding, substring, suffixes
+from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, merkle, quality, secret_scan, sharding, substring, suffixes
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -114,6 +114,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda n_chars: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    proved = merkle.manifest(
+        table(spark, sf_dir, "documents"),
+        leaf=digest(F.col("n_chars")),
+        claimed=F.when(tampered, digest(F.col("n_chars").cast("decimal(20,0)") + 1)),
+    )
+    return proved.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 OP1_SQL = """
 with split as (select doc_id, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
     from documents),
@@ -175,6 +188,54 @@ select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(dropped, 0) as n_line
 from documents d left join kept k using (doc_id)
 """
 
+OP12_SQL = """
+with recursive crc_table as (select list(list_reduce(list_prepend(i, range(8)),
+        lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by i) as crcs
+    from range(256) as t(i)),
+fields as (select row_number() over () as row, doc_id, lang, cast(n_chars as hugeint) as n_chars,
+        xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''),
+            lambda x: cast(ascii(x) as bigint))), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) % 7 = 0 as tampered,
+        coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') as front, coalesce(strlen(text) || ':' || text, '-') as back
+    from documents, crc_table),
+digests as (select row, doc_id, lang,
+        sha256(front || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') || back) as leaf,
+        case when tampered then sha256(front || coalesce(strlen(cast(n_chars + 1 as varchar)) || ':' || (n_chars + 1), '-') || back)
+            end as claimed
+    from fields),
+leaves as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf, row) - 1 as idx,
+        count(*) over (partition by lang) as n from digests),
+nodes as (select 0 as level, lang, idx, n, leaf as digest from leaves
+    union all
+    select level + 1, lang, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+    from nodes where n > 1 group by level, lang, n, idx // 2),
+subroots as (select lang, digest as subroot, row_number() over (order by lang nulls first) - 1 as idx, count(*) over () as n
+    from nodes where n = 1),
+upper_nodes as (select 0 as level, idx, n, subroot as digest from subroots
+    union all
+    select level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by idx))
+    from upper_nodes where n > 1 group by level, n, idx // 2),
+walk as (select row, 0 as level, lang, idx, n, coalesce(claimed, leaf) as folded, '' as proof from leaves
+    union all
+    select w.row, w.level + 1, w.lang, w.idx // 2, (w.n + 1) // 2,
+        sha256(case when w.idx % 2 = 1 then s.digest || w.folded else w.folded || coalesce(s.digest, '') end),
+        w.proof || coalesce(s.digest, '')
+    from walk w left join nodes s on s.level = w.level and s.lang is not distinct from w.lang and s.idx = xor(w.idx, 1)
+    where w.n > 1),
+upper_walk as (select w.row, 0 as level, r.idx, r.n, w.folded, w.proof
+    from walk w join subroots r on r.lang is not distinct from w.lang where w.n = 1
+    union all
+    select w.row, w.level + 1, w.idx // 2, (w.n + 1) // 2,
+        sha256(case when w.idx % 2 = 1 then s.digest || w.folded else w.folded || coalesce(s.digest, '') end),
+        w.proof || coalesce(s.digest, '')
+    from upper_walk w left join upper_nodes s on s.level = w.level and s.idx = xor(w.idx, 1)
+    where w.n > 1)
+select doc_id, leaf, subroot, u.digest as root, sha256(w.proof) as proof_sha256, w.folded as folded_root,
+    w.folded = u.digest as verified
+from leaves l join upper_walk w on w.row = l.row and w.n = 1 join upper_nodes u on u.n = 1
+    join subroots r on r.lang is not distinct from l.lang
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -190,9 +251,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_line_dedup,
             op9_jaccard_join,
             op10_byte_bpe,
+            op12_merkle_manifest,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_line_dedup": OP8_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op4_decontamination": OP4_SQL,
+        "op8_line_dedup": OP8_SQL,
+        "op12_merkle_manifest": OP12_SQL,
+    }
