@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, merkle, quality, secret_scan, sharding, substring, suffixes
+from tidelog.llm import bpe, decontaminate, hnsw, jaccard, lines, merkle, quality, secret_scan, sharding, substring, suffixes, vector_codes, voronoi
 from tidelog.llm.common import table
 
 SHARDS = 24
@@ -114,6 +114,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = voronoi.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = lambda n_chars: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -127,6 +132,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebooks_sha256(books))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 OP1_SQL = """
 with split as (select doc_id, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
     from documents),
@@ -236,6 +247,48 @@ from leaves l join upper_walk w on w.row = l.row and w.n = 1 join upper_nodes u
     join subroots r on r.lang is not distinct from l.lang
 """
 
+#: Vectors of integers, of those whose components are all there and finite.
+_KEPT_SQL = """
+kept as (select row_number() over (order by vec_id) as row, vec_id, label,
+        list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint)) as v
+    from embeddings where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding))
+"""
+
+OP11_SQL = f"""
+with {_KEPT_SQL.format(scale=256)},
+exact as (select row, vec_id, list_transform(v, lambda x: cast(x as double)) as v from kept),
+scored as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score, q.row
+    from exact q join exact c on q.row <> c.row where q.vec_id % 50 = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by row order by score desc, vec_id) as rank from scored) where rank <= 5
+"""
+
+
+def _op13_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    near = """near{k} as materialized (select row, p, min({entries} * list_sum(list_transform(range(1, len(v) + 1),
+        lambda i: (v[i] - word[i]) * (v[i] - word[i]))) + e) as best
+    from cut join book{k} using (p) group by row, p)"""
+    book = """book{n} as materialized (select b.p, b.e, coalesce(f.word, b.word) as word from book{k} b left join (
+        select p, e, list((s - ((s % n) + n) % n) // n order by i) as word from (
+            select p, best % {entries} as e, i, sum(v[i]) as s, count(*) as n
+            from near{k} join cut using (row, p), (select unnest(range(1, (select max(len(v)) from cut) + 1)) as i)
+            group by p, best % {entries}, i) group by p, e) f on f.p = b.p and f.e = b.e)"""
+    steps = []
+    for k in range(rounds):
+        steps += [near.format(k=k, entries=entries), book.format(k=k, n=k + 1, entries=entries)]
+    steps.append(near.format(k=rounds, entries=entries))
+    return f"""
+with {_KEPT_SQL.format(scale=4096)},
+cut as materialized (select row, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] as v from kept, range({parts}) as t(p)),
+book0 as materialized (select p, row - 1 as e, v as word from cut where row <= {entries}),
+{", ".join(steps)},
+coded as (select row, string_agg(printf('%02x', best % {entries}), '' order by p) as code,
+    cast(sum(best // {entries}) as bigint) as error from near{rounds} group by row)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+    (select sha256(string_agg(array_to_string(word, ','), ',' order by p, e)) from book{rounds}) as codebooks_sha256
+from coded join kept using (row)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -251,7 +304,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_line_dedup,
             op9_jaccard_join,
             op10_byte_bpe,
+            op11_top_k,
             op12_merkle_manifest,
+            op13_vector_codes,
         )
     }
 
@@ -261,5 +316,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": OP1_SQL,
         "op4_decontamination": OP4_SQL,
         "op8_line_dedup": OP8_SQL,
+        "op11_top_k": OP11_SQL,
         "op12_merkle_manifest": OP12_SQL,
+        "op13_vector_codes": _op13_sql(),
     }
