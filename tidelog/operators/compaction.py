@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,11 +45,28 @@ def sync_progress(ends: DataFrame, positions: DataFrame, by: list[str] | None =
     )
 
 
+def readiness(started: str, synced: str, remaining: str) -> Column:
+    """Readiness as text: ``not started``, ``not synced`` with what remains, or ``synced``."""
+    left = F.concat(F.lit("not synced: "), F.col(remaining).cast("string"), F.lit(" remaining"))
+    return F.when(F.col(synced), "synced").when(F.col(started), left).otherwise("not started")
+
+
 def sync_state(progress: DataFrame) -> DataFrame:
-    """Readiness as text: ``synced`` or ``not synced`` with what remains."""
-    return progress.withColumn(
-        "state",
-        F.when(F.col("synced"), "synced").otherwise(
-            F.concat(F.lit("not synced: "), F.col("remaining").cast("string"), F.lit(" remaining"))
-        ),
+    """Readiness of readers that have started, from one look at their progress."""
+    return progress.withColumn("_started", F.lit(True)).select(
+        *progress.columns, readiness("_started", "synced", "remaining").alias("state")
+    )
+
+
+def readiness_history(observations: DataFrame, at: str, by: list[str] | None = None) -> DataFrame:
+    """What a reader's readiness was at each of several times, by a latch.
+
+    ``observations`` has ``topic``, ``at`` and ``remaining``, null where the reader had not started.
+    A reader (``by``) stays synced with a topic once nothing remained of it, whatever came later.
+    """
+    so_far = Window.partitionBy(*(by or []), "topic").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        observations.withColumn("started", F.bool_or(F.col("remaining").isNotNull()).over(so_far))
+        .withColumn("synced", F.coalesce(F.bool_or(F.col("remaining") == 0).over(so_far), F.lit(False)))
+        .withColumn("state", readiness("started", "synced", "remaining"))
     )

@@ -88,6 +88,48 @@ def process_batches(
     return source.mapInPandas(run, "num_records bigint, error string")
 
 
+def process_polls(
+    records: DataFrame, process: Callable[[pd.DataFrame], Any], result: str = "double", ordered: bool = False
+) -> DataFrame:
+    """Give each poll of a partition to ``process`` as a whole; one row with what it returns.
+
+    ``records`` has ``poll_id``, as ``scan.with_polls`` numbers them. Columns: ``topic, part, poll_id,
+    num_records``, ``result`` (of that type) and ``error``. An error is that poll's alone: the task
+    goes on with the next. A task's rows come sorted, as a stream of batches that is cut where the
+    poll changes, so it holds one poll and one batch. Polls spread over tasks; ``ordered`` keeps those
+    of a partition in one, in their order.
+    """
+    key = ["topic", "part", "poll_id"]
+
+    def polls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if rows.empty:
+                continue
+            begins = (rows[key] != rows[key].shift()).any(axis=1)
+            cuts = [*begins[begins].index.tolist(), len(rows)]
+            for first, last in zip(cuts[:-2], cuts[1:-1]):
+                yield rows.iloc[first:last]
+            held = rows.iloc[cuts[-2] :]  # its poll may go on in the next batch
+        if held is not None:
+            yield held
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for poll in polls(batches):
+            value = error = None
+            try:
+                value = process(poll.reset_index(drop=True))
+            except Exception as failure:
+                error = str(failure) or type(failure).__name__
+            found = {c: [poll[c].iloc[0]] for c in key} | {"num_records": [len(poll)]}
+            yield pd.DataFrame(found | {"result": pd.Series([value], dtype=object), "error": pd.Series([error], dtype=object)})
+
+    dealt = ["topic", "part"] if ordered else key
+    source = records.repartition(*dealt).sortWithinPartitions(*key, "roff")
+    return source.mapInPandas(run, f"topic string, part int, poll_id bigint, num_records bigint, result {result}, error string")
+
+
 def succeeded(processed: DataFrame) -> DataFrame:
     return processed.where(F.col("error").isNull()).drop("error")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import headers as hdr
 from tidelog.functions.naming import add_namespace, in_namespace, strip_namespace
-from tidelog.functions.routing import partition_for_key
+from tidelog.functions.routing import partition_by_murmur2, partition_for_key
 from tidelog.operators import compaction, delivery, processing
 from tidelog.operators.metrics import message_delay
 from tidelog.plans.registry import query
@@ -78,16 +78,24 @@ def consumer_groups(i: Inputs) -> DataFrame:
 
 
 def _some_commits(i: Inputs) -> DataFrame:
-    """The commits without those of one group in one partition number, as if it were new."""
-    return i.committed_offsets.where("not (grp = 'consumer2' and part = 1)")
+    """The commits without those of one group in one partition number, as if it were new, and
+    without all topics but one of another group."""
+    few = "not (grp = 'consumer2' and part = 1) and (grp <> 'consumer4' or topic like '%click')"
+    return i.committed_offsets.where(few)
 
 
 SOME_COMMITS = """(select g.grp, o.topic, o.part, coalesce(c.committed, -1) as committed
-    from partition_offsets o cross join (select distinct grp from committed_offsets) g
+    from (select distinct grp, topic from committed_offsets where grp <> 'consumer4' or topic like '%click') g
+    join partition_offsets o on o.topic = g.topic
     left join committed_offsets c on c.grp = g.grp and c.topic = o.topic and c.part = o.part
         and not (c.grp = 'consumer2' and c.part = 1))"""
 
 
+def _resumed(i: Inputs) -> DataFrame:
+    table = i.log_table
+    return scan.from_commit(table.read_segments(i.spark), _some_commits(i), manifest=table.manifest(i.spark))
+
+
 @query(
     "resume_from_commit",
     f"""select c.grp, r.topic, r.part, min(r.roff) as first_off, count(*) as num_records
@@ -95,8 +103,7 @@ SOME_COMMITS = """(select g.grp, o.topic, o.part, coalesce(c.committed, -1) as c
        where r.roff >= c.committed group by c.grp, r.topic, r.part""",
 )
 def resume_from_commit(i: Inputs) -> DataFrame:
-    rows = scan.from_commit(i.record_log, _some_commits(i), i.ends)
-    return rows.groupBy("grp", "topic", "part").agg(F.min("roff").alias("first_off"), num_records())
+    return _resumed(i).groupBy("grp", "topic", "part").agg(F.min("roff").alias("first_off"), num_records())
 
 
 @query(
@@ -106,8 +113,7 @@ def resume_from_commit(i: Inputs) -> DataFrame:
        where r.roff >= c.committed""",
 )
 def unread_records(i: Inputs) -> DataFrame:
-    rows = scan.from_commit(i.record_log, _some_commits(i), i.ends)
-    return rows.select("grp", "topic", "part", "roff", "rkey")
+    return _resumed(i).select("grp", "topic", "part", "roff", "rkey")
 
 
 # ---- sinks -------------------------------------------------------------------------
@@ -166,6 +172,31 @@ def route_by_key(i: Inputs) -> DataFrame:
     ).agg(num_records())
 
 
+MURMUR2 = """
+    select *, xor(h4, h4 >> 15) as hash from (select *, (xor(h3, h3 >> 13) * 1540483477) & 4294967295 as h4 from (
+    select *, case when size % 4 = 0 then h2 else ((xor(h2, coalesce(try_cast('0x' || substr(digits, 2 * (size // 4 * 4) + 1, 2) as bigint), 0)
+            + 256 * coalesce(try_cast('0x' || substr(digits, 2 * (size // 4 * 4) + 3, 2) as bigint), 0)
+            + 65536 * coalesce(try_cast('0x' || substr(digits, 2 * (size // 4 * 4) + 5, 2) as bigint), 0))) * 1540483477) & 4294967295 end as h3
+    from (select *, list_reduce(list_prepend(xor(2538058380, size), list_transform(words,
+            lambda w: (xor((w * 1540483477) & 4294967295, ((w * 1540483477) & 4294967295) >> 24) * 1540483477) & 4294967295)),
+            lambda h, w: xor((h * 1540483477) & 4294967295, w)) as h2
+    from (select *, list_transform(range(0, size // 4), lambda n: cast('0x' || substr(digits, 8 * n + 7, 2)
+            || substr(digits, 8 * n + 5, 2) || substr(digits, 8 * n + 3, 2) || substr(digits, 8 * n + 1, 2) as bigint)) as words
+    from (select *, hex(key) as digits, cast(strlen(key) as bigint) as size from keys)))))"""
+
+
+@query(
+    "route_like_a_client",
+    f"""select key, cast((hash & 2147483647) % 12 as int) as place, num_records
+        from ({MURMUR2.replace("from keys", "from (select rkey || substr('abcdefgh', 1, k % 9) as key, count(*) as num_records from record_log group by key) k")}) h""",
+)
+def route_like_a_client(i: Inputs) -> DataFrame:
+    """Keys of all lengths where the usual log client would put them."""
+    key = F.concat("rkey", F.substr(F.lit("abcdefgh"), F.lit(1), F.col("k") % 9)).alias("key")
+    counted = i.routed.select(key).groupBy("key").agg(num_records())
+    return counted.withColumn("place", partition_by_murmur2(F.col("key"), 12))
+
+
 @query(
     "custom_partitioner",
     """select topic, cast(k % 3 as int) as part, count(*) as num_records
@@ -527,6 +558,29 @@ def sync_progress(i: Inputs) -> DataFrame:
     return compaction.sync_progress(i.ends, positions, by=["grp"])
 
 
+@query(
+    "readiness_history",
+    """select grp, topic, nth as at, remaining,
+              case when min(remaining) over w = 0 then 'synced' when remaining is null then 'not started'
+                   else 'not synced: ' || remaining || ' remaining' end as state
+       from (select c.grp, o.topic, m.nth, case when m.nth >= length(c.grp) - length('consumer')
+                    then cast(sum(greatest(o.end_off * m.nth // 8 - greatest(c.committed, 0) * least(m.nth, 4) // 4, 0)) as bigint)
+                    end as remaining
+             from partition_offsets o join committed_offsets c on c.topic = o.topic and c.part = o.part, range(1, 9) m(nth)
+             group by c.grp, o.topic, m.nth) seen
+       window w as (partition by grp, topic order by nth)""",
+)
+def readiness_history(i: Inputs) -> DataFrame:
+    """Groups that read while their topics grow: each at one of eight times, some from the second on."""
+    times = F.explode(F.array(*[F.lit(n).cast("bigint") for n in range(1, 9)])).alias("at")
+    both = i.committed_offsets.join(i.ends, ["topic", "part"]).select("*", times)
+    left = F.expr("greatest(end_off * at div 8 - greatest(committed, 0) * least(at, 4) div 4, 0)")
+    seen = both.groupBy("grp", "topic", "at").agg(F.sum(left).alias("left"))
+    started = F.col("at") >= F.length("grp") - len("consumer")
+    observed = seen.select("grp", "topic", "at", F.when(started, F.col("left")).alias("remaining"))
+    return compaction.readiness_history(observed, "at", ["grp"]).drop("started", "synced")
+
+
 # ---- user functions ----------------------------------------------------------------
 
 
@@ -577,6 +631,25 @@ def process_batch(i: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "process_polls",
+    """select topic, part, poll_id, count(*) as num_records,
+              case when arg_min(k, roff) >= 10 then cast(sum(length(rvalue)) as bigint) end as value_length,
+              case when arg_min(k, roff) < 10 then 'the first k is ' || arg_min(k, roff) end as error
+       from poll_log group by topic, part, poll_id""",
+)
+def process_polls(i: Inputs) -> DataFrame:
+    """What the function returns for each poll; one that begins with a small ``k`` fails alone."""
+
+    def process(poll):
+        if poll["k"].iloc[0] < 10:
+            raise ValueError(f"the first k is {poll['k'].iloc[0]}")
+        return int(poll["rvalue"].str.len().sum())
+
+    rows = i.poll_log.select("topic", "part", "poll_id", "roff", "rvalue", "k")
+    return processing.process_polls(rows, process, "bigint").withColumnRenamed("result", "value_length")
+
+
 # ---- the larger log ----------------------------------------------------------------
 
 

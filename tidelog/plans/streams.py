@@ -12,7 +12,7 @@ from tidelog.plans.logs import below_ten
 from tidelog.plans.registry import query
 from tidelog.plans.views import Inputs
 from tidelog.sources.shared import new_folder
-from tidelog.streaming import delivery, stateful
+from tidelog.streaming import delivery, listeners, order, readiness, stateful
 
 NEEDED = ["topic", "part", "roff", "rkey", "k"]
 
@@ -51,7 +51,8 @@ def stream_alod(i: Inputs) -> DataFrame:
 @query("stream_amod", COUNTS_SQL.format(position="max(roff) + 1"))
 def stream_amod(i: Inputs) -> DataFrame:
     stream, folder = _stream(i), new_folder(i.spark, "amod")
-    _drained(delivery.consume_at_most_once(stream, below_ten(), folder, "amod", drain=True))
+    claims = i.log_table.ranges_of_batch
+    _drained(delivery.consume_at_most_once(stream, below_ten(), folder, "amod", drain=True, claims=claims))
     return _outcome_counts(i, folder, stream.schema)
 
 
@@ -192,6 +193,28 @@ def stream_histogram(i: Inputs) -> DataFrame:
     return stateful.bucket_totals(i.spark, folder, "topic string, part int", ["topic", "part"])
 
 
+_LIMITS = [int(b * 1_000_000) for b in DEFAULT_BOUNDS]
+
+
+@query(
+    "stream_histogram_running",
+    f"""select topic, count(*) as num, cast(sum(k * 100000) as decimal(38,0)) as sum_us,
+               cast(min(k) * 100000 as bigint) as min_us, cast(max(k) * 100000 as bigint) as max_us,
+               array_to_string(list_transform(range(0, {len(_LIMITS) + 1}), lambda b: len(list_filter(list(k * 100000), lambda x:
+                   (b = 0 or x > {_LIMITS}[b]) and (b = {len(_LIMITS)} or x <= {_LIMITS}[b + 1])))), ',') as bucket_counts
+        from record_log group by topic""",
+)
+def stream_histogram_running(i: Inputs) -> DataFrame:
+    """Cumulative histograms over many micro-batches, folded every third, then added up over partitions."""
+    stream = i.log_table.read_stream(i.spark, 20_000).select(*NEEDED)
+    stream = stream.withColumn("value_us", F.col("k").cast("bigint") * 100_000)
+    folder, by = new_folder(i.spark, "running"), ["topic", "part"]
+    _drained(stateful.histogram_running(stream, by, "value_us", folder, "running", drain=True, fold_every=3))
+    found = stateful.running_histograms(i.spark, folder, "topic string, part int", by)
+    merged = stateful.merge_histograms(found, ["topic"])
+    return merged.withColumn("bucket_counts", F.array_join("bucket_counts", ","))
+
+
 @query(
     "stream_counter_deltas",
     """select topic, part, count(*) as num_records, cast(sum(length(rvalue)) as bigint) as bytes
@@ -204,11 +227,8 @@ def stream_counter_deltas(i: Inputs) -> DataFrame:
     _drained(
         stateful.count_deltas(stream, ["topic", "part"], measures, folder, "deltas", drain=True)
     )
-    schema = "topic string, part int, num_records bigint, bytes bigint, batch_id bigint"
-    deltas = i.spark.read.schema(schema).parquet(f"{folder}/updates")
-    return deltas.groupBy("topic", "part").agg(
-        F.sum("num_records").alias("num_records"), F.sum("bytes").alias("bytes")
-    )
+    schema = "topic string, part int, num_records bigint, bytes bigint"
+    return stateful.delta_totals(i.spark, folder, schema, ["topic", "part"])
 
 
 @query(
@@ -228,3 +248,96 @@ def stream_sync_state(i: Inputs) -> DataFrame:
     _drained(job)
     progress = compaction.sync_progress(i.ends, delivery.positions(i.spark, folder))
     return compaction.sync_state(progress)
+
+
+@query(
+    "stream_readiness",
+    """select phase, topic, case phase when 0 then 'not started' when 1 then
+              case when left_over = 0 then 'synced' else 'not synced: ' || left_over || ' remaining' end
+              else 'synced' end as state
+       from (select topic, cast(sum(greatest(end_off - 10, 0)) as bigint) as left_over from partition_offsets group by topic),
+            range(4) as t(phase)""",
+)
+def stream_readiness(i: Inputs) -> DataFrame:
+    """A reader before it starts, after a first part of each partition, after the rest, and after new records."""
+    stream, latch = _stream(i), readiness.Latch(new_folder(i.spark, "latch"), fold_every=2)
+    first, second = new_folder(i.spark, "part"), new_folder(i.spark, "rest")
+    topics = i.ends.select("topic").distinct()
+    states = []
+
+    def note() -> None:
+        now = latch.state(i.spark, topics).select(F.lit(len(states)).cast("bigint").alias("phase"), "topic", "state")
+        path = new_folder(i.spark, "phase")
+        now.write.parquet(path)
+        states.append(i.spark.read.schema("phase bigint, topic string, state string").parquet(path))
+
+    note()
+    some = stream.where("roff < 10")
+    _drained(delivery.consume_at_most_once(some, below_ten(), first, "part", drain=True, ordered=False))
+    reached = delivery.positions(i.spark, first)
+    latch.observe(i.ends, reached, 0)
+    note()
+    rest = delivery.resume(stream, reached)
+    _drained(delivery.consume_at_most_once(rest, below_ten(), second, "rest", drain=True, ordered=False))
+    latch.observe(i.ends, delivery.positions(i.spark, second, reached).unionByName(reached).groupBy("topic", "part").agg(F.max("position").alias("position")), 1)
+    note()
+    grown = i.ends.withColumn("end_off", F.col("end_off") + 1000)
+    latch.observe(grown, reached, 2)
+    note()
+    return states[0].unionByName(states[1]).unionByName(states[2]).unionByName(states[3])
+
+
+@query(
+    "stream_order_state",
+    """select topic, part, count(*) as num_records, max(roff) + 1 as next, cast(0 as bigint) as repeated
+       from record_log group by topic, part""",
+)
+def stream_order_state(i: Inputs) -> DataFrame:
+    """Each partition goes on where it stood, over many micro-batches, by its state."""
+    stream, folder = i.log_table.read_stream(i.spark, 20_000), new_folder(i.spark, "checked")
+    _drained(order.check_order(stream, folder, "order_state", drain=True))
+    seen = order.checked(i.spark, folder).groupBy("topic", "part")
+    return seen.agg(
+        F.sum("num_records").alias("num_records"), F.max("next").alias("next"), F.sum("repeated").alias("repeated")
+    )
+
+
+@query(
+    "stream_dedup",
+    """select topic, part, count(*) as num_records, max(roff) as last_off, cast(1 as bigint) as intervals
+       from record_log group by topic, part""",
+)
+def stream_dedup(i: Inputs) -> DataFrame:
+    """Everything twice, at different times: larger micro-batches of one copy, smaller ones of the other."""
+    twice = [i.log_table.read_stream(i.spark, size).select(*NEEDED) for size in (200_000, 20_000)]
+    stream, folder = twice[0].unionByName(twice[1]), new_folder(i.spark, "dedup")
+    _drained(order.deduplicate(stream, folder, "dedup", drain=True, fold_every=2))
+    once = order.deduplicated(i.spark, folder, stream.schema).groupBy("topic", "part")
+    known = delivery.intervals(i.spark, folder).groupBy("topic", "part").agg(F.count(F.lit(1)).alias("intervals"))
+    return once.agg(F.count(F.lit(1)).alias("num_records"), F.max("roff").alias("last_off")).join(known, ["topic", "part"])
+
+
+@query(
+    "stream_batch_listener",
+    """select count(*) as num_records, cast(sum(length(rvalue)) as bigint) as bytes, cast(0 as bigint) as unlike
+       from record_log""",
+)
+def stream_batch_listener(i: Inputs) -> DataFrame:
+    """What a listener was told of each batch; ``unlike`` counts batches that were not reported as they were."""
+    stream = listeners.observed(i.log_table.read_stream(i.spark, 20_000).select(*NEEDED, "rvalue"))
+    folder = new_folder(i.spark, "listened")
+    told = listeners.reports_of(
+        i.spark,
+        lambda name: delivery.consume_at_most_once(
+            stream, below_ten(), folder, name, drain=True, ordered=False, claims=i.log_table.ranges_of_batch
+        ),
+    )
+    done = delivery.results(i.spark, folder, stream.schema).groupBy("batch_id")
+    real = done.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("rvalue")).alias("b"))
+    both = told.join(real, "batch_id", "full")
+    same = (F.col("n") == F.col("num_records")) & (F.col("b") == F.col("bytes"))
+    return both.agg(
+        F.sum("num_records").alias("num_records"),
+        F.sum("bytes").alias("bytes"),
+        F.count(F.when(~F.coalesce(same, F.lit(False)), 1)).alias("unlike"),
+    )

@@ -2,7 +2,8 @@
 
 The layout is ``<path>/log/topic=<t>/part=<p>/segment=<n>/*.parquet``, rows carrying the
 offset ``roff`` that a broker would have given them, plus ``<path>/ends`` with one row per
-partition. A topic filter prunes directories. A file holds one unbroken range of offsets of
+partition and ``<path>/manifest`` with the offsets of each segment. A topic filter prunes
+directories. A file holds one unbroken range of offsets of
 one partition, so an offset range prunes files, and the files' times follow their offsets,
 which is the order in which a stream takes them.
 """
@@ -14,13 +15,15 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.joins import bounded
 from tidelog.functions.labels import CODECS
+from tidelog.sources.file_batches import files_of_batch
 
+MANIFEST = "topic string, part int, segment int, first bigint, next bigint"
 #: How much of a log a micro-batch takes by default.
 BYTES_PER_TRIGGER = 256 << 20
 # Codecs the Parquet writer knows under another name.
@@ -55,6 +58,34 @@ class LogTable:
         rows = spark.read.schema(self.schema).parquet(f"{self.path}/log")
         return rows.select(*self.schema.names)
 
+    def read_segments(self, spark: SparkSession) -> DataFrame:
+        """As ``read``, with the directory ``segment`` that a row is in, for joins with the manifest."""
+        full = T.StructType([*self.schema.fields, T.StructField("segment", T.IntegerType())])
+        return spark.read.schema(full).parquet(f"{self.path}/log").select(*full.names)
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        """``topic, part, segment, first, next``: which offsets each segment holds, without a log scan."""
+        return spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
+
+    def ranges_of_batch(self, spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame:
+        """``topic, part, first, next`` of the segments that a micro-batch of ``read_stream`` takes.
+
+        From the names of its files and the manifest; no record is read. A segment is one file,
+        unless Spark was told to write no more than so many rows to each; then use no claims.
+        """
+
+        def plain(name: Column) -> Column:  # escaped once in the folder's name, and again as a URI
+            for _ in range(2):
+                name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+            return name
+
+        pattern = "/topic=([^/]*)/part=(\\d+)/segment=(\\d+)/"
+        value = lambda n: F.regexp_extract("path", pattern, n)
+        taken = files_of_batch(spark, checkpoint, batch_id).select(
+            plain(value(1)).alias("topic"), value(2).cast("int").alias("part"), value(3).cast("int").alias("segment")
+        )
+        return self.manifest(spark).join(taken.distinct(), ["topic", "part", "segment"]).select("topic", "part", "first", "next")
+
     def read_stream(self, spark: SparkSession, bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
         """The log as a file stream; a micro-batch takes ``bytes_per_trigger`` of files, one at least."""
         reader = spark.readStream.schema(self.schema).option("maxBytesPerTrigger", bytes_per_trigger)
@@ -134,6 +165,9 @@ def write_log(
     counted = spark.read.schema(
         "topic string, part int, _seg int, _first bigint, _n bigint, _shift bigint"
     ).parquet(segments_at)
+    first = F.col("_first") + F.col("_shift")
+    manifest = counted.select(*where, F.col("_seg").alias("segment"), first.alias("first"), (first + F.col("_n")).alias("next"))
+    manifest.coalesce(1).write.parquet(f"{path}/manifest")
     ends = counted.groupBy(*where).agg(F.sum("_n").alias("end_off"), F.count("_seg").alias("_segments"))
     ends.select(*where, "end_off").write.parquet(f"{path}/ends")
     sizes = ends.agg(F.count(F.lit(1)), F.coalesce(F.sum("_segments"), F.lit(0))).first()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.joins import bounded
 from tidelog.functions.naming import add_namespace, topic_regex
 
 DEFAULT_MAX_POLL = 500
@@ -51,23 +52,40 @@ def replay(log: DataFrame, ends: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def from_commit(log: DataFrame, committed: DataFrame, ends: DataFrame | None = None) -> DataFrame:
-    """What each group would read after a restart: rows at or after its commit.
+def resume_marks(committed: DataFrame, partitions: DataFrame) -> DataFrame:
+    """``grp, topic, part, committed``: where each group would go on, -1 being the start.
 
-    ``committed`` has ``grp, topic, part, committed``; -1 is no commit, so the start. A
-    partition that a group has no row for, as a new one, is read from its start too.
-    ``ends`` names the partitions there are; without it the log is asked.
+    ``committed`` has these columns. A group reads the topics that it has a row for; a partition
+    of them that it has none for, as a new one, is read from its start.
     """
-    partitions = (log if ends is None else ends).select(*PARTITION).distinct()
-    groups = committed.select("grp").distinct()
-    marks = (
-        partitions.join(F.broadcast(groups))  # a few groups, for each partition of metadata
-        .join(committed.select("grp", *PARTITION, "committed"), ["grp", *PARTITION], "left")
+    topics = committed.select("grp", "topic").distinct()
+    wanted = topics.join(partitions.select(*PARTITION).distinct(), "topic")
+    return (
+        wanted.join(committed.select("grp", *PARTITION, "committed"), ["grp", *PARTITION], "left")
         .withColumn("committed", F.coalesce("committed", F.lit(-1)))
     )
-    lowest = marks.agg(F.min("committed")).scalar()
-    tail = log.where(F.col("roff") >= lowest)
-    return tail.join(marks, PARTITION).where(F.col("roff") >= F.col("committed"))
+
+
+def from_commit(
+    log: DataFrame, committed: DataFrame, ends: DataFrame | None = None, manifest: DataFrame | None = None
+) -> DataFrame:
+    """What each group would read after a restart: rows at or after its commit, in its topics.
+
+    ``ends`` names the partitions there are. ``manifest`` (``topic, part, segment, first, next``) says which offsets a segment holds. With it
+    ``log`` has the column ``segment`` too, and a group only gets the segments that end above its own
+    commit in their partition; Spark opens no others. Without it the log is read from the least
+    commit on, and asked for its partitions if ``ends`` is not given either.
+    """
+    if manifest is None:
+        marks = resume_marks(committed, log if ends is None else ends)
+        lowest = marks.agg(F.min("committed")).scalar()
+        tail = log.where(F.col("roff") >= lowest)
+        return tail.join(marks, PARTITION).where(F.col("roff") >= F.col("committed"))
+    marks = resume_marks(committed, manifest if ends is None else ends)
+    segments = manifest.join(marks, PARTITION).where(F.col("next") > F.col("committed"))
+    segments = segments.select("grp", *PARTITION, "segment", "committed")
+    found = log.join(bounded(segments, segments.count()), [*PARTITION, "segment"])
+    return found.where(F.col("roff") >= F.col("committed")).drop("segment")
 
 
 def group_counts(log: DataFrame, groups: list[str]) -> DataFrame:

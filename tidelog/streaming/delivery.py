@@ -3,10 +3,16 @@
 Each job owns a folder: ``checkpoint``, ``results/batch_id=N`` (processed rows under
 ``failed=false``, dead letters under ``failed=true``) and ``commits/batch_id=N``. Put it in
 storage that all executors share.
+
+The commits are a ledger of intervals of offsets. It is folded as batches commit (see
+``snapshots``): intervals that meet become one, so a snapshot has one row for each partition
+and one more for each gap, however many batches there have been.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,8 +20,39 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.processing import BatchProcessor, process_records
+from tidelog.streaming.snapshots import FOLD_EVERY, Updates
 
 PARTITION = ["topic", "part"]
+RANGES = "topic string, part int, first bigint, next bigint, commit bigint"
+
+
+def merge_intervals(ranges: DataFrame) -> DataFrame:
+    """Ranges of offsets that meet or overlap as one, with the largest commit among them.
+
+    ``ranges`` is a folded ledger and the batches since, so a partition has as many rows as
+    gaps and recent batches.
+    """
+    in_order = Window.partitionBy(*PARTITION).orderBy("first", "next")
+    reached = F.max("next").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("first") > reached, F.lit(True)).cast("int")
+    number = F.sum("_apart").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        ranges.withColumn("_apart", apart)
+        .withColumn("_number", number)
+        .groupBy(*PARTITION, "_number")
+        .agg(
+            F.min("first").alias("first"),
+            F.max("next").alias("next"),
+            F.max("commit").alias("commit"),
+            F.max("batch_id").alias("batch_id"),
+        )
+        .drop("_number")
+    )
+
+
+def ledger_updates(folder: str, every: int = FOLD_EVERY) -> Updates:
+    """The ledger of a job: what each batch handled, folded into intervals."""
+    return Updates(f"{folder}/commits", merge_intervals, every)
 
 
 def _process_into(
@@ -48,9 +85,21 @@ def _ranges(batch: DataFrame, commit: Column) -> DataFrame:
     )
 
 
-def _start(stream: DataFrame, name: str, step, folder: str, drain: bool) -> StreamingQuery:
+#: Ranges of offsets (``topic, part, first, next``) of a batch, out of session, checkpoint and number.
+Claims = Callable[[SparkSession, str, int], DataFrame]
+#: Called after each batch with the session and the batch's number.
+AfterBatch = Callable[[SparkSession, int], None]
+
+
+def _start(
+    stream: DataFrame, name: str, step, folder: str, drain: bool, after: AfterBatch | None = None
+) -> StreamingQuery:
+    def both(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+        after(batch.sparkSession, batch_id)
+
     writer = (
-        stream.writeStream.foreachBatch(step)
+        stream.writeStream.foreachBatch(step if after is None else both)
         .queryName(name)
         .option("checkpointLocation", f"{folder}/checkpoint")
     )
@@ -64,6 +113,7 @@ def consume_at_least_once(
     name: str,
     drain: bool = False,
     ordered: bool = True,
+    after: AfterBatch | None = None,
 ) -> StreamingQuery:
     """Process, then commit.
 
@@ -72,20 +122,21 @@ def consume_at_least_once(
     rows failed; those go to the dead letters, not to a retry. ``drain`` stops once all
     records present at the start are processed. ``ordered`` handles a partition's rows in
     offset order in one task; without it they spread over tasks, for functions that do not
-    depend on order.
+    depend on order. ``after`` is called after each batch, as to observe a ``readiness.Latch``.
     """
 
-    return _start(stream, name, at_least_once_step(process, folder, ordered), folder, drain)
+    return _start(stream, name, at_least_once_step(process, folder, ordered), folder, drain, after)
 
 
 def at_least_once_step(process: BatchProcessor, folder: str, ordered: bool = True):
     """What ``consume_at_least_once`` does with each micro-batch."""
+    ledger = ledger_updates(folder)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         target = _process_into(batch, batch_id, process, folder, ordered)
         done = batch.sparkSession.read.schema(_stored(batch.schema)).parquet(target)
         ranges = _ranges(done, F.max(F.when(~F.col("failed"), F.col("roff"))) + 1)
-        ranges.write.mode("overwrite").parquet(f"{folder}/commits/batch_id={batch_id}")
+        ledger.store(ranges, batch_id)
 
     return step
 
@@ -97,25 +148,36 @@ def consume_at_most_once(
     name: str,
     drain: bool = False,
     ordered: bool = True,
+    after: AfterBatch | None = None,
+    claims: Claims | None = None,
 ) -> StreamingQuery:
     """Commit, then process.
 
     The commits are the ledger: a batch enters it before its first record is processed, and
     one found there, even half written, is never processed again. A crash in between loses
     it. An error while committing ends the query before anything is processed.
+
+    ``claims`` gives the ranges of offsets of a batch from what the stream's checkpoint says of
+    it, as ``LogTable.ranges_of_batch`` does, so that a batch is read once; all records in
+    them count as handled, also those that the stream filters out. Without it a batch is read
+    for its offsets first, and once more to be processed.
     """
+    ledger = ledger_updates(folder)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        polled = _ranges(batch, F.max("roff") + 1)
+        if claims is None:
+            polled = _ranges(batch, F.max("roff") + 1)
+        else:
+            polled = claims(batch.sparkSession, f"{folder}/checkpoint", batch_id).select(*PARTITION, "first", "next", F.col("next").alias("commit"))
         try:
-            polled.write.mode("errorifexists").parquet(f"{folder}/commits/batch_id={batch_id}")
+            ledger.store(polled, batch_id, mode="errorifexists")
         except AnalysisException as found:
             if found.getCondition() == "PATH_ALREADY_EXISTS":
                 return
             raise
         _process_into(batch, batch_id, process, folder, ordered)
 
-    return _start(stream, name, step, folder, drain)
+    return _start(stream, name, step, folder, drain, after)
 
 
 def consume_groups(
@@ -159,8 +221,12 @@ def commits(spark: SparkSession, folder: str) -> DataFrame:
 
     ``commit`` is null where nothing of a range succeeded.
     """
-    schema = "topic string, part int, first bigint, next bigint, commit bigint, batch_id bigint"
-    return spark.read.schema(schema).parquet(f"{folder}/commits")
+    return spark.read.schema(f"{RANGES}, batch_id bigint").parquet(f"{folder}/commits")
+
+
+def intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """What a job has handled so far: one row for each unbroken range of offsets of a partition."""
+    return ledger_updates(folder).read(spark, RANGES)
 
 
 def positions(spark: SparkSession, folder: str, start: DataFrame | None = None) -> DataFrame:
@@ -171,7 +237,7 @@ def positions(spark: SparkSession, folder: str, start: DataFrame | None = None)
     above one has been handled but is not counted, so a new run reads it again and skips
     nothing. Failed rows count as handled.
     """
-    ranges = commits(spark, folder)
+    ranges = intervals(spark, folder)
     if start is not None:
         ranges = ranges.join(start.select(*PARTITION, F.col("position").alias("_start")), PARTITION, "left")
     else:

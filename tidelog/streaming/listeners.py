@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 OBSERVATION = "batch_size"
 
@@ -39,3 +41,30 @@ class BatchListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         pass
+
+
+def reports_of(spark: SparkSession, start: Callable[[str], StreamingQuery], patience: float = 30.0) -> DataFrame:
+    """Run a query to its end and give what a listener was told: ``batch_id, num_records, bytes``.
+
+    ``start`` starts the query under the name it is given, over a stream that is ``observed``.
+    Reports come after their batches; ``patience`` is how many seconds to wait for the last.
+    """
+    name, told = f"listened-{uuid.uuid4().hex}", {}
+
+    def report(query: str, batch_id: int, num_records: int, size: int) -> None:
+        if query == name:
+            told[batch_id] = (num_records, size)
+
+    listener = BatchListener(report)
+    spark.streams.addListener(listener)
+    try:
+        query = start(name)
+        query.awaitTermination()
+        last = query.lastProgress
+        deadline = time.monotonic() + patience
+        while last is not None and last.batchId not in told and time.monotonic() < deadline:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [(batch_id, *sizes) for batch_id, sizes in sorted(told.items())]
+    return spark.createDataFrame(rows, "batch_id bigint, num_records bigint, bytes bigint")

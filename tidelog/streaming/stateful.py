@@ -1,8 +1,9 @@
-"""Streams that keep state: the newest value per key, and running counters.
+"""Streams that keep state: the newest value per key, running counters and histograms.
 
 State is one row per key or per attribute set. Results of a micro-batch go to
 ``<folder>/updates/batch_id=N``; writing a batch again replaces it, so a replay after a
-crash changes nothing.
+crash changes nothing. Every so many batches they are folded into a snapshot (see
+``snapshots``), so what a reader opens does not grow with the age of a stream.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.histogram import DEFAULT_BOUNDS, bucket_index
 from tidelog.operators.compaction import latest_per_key
+from tidelog.streaming.snapshots import FOLD_EVERY, Updates
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # Fixed value: Spark's state store that keeps state on disk instead of the heap.
@@ -37,13 +39,10 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
-def _start_updates(updates: DataFrame, name: str, folder: str, drain: bool) -> StreamingQuery:
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/updates/batch_id={batch_id}")
-
+def _start_updates(updates: DataFrame, name: str, table: Updates, folder: str, drain: bool) -> StreamingQuery:
     writer = (
         updates.writeStream.outputMode("update")
-        .foreachBatch(store)
+        .foreachBatch(table.store)
         .queryName(name)
         .option("checkpointLocation", f"{folder}/checkpoint")
     )
@@ -51,19 +50,38 @@ def _start_updates(updates: DataFrame, name: str, folder: str, drain: bool) -> S
         return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
-def follow_latest(stream: DataFrame, folder: str, name: str, drain: bool = False) -> StreamingQuery:
+def _last_of(by: list[str], order: str):
+    """Of several rows of a key, the one with the largest ``order``."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        values = [c for c in rows.columns if c not in by]
+        return rows.groupBy(*by).agg(F.max_by(F.struct(*values), order).alias("_last")).select(*by, "_last.*")
+
+    return fold
+
+
+def newest_updates(folder: str, every: int = FOLD_EVERY) -> Updates:
+    """What ``follow_latest`` writes: records of a key, of which the largest offset counts."""
+    return Updates(f"{folder}/updates", _last_of(["rkey", "topic"], "roff"), every)
+
+
+def follow_latest(
+    stream: DataFrame, folder: str, name: str, drain: bool = False, fold_every: int = FOLD_EVERY
+) -> StreamingQuery:
     """Keep the newest record of every key of a compacted log, across batches."""
-    return _start_updates(latest_per_key(stream), name, folder, drain)
+    return _start_updates(latest_per_key(stream), name, newest_updates(folder, fold_every), folder, drain)
 
 
 def latest_view(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """The table ``follow_latest`` maintains: updates of a key overtaken by later ones drop."""
     columns = {f.name: f for f in schema.fields}
-    stored = T.StructType(
-        [columns[c] for c in ("topic", "rkey", "rvalue", "roff")]
-        + [T.StructField("batch_id", T.LongType())]
-    )
-    return latest_per_key(spark.read.schema(stored).parquet(f"{folder}/updates"))
+    stored = T.StructType([columns[c] for c in ("topic", "rkey", "rvalue", "roff")])
+    return newest_updates(folder).read(spark, stored)
+
+
+def total_updates(folder: str, by: list[str], every: int = FOLD_EVERY) -> Updates:
+    """What ``count_running`` writes: totals of an attribute set, of which the last batch's counts."""
+    return Updates(f"{folder}/updates", _last_of(by, "batch_id"), every)
 
 
 def count_running(
@@ -73,21 +91,81 @@ def count_running(
     folder: str,
     name: str,
     drain: bool = False,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Cumulative counters: every changed attribute set with its total so far."""
     totals = stream.groupBy(*by).agg(*[m.alias(n) for n, m in measures.items()])
-    return _start_updates(totals, name, folder, drain)
+    return _start_updates(totals, name, total_updates(folder, by, fold_every), folder, drain)
 
 
 def running_totals(spark: SparkSession, folder: str, schema: str, by: list[str]) -> DataFrame:
     """The last total of each attribute set written by ``count_running``."""
-    rows = spark.read.schema(schema + ", batch_id bigint").parquet(f"{folder}/updates")
-    values = [c for c in rows.columns if c not in (*by, "batch_id")]
-    return (
-        rows.groupBy(*by)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
-        .select(*by, "_last.*")
+    return total_updates(folder, by).read(spark, schema)
+
+
+# A histogram of microseconds: how many, their sum, the smallest, the largest, how many in each bucket.
+_HISTOGRAM = "num bigint, sum_us decimal(38,0), min_us bigint, max_us bigint, bucket_counts array<bigint>"
+
+
+def histogram_running(
+    stream: DataFrame,
+    by: list[str],
+    value_us: str,
+    folder: str,
+    name: str,
+    bounds: Sequence[float] = DEFAULT_BOUNDS,
+    drain: bool = False,
+    fold_every: int = FOLD_EVERY,
+) -> StreamingQuery:
+    """Cumulative explicit-bucket histograms: every changed attribute set with its histogram so far.
+
+    State is one row for each attribute set. ``merge_histograms`` adds up those of several jobs.
+    """
+    value = F.col(value_us)
+    buckets = [F.count(F.when(F.col("_bucket") == k, 1)).alias(f"_b{k}") for k in range(len(bounds) + 1)]
+    counted = (
+        stream.where(value.isNotNull())
+        .withColumn("_bucket", bucket_index(value_us, bounds))
+        .groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("num"),
+            F.sum(value.cast("decimal(19,0)")).cast("decimal(38,0)").alias("sum_us"),
+            F.min(value).alias("min_us"),
+            F.max(value).alias("max_us"),
+            *buckets,
+        )
     )
+    bucket_counts = F.array(*[F.col(f"_b{k}") for k in range(len(bounds) + 1)]).alias("bucket_counts")
+    rows = counted.select(*by, "num", "sum_us", "min_us", "max_us", bucket_counts)
+    return _start_updates(rows, name, total_updates(folder, by, fold_every), folder, drain)
+
+
+def running_histograms(spark: SparkSession, folder: str, by_schema: str, by: list[str]) -> DataFrame:
+    """The histograms that ``histogram_running`` has counted so far."""
+    return total_updates(folder, by).read(spark, f"{by_schema}, {_HISTOGRAM}")
+
+
+def merge_histograms(histograms: DataFrame, by: list[str], bounds: Sequence[float] = DEFAULT_BOUNDS) -> DataFrame:
+    """Histograms of the same bounds added up by fewer attributes."""
+    return histograms.groupBy(*by).agg(
+        F.sum("num").alias("num"),
+        F.sum("sum_us").cast("decimal(38,0)").alias("sum_us"),
+        F.min("min_us").alias("min_us"),
+        F.max("max_us").alias("max_us"),
+        F.array(*[F.sum(F.get("bucket_counts", F.lit(k))) for k in range(len(bounds) + 1)]).alias("bucket_counts"),
+    )
+
+
+def delta_updates(folder: str, by: list[str], every: int = FOLD_EVERY) -> Updates:
+    """What ``count_deltas`` writes: numbers to be added up."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        numbers = [c for c in rows.columns if c not in (*by, "batch_id")]
+        kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+        added = [F.sum(c).cast(kinds[c]).alias(c) for c in numbers]
+        return rows.groupBy(*by).agg(*added, F.max("batch_id").alias("batch_id"))
+
+    return Updates(f"{folder}/updates", fold, every)
 
 
 def count_deltas(
@@ -97,12 +175,13 @@ def count_deltas(
     folder: str,
     name: str,
     drain: bool = False,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Delta counters: what each micro-batch added. Needs no state."""
+    table = delta_updates(folder, by, fold_every)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        added = batch.groupBy(*by).agg(*[m.alias(n) for n, m in measures.items()])
-        added.write.mode("overwrite").parquet(f"{folder}/updates/batch_id={batch_id}")
+        table.store(batch.groupBy(*by).agg(*[m.alias(n) for n, m in measures.items()]), batch_id)
 
     writer = (
         stream.writeStream.foreachBatch(store)
@@ -112,6 +191,11 @@ def count_deltas(
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
+def delta_totals(spark: SparkSession, folder: str, schema: str, by: list[str]) -> DataFrame:
+    """What the deltas of ``count_deltas`` add up to."""
+    return delta_updates(folder, by).read(spark, schema)
+
+
 def count_buckets(
     stream: DataFrame,
     by: list[str],
@@ -129,9 +213,8 @@ def count_buckets(
 
 def bucket_totals(spark: SparkSession, folder: str, by_schema: str, by: list[str]) -> DataFrame:
     """The histograms that ``count_buckets`` has counted so far, one row per bucket in use."""
-    schema = f"{by_schema}, bucket int, bucket_count bigint, sum_us bigint, batch_id bigint"
-    deltas = spark.read.schema(schema).parquet(f"{folder}/updates")
-    return deltas.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in ("bucket_count", "sum_us")])
+    schema = f"{by_schema}, bucket int, bucket_count bigint, sum_us bigint"
+    return delta_totals(spark, folder, schema, [*by, "bucket"])
 
 
 def dedup_stream(stream: DataFrame, event_time: str, horizon: str) -> DataFrame:
