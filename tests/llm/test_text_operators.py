@@ -200,13 +200,12 @@ def test_jaccard(spark, corpus):
     assert jaccard.similarity_join(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("most, spared", [(4, 0.1), (0.001, 0.1), (0.001, 0.01)])
-def test_jaccard_chains_and_large_groups(spark, most, spared, monkeypatch):
+@pytest.mark.parametrize("most", [64, 0])
+def test_jaccard_chains_and_large_groups(spark, most, monkeypatch):
     """A chain of edits whose ends do not link, and a group whose members link only to some."""
     import random
 
-    monkeypatch.setattr(jaccard, "PAIRS_PER_ENTRY", most)
-    monkeypatch.setattr(jaccard, "LEAST_SPARED", spared)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", most)
     r = random.Random(2)
     base = [f"b{k}" for k in range(120)]
     rows, current = [], list(base)
@@ -222,6 +221,50 @@ def test_jaccard_chains_and_large_groups(spark, most, spared, monkeypatch):
     assert got == brute_jaccard(rows)
 
 
+@pytest.mark.parametrize("percent, most", [(75, 0), (60, 2)])
+def test_jaccard_keyed_anew_by_differences(spark, percent, most, monkeypatch):
+    """Edits out of few words, so that differences from a pivot meet too; copies cut short; texts of their own."""
+    import random
+
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", most)
+    r = random.Random(percent)
+    rows, bases = [], [[f"b{r.randrange(60)}" for _ in range(60)] for _ in range(2)]
+    for k in range(160):
+        own = list(r.choice(bases))
+        for _ in range(r.randint(0, 4)):
+            at = r.randrange(len(own))
+            own[at : at + r.randint(0, 3)] = [f"e{r.randrange(3)}"] * r.randint(0, 3)
+        if k % 4 == 0:
+            own = own[: r.randint(35, 60)] + [f"own{k}-{j}" for j in range(r.randint(0, 9))]
+        rows.append((k, " ".join(own)))
+    got = sorted(map(tuple, jaccard.similarity_join(frame(spark, rows), percent=percent).collect()), key=repr)
+    assert got == brute_jaccard(rows, percent=percent)
+
+
+def test_jaccard_large_group_without_all_pairs(spark, monkeypatch):
+    """600 near copies of which most pairs do not link: few are compared, no link is lost."""
+    import random
+
+    verify, compared = jaccard._verify, []
+
+    def counted(candidates, *rest):
+        compared.append(candidates.count())
+        return verify(candidates, *rest)
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    r = random.Random(8)
+    base = [f"b{k}" for k in range(100)]
+    rows = []
+    for k in range(600):
+        own = list(base)
+        for at in r.sample(range(100), r.randint(1, 5)):
+            own[at] = f"e{r.randrange(5000)}"
+        rows.append((k, " ".join(own)))
+    got = sorted(map(tuple, jaccard.similarity_join(frame(spark, rows)).collect()), key=repr)
+    assert got == brute_jaccard(rows)
+    assert sum(compared) < 30 * len(rows)
+
+
 # decontamination
 
 

@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(down, "u")

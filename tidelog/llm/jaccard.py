@@ -14,11 +14,21 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
    and is of one text alone cannot count. What is left is compared by a histogram of hash
    classes (suffix filter), then set by set, once.
 4. Groups around a common shingle may be large, so not all their pairs are made. Each group
-   picks a *pivot*, its most central member, and only pairs with the pivot are verified.
-   Members that end up in one component need no further look. What remains are pairs of
-   members in different components: while they are many and pivots make them fewer, further
-   pivots follow; then all that pass the filters are verified. So components are exact,
-   whatever the group.
+   picks a *pivot* T, its most central member, and pairs with it are verified. Members that end
+   up in one component need no further look; components are taken after the first pivots and at the end. A group with few pairs between components (a
+   bounded number for each member) has them verified next. In any other group the members
+   are *keyed anew by their difference* ``Dx`` from the pivot, the shingles that one of both
+   has and the other has not. As ``x ^ y = Dx ^ Dy``, two members that link and that are not
+   both linked with T must share a large part of their differences. So they meet in a
+   rare-first prefix of these, and the new groups are treated in the same way until none is
+   left. Near copies with random edits share what the pivot lacks or has alone, which is
+   common and comes last in that order; what is rare in their differences is their own.
+
+   With ``f = (100 - percent) / (100 + percent)``, x and y link when ``|x ^ y| <= f (|x| + |y|)``,
+   and ``|Dx & Dy| = (|Dx| + |Dy| - |x ^ y|) / 2``. If y does not link with T, ``|Dy| > f (|y| + |T|)``,
+   so ``|Dx & Dy| > (|Dx| + f (|T| - |x|)) / 2``: the *strict* prefix of x leaves out as many, less one.
+   If x links with T and y does not, that holds for x; for y there is ``|Dx & Dy| >= |Dy| - f (|x| + |y|)``
+   with ``|x| <= 100 |y| / percent``: its *wide* prefix, which only meets those that link with T.
 
 Shingles are told apart by 64 bits in the sets that decide on equality and on prefixes, and
 by 48 bits inside the comparison of two sets. Null ids are after all others; rows of equal
@@ -41,10 +51,14 @@ from tidelog.llm.components import components
 COUNTS = "bucket int, block int, hashes binary, counts binary"
 CLASSES = "block int, bucket int, at binary, classes binary"
 SETS = "id bigint, n bigint, h1 bigint, h2 bigint, single int, prefix array<bigint>, shingles binary, histogram binary"
-#: Pairs left for the last step, per prefix entry, above which another pivot is tried first.
-PAIRS_PER_ENTRY = 4
-#: Another pivot follows only if the last one spared at least this share of the pairs.
-LEAST_SPARED = 0.1
+DIFFERENCES = (
+    "base bigint, node bigint, n bigint, own double, component bigint, d bigint, single bigint, strict bigint, wide bigint, "
+    "linked boolean, elements array<bigint>"
+)
+#: A group has its pairs between components verified if they are at most so many for each member.
+PAIRS_PER_MEMBER = 64
+#: Stands for what a pivot alone has in all the corpus; the last element of every difference.
+_PIVOTS_OWN = -1
 _BINS = 64
 
 
@@ -166,13 +180,15 @@ def _describe(texts: pa.Table, answers: pa.Table, size: int, percent: int, n_buc
     )
 
 
-def _overlap(a: pa.Buffer, b: pa.Buffer) -> int:
-    def wide(data: pa.Buffer) -> np.ndarray:
-        out = np.zeros((data.size // 6, 8), dtype=np.uint8)
-        out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-        return out.view("<u8").ravel()
+def _wide(data: pa.Buffer) -> np.ndarray:
+    """Sorted 48-bit hashes."""
+    out = np.zeros((data.size // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
 
-    few, many = sorted((wide(a), wide(b)), key=len)
+def _overlap(a: pa.Buffer, b: pa.Buffer) -> int:
+    few, many = sorted((_wide(a), _wide(b)), key=len)
     return int(blocks.member(few, many).sum())
 
 
@@ -219,18 +235,25 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _roomy(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs with sizes n and the place of a common prefix shingle (at; k among those of several
-    texts) that pass the length and the positional filter, once each, and then the positional
-    filter at their first common shingle."""
+    """Pairs that pass the length and the positional filter, once each.
+
+    Of each side there is the size n of its set, the size d of its difference from the base (of
+    a base that is empty, n), and the place of a common element: ``at`` in the difference, ``k``
+    among what others have too. Then comes the positional filter at the first common element.
+    """
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    needed = percent * (F.col("n_a") + F.col("n_b"))
-    after = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+
+    def fits(room: Column) -> Column:
+        return (F.col("d_a") + F.col("d_b") - 2 * room) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+    after = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))
     return (
-        pairs.where((small * 100 >= percent * large) & ((F.least("k_a", "k_b") + after) * (100 + percent) >= needed))
-        .groupBy("a", "b", "n_a", "n_b")
+        pairs.where((small * 100 >= percent * large) & fits(F.least("k_a", "k_b") + after))
+        .groupBy("base", "a", "b", "n_a", "n_b", "d_a", "d_b")
         .agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"))
-        .where(F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * (100 + percent) >= needed)
+        .where(fits(after))
         .select("a", "b", "n_a", "n_b")
+        .distinct()
     )
 
 
@@ -240,7 +263,7 @@ def _pair(left: str, right: str) -> list[Column]:
     side = lambda c: (F.when(first, F.col(f"{left}.{c}")).otherwise(F.col(f"{right}.{c}")),
                       F.when(first, F.col(f"{right}.{c}")).otherwise(F.col(f"{left}.{c}")))
     out = []
-    for c, name in (("node", ""), ("n", "n_"), ("at", "at_"), ("k", "k_")):
+    for c, name in (("node", ""), ("n", "n_"), ("d", "d_"), ("at", "at_"), ("k", "k_")):
         x, y = side(c)
         out += [x.alias(f"{name}a"), y.alias(f"{name}b")]
     return out
@@ -283,47 +306,44 @@ def similarity_join(
     groups = prefix.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
     entries = staged(
         prefix.join(groups.select("shingle"), "shingle").select(
-            "shingle", "node", "n", "own", (F.col("single") + F.col("k")).cast("bigint").alias("at"), "k"
+            F.lit(0).cast("bigint").alias("base"),
+            "shingle",
+            "node",
+            "n",
+            F.col("n").alias("d"),
+            "own",
+            (F.col("single") + F.col("k")).cast("bigint").alias("at"),
+            "k",
+            F.col("node").alias("component"),
         ),
         "entries",
     )
-    total = entries.count()
-
-    links = tested = used = None
-    state = entries.withColumn("component", F.col("node"))
-    left = float("inf")
+    key = ["base", "shingle"]
+    links = tested = roots = pending = None
     while True:
-        # The most central member that has not been a pivot: few shingles of its own.
-        rank = F.struct("own", F.col("node"), F.col("n"), F.col("at"), F.col("k"))
-        free = state if used is None else state.join(used, ["shingle", "node"], "left_anti")
-        pivot = free.groupBy("shingle").agg(F.min(rank).alias("p"))
-        pivots = pivot.select("shingle", F.col("p.node").alias("node"), *[F.col(f"p.{c}").alias(c) for c in ("n", "at", "k")])
-        pivots = staged(pivots, "pivots")
-        used = pivots.select("shingle", "node") if used is None else used.unionAll(pivots.select("shingle", "node"))
-        owner = state.select("shingle", F.col("node").alias("pivot_node"), F.col("component").alias("pivot_component"))
+        pivots = staged(_pivots(entries), "pivots")
         around = (
-            state.alias("s")
-            .join(pivots.alias("p"), "shingle")
-            .where(F.col("s.node") != F.col("p.node"))
-            .select("shingle", F.col("s.component").alias("c"), F.col("p.node").alias("pivot_node"), *_pair("s", "p"))
+            entries.alias("s")
+            .join(pivots.alias("p"), key)
+            .where("s.node <> p.node and s.component <> p.component")
+            .select("base", *_pair("s", "p"))
         )
-        if links is not None:
-            around = around.join(owner, ["shingle", "pivot_node"]).where("c <> pivot_component")
         fresh = _roomy(around, percent)
-        fresh = fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = staged(fresh, "candidates")
-        tested = fresh.select("a", "b") if tested is None else tested.unionAll(fresh.select("a", "b"))
-        found = _verify(fresh, sets, percent)
-        links = found if links is None else links.unionAll(found)
-        before = _pairs_between(state) if left == float("inf") else left
-        state, left = _remaining(entries, links)
-        if left <= PAIRS_PER_ENTRY * total or left > (1 - LEAST_SPARED) * before:
+        found, tested = _tried(fresh if pending is None else fresh.unionAll(pending), tested, sets, percent)
+        first_round = roots is None
+        if first_round:  # most links are with pivots; what is found later is joined at the end
+            roots = components(found)
+        else:
+            links = found if links is None else links.unionAll(found)
+        state = _between(entries, roots)
+        few = F.col("pairs") <= PAIRS_PER_MEMBER * F.col("members")
+        pending = staged(_roomy(_cross_pairs(state.where(few)), percent), "candidates")
+        entries = staged(_keyed_anew(state.where(~few), pivots, sets, percent, merge=first_round), "entries")
+        if entries.isEmpty():
             break
-    rest = _cross_pairs(state)
-    last = staged(_roomy(rest, percent).join(tested, ["a", "b"], "left_anti"), "candidates")
-    links = links.unionAll(_verify(last, sets, percent))
+    found, _ = _tried(pending, tested, sets, percent)
+    roots = _joined(roots, found if links is None else links.unionAll(found))
 
-    roots = components(links)
     known = heads.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
     keyed = rows.where("n > 0").join(known, ["h1", "h2"], "left")
     # Sets without a representative share nothing: their rows only have each other.
@@ -346,37 +366,150 @@ def similarity_join(
     )
 
 
-def _remaining(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, float]:
-    """Entries of groups that span several components, with the component of each, and the
-    number of pairs of different components in them."""
-    roots = components(links)
-    located = entries.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
-    spread = located.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    state = staged(located.join(spread.select("shingle"), "shingle"), "entries")
-    return state, _pairs_between(state)
+def _pivots(entries: DataFrame) -> DataFrame:
+    """The most central member of each group: few shingles of its own."""
+    columns = ("node", "n", "d", "at", "k", "component")
+    least = entries.groupBy("base", "shingle").agg(F.min(F.struct("own", *columns)).alias("p"))
+    return least.select("base", "shingle", *[F.col(f"p.{c}").alias(c) for c in columns])
 
 
-def _pairs_between(state: DataFrame) -> float:
-    """Pairs of members of one group in different components."""
-    sizes = state.groupBy("shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    pairs = sizes.groupBy("shingle").agg(((F.sum("m") ** 2 - F.sum(F.col("m") ** 2)) / 2).alias("pairs"))
-    return pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+def _tried(
+    candidates: DataFrame, tested: DataFrame | None, sets: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links among candidates that were not verified before, and all pairs that were by now."""
+    fresh = candidates.distinct()
+    fresh = staged(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"), "candidates")
+    pairs = fresh.select("a", "b")
+    return _verify(fresh, sets, percent), pairs if tested is None else tested.unionAll(pairs)
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (``node, root``) after more links."""
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    between = (
+        links.join(root("a"), "a", "left")
+        .join(root("b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        .where("a <> b")
+    )
+    moved = components(between)
+    known = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    return staged(
+        known.select("node", F.coalesce("to", "root").alias("root")).unionAll(moved.join(roots, "node", "left_anti")), "roots"
+    )
+
+
+def _between(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries of groups that span several components: with the component of each, how many
+    members and pairs of different components its group has, and the largest component there."""
+    located = entries.drop("component").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    sizes = located.groupBy("base", "shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    groups = sizes.groupBy("base", "shingle").agg(
+        F.sum("m").alias("members"),
+        ((F.sum("m") ** 2 - F.sum(F.col("m") ** 2)) / 2).alias("pairs"),
+        F.max(F.struct("m", "component"))["component"].alias("major"),
+    )
+    return staged(located.join(groups.where("pairs > 0"), ["base", "shingle"]), "entries")
 
 
 def _cross_pairs(state: DataFrame) -> DataFrame:
     """Pairs of members of one group in different components.
 
-    The side that drives the join leaves out the largest component of each group, so a group
-    that is nearly one component gives few rows.
+    The side that drives the join leaves out the largest component of each group.
     """
-    sizes = state.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m"))
-    major = sizes.groupBy("shingle").agg(F.max(F.struct("m", "component"))["component"].alias("major"))
-    marked = state.join(major, "shingle").withColumn("outer", F.col("component") != F.col("major"))
+    marked = state.withColumn("outer", F.col("component") != F.col("major"))
     return (
         marked.where("outer").alias("s")
-        .join(marked.alias("t"), "shingle")
+        .join(marked.alias("t"), ["base", "shingle"])
         .where(
             (F.col("s.component") != F.col("t.component")) & (~F.col("t.outer") | (F.col("s.node") < F.col("t.node")))
         )
-        .select("shingle", *_pair("s", "t"))
+        .select("base", *_pair("s", "t"))
+    )
+
+
+def _differences(percent: int):
+    """For each member, its difference from the pivot and how long its prefixes are."""
+
+    def run(batches):
+        for batch in batches:
+            n, t_n, single, t_single = (batch.column(c).to_numpy() for c in ("n", "t_n", "single", "t_single"))
+            elements = []
+            for own, other in zip(batch.column("shingles"), batch.column("t_shingles"), strict=True):
+                elements.append(np.setxor1d(_wide(own.as_buffer()), _wide(other.as_buffer()), assume_unique=True).view(np.int64))
+            d = np.fromiter(map(len, elements), np.int64, len(elements)) + single + t_single
+            linked = d * (100 + percent) <= (n + t_n) * (100 - percent)
+            strict = d - ((100 + percent) * d + (100 - percent) * (t_n - n)) // (2 * (100 + percent))
+            wide = d + 1 - np.maximum(1, -(((100 - percent) * n - percent * d) // percent))
+            own_of_pivot = np.full(1, _PIVOTS_OWN)
+            elements = [np.concatenate((e, own_of_pivot)) if t else e for e, t in zip(elements, t_single.tolist(), strict=True)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    **{c: batch.column(c) for c in ("base", "node", "n", "own", "component")},
+                    "d": pa.array(d, pa.int64()),
+                    "single": pa.array(single, pa.int64()),
+                    "strict": pa.array(strict, pa.int64()),
+                    "wide": pa.array(np.where(linked, strict, np.maximum(strict, wide)), pa.int64()),
+                    "linked": pa.array(linked, pa.bool_()),
+                    "elements": pa.array(elements, pa.list_(pa.int64())),
+                }
+            )
+            give_back()
+
+    return run
+
+
+def _keyed_anew(state: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int, merge: bool) -> DataFrame:
+    """Entries of groups by what is rare in the differences from a group's pivot.
+
+    ``merge``: groups with one pivot become one, since each member's difference is the same.
+    """
+    chosen = pivots.select("base", "shingle", F.col("node").alias("pivot"))
+    base = F.col("pivot") if merge else F.xxhash64("base", "shingle", "pivot")
+    members = (
+        state.join(chosen, ["base", "shingle"])
+        .where("node <> pivot")
+        .select(base.alias("base"), "pivot", "node", "n", "own", "component")
+        .dropDuplicates(["base", "node"])
+    )
+    # A pivot may have very many members: its set goes to them in copies. A group keyed anew
+    # has more than twice PAIRS_PER_MEMBER members, so copies are fewer than members.
+    copies = 16
+    of_pivots = (
+        members.select("pivot")
+        .distinct()
+        .join(
+            sets.select(
+                F.col("node").alias("pivot"),
+                F.col("n").alias("t_n"),
+                F.col("single").alias("t_single"),
+                F.col("shingles").alias("t_shingles"),
+            ),
+            "pivot",
+        )
+        .withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(copies)])))
+    )
+    with_both = (
+        members.join(sets.select("node", "single", "shingles"), "node")
+        .withColumn("copy", F.pmod(F.xxhash64("node"), F.lit(copies)).cast("int"))
+        .join(of_pivots, ["pivot", "copy"])
+    )
+    found = staged(with_both.mapInArrow(_differences(percent), DIFFERENCES), "differences")
+    each = found.withColumn("shingle", F.explode("elements")).drop("elements")
+    often = each.groupBy("base", "shingle").agg(F.count(F.lit(1)).alias("often"))
+    in_order = Window.partitionBy("base", "node").orderBy(F.col("shingle") == _PIVOTS_OWN, "often", "shingle")
+    whole = Window.partitionBy("base", "node")
+    placed = (
+        each.join(often, ["base", "shingle"])
+        .withColumn("place", F.row_number().over(in_order).cast("bigint") - 1)
+        .withColumn("alone", F.sum((F.col("often") == 1).cast("bigint")).over(whole))
+        .withColumn("at", F.col("single") + F.col("place"))
+        .where("often > 1 and at < wide")
+        .withColumn("k", F.greatest(F.lit(0), F.col("place") - F.col("alone")).cast("int"))
+    )
+    meeting = placed.groupBy("base", "shingle").agg(F.max("linked").alias("some_linked"))
+    kept = placed.join(meeting, ["base", "shingle"]).where("some_linked or at < strict")
+    several = kept.groupBy("base", "shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    return kept.join(several, ["base", "shingle"], "left_semi").select(
+        "base", "shingle", "node", "n", "d", "own", "at", "k", "component"
     )
