@@ -84,7 +84,10 @@ def from_commit(
     marks = resume_marks(committed, manifest if ends is None else ends)
     segments = manifest.join(marks, PARTITION).where(F.col("next") > F.col("committed"))
     segments = segments.select("grp", *PARTITION, "segment", "committed")
-    found = log.join(bounded(segments, segments.count()), [*PARTITION, "segment"])
+    # Numbers of segments are as many as the cuts of the log. As a filter they prune folders.
+    known = segments.agg(F.count(F.lit(1)).alias("rows"), F.collect_set("segment").alias("numbers")).first()
+    some = log.where(F.col("segment").isin(known["numbers"]))
+    found = some.join(bounded(segments, known["rows"]), [*PARTITION, "segment"])
     return found.where(F.col("roff") >= F.col("committed")).drop("segment")
 
 
