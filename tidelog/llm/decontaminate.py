@@ -94,11 +94,22 @@ def find_contamination(
         F.col(text).alias("_text"),
         folded_words(text).alias("words"),
     )
+    # Where hashes are broadcast only hits move, with their texts. A shuffle moves every window,
+    # so there texts stay behind and those with hits are joined back.
+    sent = sum(r["n"] for r in sizes) <= broadcast_windows
+    with_text = ["key", "_text"] if sent else ["key"]
+
+    def started(size: int) -> DataFrame:
+        starts = (
+            rows.select(*with_text, F.posexplode(_hashes(F.col("words"), size)).alias("at", "hash"))
+            .join(few(windows.where(F.col("size") == size).select("hash").distinct()), "hash")
+            .groupBy(*with_text)
+            .agg(F.collect_set("at").alias("starts"))
+        )
+        return starts if sent else starts.join(rows.select("key", "_text"), "key")
+
     found = [
-        rows.select("key", "_text", F.posexplode(_hashes(F.col("words"), r["size"])).alias("at", "hash"))
-        .join(few(windows.where(F.col("size") == r["size"]).select("hash").distinct()), "hash")
-        .groupBy("key", "_text")
-        .agg(F.collect_set("at").alias("starts"))
+        started(r["size"])
         .select("key", F.lit(r["size"]).alias("size"), "starts", _exact("_text").alias("exact"))
         .select(
             "key",
@@ -150,14 +161,13 @@ def remove_documents(found: DataFrame) -> DataFrame:
 
 
 def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:
-    """Rows with the hit words and what separates them taken out of ``text``."""
+    """Rows with the hit words taken out of ``text``, each with what follows it up to the next word.
+
+    What stands before a run of hit words stays, also at the end of a text; a text of hit words
+    only keeps what stands before the first. Texts without hits stay as they are.
+    """
     words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
     gaps = F.split(F.col(text), WORD, -1)
-    rest = F.array_join(
-        F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(words)), F.col("hit_words")),
-            lambda i: F.concat(F.get(gaps, i), F.coalesce(F.get(words, i), F.lit(""))),
-        ),
-        "",
-    )
-    return found.withColumn(text, F.when(F.size("hit_words") > 0, rest).otherwise(F.col(text)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(words) - 1), F.col("hit_words"))
+    rest = F.array_join(F.transform(kept, lambda i: F.concat(F.get(words, i), F.get(gaps, i + 1))), "")
+    return found.withColumn(text, F.when(F.size("hit_words") > 0, F.concat(F.get(gaps, F.lit(0)), rest)).otherwise(F.col(text)))
