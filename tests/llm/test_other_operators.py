@@ -289,3 +289,32 @@ def test_no_cut_of_the_input(spark):
 
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert queries.queries()["op3_shuffle_shards"](spark, SMALL).count() == n
+
+
+# embeddings: numbers at the ends of the range, labels of any type, the bounds of an audit
+
+
+def test_tiny_and_huge_vectors_and_text_labels(spark):
+    rows = [(1, [1e-200, 1e-200], "a"), (2, [1.0, 1.0], "a"), (3, [1e200, 1e200], "a"), (4, [5e-324, 5e-324], "a")]
+    rows += [(5, [1e300, -1e300], "a"), (6, [1e-300, -1.01e-300], "a"), (7, [1.0, 1.0], "b"), (8, [1e-320, 0.0], "b")]
+    rows += [(9, [1.7e308, 1.7e308], "b"), (10, [0.0, -0.0], "b")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(map(tuple, hnsw.near_duplicates(df).collect()))
+    assert got == [
+        (1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 3, 1), (5, 1, 5), (6, 1, 5), (7, 1, 7), (8, 0, 8), (9, 1, 7), (10, 0, 10)
+    ]
+
+
+def test_few_links_are_found_by_the_graph(monkeypatch):
+    """Of 6,000 vectors with 60 links, a fixed number is answered by brute force, and the links come."""
+    r = np.random.default_rng(12)
+    x = r.normal(size=(6000, 24))
+    x[:60] = x[60:120] + r.normal(scale=0.05, size=(60, 24))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    brute, real = [], hnsw._all_within
+    monkeypatch.setattr(hnsw, "_all_within", lambda g, q, some, least: brute.append(len(some)) or real(g, q, some, least))
+    q, v, beam = hnsw.audited(hnsw.Graph(x).build(), x, np.arange(len(x)), 0.93, audit=256)
+    true = {(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.93), strict=True) if a != b}
+    got = {(a, b) for a, b in zip(q.tolist(), v.tolist(), strict=True) if a != b}
+    assert sum(brute) == 256 and beam < 1500
+    assert len(got & true) >= 0.99 * len(true) and not got - true

@@ -6,17 +6,16 @@ hash; each shard builds a graph, and every shard is queried with the vectors of
 of its label (of two shards, one asks the other).
 
 A query is a beam search. Where all of a beam lies within the threshold it is widened for
-that vector, since there may be more. An *audit* compares a sample of the queries with brute
-force over the shard. A vector's match with itself is no link and does not count; the sample
-grows until ``AUDIT`` of its queries have a link, to the whole shard if links are rare. As
-long as fewer links than ``recall`` of the true ones were found, the beam is doubled for all,
-and once its searches would look at as many vectors as the shard has, all are compared. What
-is found is verified by cosine in double precision, so no link is below the threshold.
+that vector, since there may be more. An *audit* answers ``AUDIT`` queries of a shard by brute
+force too, on two counts: the links, and the ten nearest others, which tell how good the search
+is where links are rare. As long as the search finds too few of either, the beam is doubled for all;
+once it would be a quarter of the shard, all are compared. What is found is verified by cosine
+in double precision, so no link is below the threshold.
 
 Shard against shard gives each vector a number of links and a spanning forest of the links,
 not all pairs; components are joined from the forests.
 
-Vectors that are null, empty, of zero length, or that hold null or non-finite components
+Labels are compared as text. Vectors that are null, empty, of zero length, or that hold null or non-finite components
 link with nothing, nor do those with a null label; vectors of different sizes are not
 compared. Null ids are after all others. Other columns are not carried.
 """
@@ -35,7 +34,9 @@ from tidelog.llm.components import components
 
 NEIGHBOURS, BEAM, BUILD_BEAM = 16, 48, 64
 SHARD_ROWS, AUDIT, RECALL = 20_000, 512, 0.99
-GRAPH = "label int, size int, shard int, nodes binary, weights binary, vectors binary, levels int, links binary"
+#: Nearest others that an audit looks for, and the share of them that a search must find.
+NEAREST, NEAREST_RECALL = 10, 0.9
+GRAPH = "label string, size int, shard int, nodes binary, weights binary, vectors binary, levels int, links binary"
 FOUND = "node bigint, n bigint, other bigint"
 
 
@@ -155,7 +156,7 @@ class Graph:
             ranked = np.where(open_[active], sims[active], -np.inf)
             few = min(width, beam)
             at = np.argpartition(-ranked, few - 1, axis=1)[:, :few] if few < beam else np.tile(np.arange(beam), (len(active), 1))
-            good = np.isfinite(np.take_along_axis(ranked, at, axis=1))
+            good = np.take_along_axis(open_[active], at, axis=1)
             rows, columns = np.repeat(active, few)[good.ravel()], at.ravel()[good.ravel()]
             open_[rows, columns] = False
             near = self.links[k][ids[rows, columns]]
@@ -189,6 +190,15 @@ class Graph:
         for target, source in ((ids, all_ids), (sims, all_sims), (open_, all_open)):
             target[rows] = np.take_along_axis(source, best, axis=1)
 
+    def beams(self, queries: np.ndarray, own: np.ndarray | None, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Down the levels, then the beams of the lowest: ids (-1: none) and similarities, best first."""
+        start = np.tile(self.entry, (len(queries), 1))
+        for k in range(len(self.links) - 1, 0, -1):
+            start = self.search(queries, start, k, 4)[0]
+        if own is not None:
+            start = np.concatenate((start, own[:, None]), axis=1)
+        return self.search(queries, start, 0, min(width, len(self.vectors)))
+
     def within(self, queries: np.ndarray, own: np.ndarray | None, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, vector) with similarity of at least ``least``, as far as beams reach.
 
@@ -201,13 +211,7 @@ class Graph:
             todo = np.arange(a, min(a + step, len(queries)))
             width = min(beam, len(self.vectors))
             while len(todo):
-                some = queries[todo]
-                start = np.tile(self.entry, (len(todo), 1))
-                for k in range(len(self.links) - 1, 0, -1):
-                    start = self.search(some, start, k, 4)[0]
-                if own is not None:
-                    start = np.concatenate((start, own[todo][:, None]), axis=1)
-                ids, sims = self.search(some, start, 0, width)
+                ids, sims = self.beams(queries[todo], None if own is None else own[todo], width)
                 near = (sims >= least) & (ids >= 0)
                 full = near.all(axis=1) & (width < len(self.vectors))
                 rows, columns = np.nonzero(near & ~full[:, None])
@@ -230,13 +234,15 @@ def audited(
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """Pairs within the threshold, and the beam at which the audit passed.
 
-    The audit's sample is random queries, as many as it takes until ``audit`` of them have a
-    link, or all. It passes when the search found at least ``recall`` of the links that brute
-    force finds for them. The pair of a vector with itself, where a search begins, is no link.
+    The audit is a fixed number of random queries, answered by brute force too, and looks at two
+    counts: of the links (the pair of a vector with itself is none) the search must find ``recall``,
+    and of the ``NEAREST`` nearest others ``NEAREST_RECALL``. The second has no rare case: it
+    judges the search where the sample holds few links or none. All other queries are answered
+    by the graph.
     """
     n = len(graph.vectors)
     order = np.random.default_rng(3).permutation(len(queries))
-    none = np.zeros(0, np.int64)
+    sample, rest = order[:audit], order[audit:]
 
     def links(pairs: np.ndarray) -> np.ndarray:
         return pairs if own is None else pairs[pairs % n != own[pairs // n]]
@@ -245,18 +251,16 @@ def audited(
         q, v = graph.within(queries[some], None if own is None else own[some], least, beam)
         return some[q] * n + v
 
-    parts, size, linked = [none], 0, 0
-    while size < len(order) and linked < audit:
-        some = order[size : size + 128]
-        parts.append(_all_within(graph, queries, some, least))
-        linked += len(np.unique(links(parts[-1]) // n))
-        size += len(some)
-    known, rest = np.concatenate(parts), order[size:]
-    true = links(known)
-    beam = BEAM
-    while np.isin(true, search(order[:size], beam)).sum() < recall * len(true):
+    known = np.concatenate([np.zeros(0, np.int64), *[_all_within(graph, queries, sample[k : k + 128], least) for k in range(0, len(sample), 128)]])
+    true, beam = links(known), BEAM
+    itself = None if own is None else own[sample]
+    bounds = _nearest_similarity(graph, queries[sample], itself)
+    while (
+        np.isin(true, search(sample, beam)).sum() < recall * len(true)
+        or _nearest_found(graph, queries[sample], itself, bounds, beam) < NEAREST_RECALL
+    ):
         beam *= 2
-        if beam * 2 * graph.most >= n:  # each vector of a beam has its neighbours looked at
+        if beam * 4 >= n:
             beam = n
             break
     # Of the sample all pairs are known, whatever the search found.
@@ -268,6 +272,39 @@ def audited(
     return pairs // n, pairs % n, beam
 
 
+def _nearest_similarity(graph: Graph, queries: np.ndarray, own: np.ndarray | None) -> np.ndarray:
+    """For each query, how near the least near of its ``NEAREST`` nearest others is."""
+    few = min(NEAREST, len(graph.vectors) - (own is not None))
+    out = []
+    for k in range(0, len(queries), 128):
+        sims = queries[k : k + 128] @ graph.vectors.T
+        if own is not None:
+            sims[np.arange(len(sims)), own[k : k + 128]] = -np.inf
+        out.append(np.partition(sims, -few, axis=1)[:, -few] if few > 0 else np.full(len(sims), np.inf))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def _nearest_found(graph: Graph, queries: np.ndarray, own: np.ndarray | None, bounds: np.ndarray, beam: int) -> float:
+    """The share of the nearest others that a search with this beam finds."""
+    few = min(NEAREST, len(graph.vectors) - (own is not None))
+    if few <= 0 or not len(queries):
+        return 1.0
+    found = 0
+    for k in range(0, len(queries), 64):
+        ids, sims = graph.beams(queries[k : k + 64], None if own is None else own[k : k + 64], beam)
+        good = (ids >= 0) & (sims >= bounds[k : k + 64, None] - 1e-6)
+        if own is not None:
+            good &= ids != own[k : k + 64, None]
+        found += int(np.minimum(good.sum(axis=1), few).sum())
+    return found / (few * len(queries))
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; divided by the largest component first, so that no square is lost or infinite."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that leave components as they are: each vertex with the least one it reaches."""
     nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -289,8 +326,7 @@ def _pack(table: pa.Table, seed: int) -> pa.Table:
     size = table["size"][0].as_py()
     order = np.argsort(table["node"].to_numpy(), kind="stable")
     vectors = np.stack(table["vector"].combine_chunks().flatten().to_numpy().reshape(-1, size)[order]).astype(np.float64)
-    unit = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
-    graph = Graph(unit).build(seed=seed)
+    graph = Graph(unit(vectors).astype(np.float32)).build(seed=seed)
     kept = [*graph.links, np.pad(graph.entry.astype(np.int32), (0, 1), constant_values=-1)[:1].reshape(1, 1)]
     return pa.table(
         {
@@ -309,7 +345,7 @@ def _pack(table: pa.Table, seed: int) -> pa.Table:
 def _unpack(nodes: bytes, vectors: bytes, levels: int, links: bytes) -> tuple[np.ndarray, np.ndarray, Graph]:
     ids = np.frombuffer(nodes, "<i8")
     exact = np.frombuffer(vectors, "<f8").reshape(len(ids), -1)
-    exact = exact / np.linalg.norm(exact, axis=1)[:, None]
+    exact = unit(exact)
     graph = Graph(exact.astype(np.float32))
     flat = np.frombuffer(links, "<i4")
     graph.entry = flat[-1:].astype(np.int64)
@@ -334,7 +370,7 @@ def near_duplicates(
     rows = staged(
         df.select(
             F.col(id_column).cast("bigint").alias("id"),
-            F.col(label).cast("int").alias("label"),
+            F.col(label).cast("string").alias("label"),
             F.col(vector).cast("array<double>").alias("vector"),
         )
         .withColumn("node", F.monotonically_increasing_id())
@@ -414,7 +450,7 @@ def _links(row: dict, least: float, recall: float) -> pa.RecordBatch:
     else:
         asking = np.frombuffer(row["of_nodes"], "<i8")
         others = np.frombuffer(row["of_vectors"], "<f8").reshape(len(asking), -1)
-        others = others / np.linalg.norm(others, axis=1)[:, None]
+        others = unit(others)
         other_weights = np.frombuffer(row["of_weights"], "<i8")
     own = np.arange(len(ids)) if itself else None
     q, v, _ = audited(graph, others.astype(np.float32), own, least - 1e-5, recall)
