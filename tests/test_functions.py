@@ -190,3 +190,11 @@ def test_broadcast_only_below_the_limit(spark):
     big = spark.range(10).withColumnRenamed("id", "k")
     hinted = lambda n: "ResolvedHint" in big.join(bounded(df, n, 100), big.k == df.id)._jdf.queryExecution().analyzed().toString()
     assert hinted(100) and not hinted(101)
+
+
+def test_last_of_many_equal_headers_wins(spark):
+    rows = [([("k%d" % (n * 7 % m), str(n).encode()) for n in range(size)],) for size, m in ((0, 1), (1, 1), (400, 3), (400, 400), (50, 49))]
+    rows += [([("a", None), ("b", b"x"), ("a", b"y"), ("b", None)],), (None,)]
+    df = spark.createDataFrame(rows, "h array<struct<key:string,value:binary>>")
+    got = [r.m for r in df.select(hdr.headers_to_map(F.col("h")).alias("m")).collect()]
+    assert got == [{k: v.decode() if v is not None else None for k, v in (h or [])} for h, in rows]

@@ -17,19 +17,20 @@ EMPTY = "cast(map() as map<string,string>)"
 TRACE_HEADER = "traceparent"
 
 
-def last_wins(entries: Column) -> Column:
-    """``array<struct<key,value>>`` as a map; of equal keys the last entry stays.
+def last_wins(keys: Column, values: Column) -> Column:
+    """Two arrays as a map; of equal keys the last value stays.
 
-    Without equal keys, the usual case, the entries are the map. With them, each key takes
-    the last of its entries, found from the end of the list.
+    Without equal keys, the usual case, the arrays are the map. With them the pairs are
+    sorted by key and place, and of each run of a key the last is taken.
     """
-    keys = entries["key"]
-    distinct = F.array_distinct(keys)
-    backward = F.reverse(keys)
+    placed = F.transform(F.arrays_zip(keys.alias("key"), values.alias("value")), lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"), e["value"].alias("value")))
+    # In an array of its own the sorted list is a variable, made once.
     last = F.transform(
-        distinct, lambda k: F.get(entries, F.size(keys) - F.array_position(backward, k).cast("int"))
-    )
-    return F.map_from_entries(F.when(F.size(distinct) == F.size(keys), entries).otherwise(last))
+        F.array(F.array_sort(placed)),
+        lambda s: F.filter(s, lambda e, i: (i == F.size(s) - 1) | (F.get(s, i + 1)["key"] != e["key"])),
+    )[0]
+    alone = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(alone, F.map_from_arrays(keys, values)).otherwise(F.map_from_arrays(last["key"], last["value"]))
 
 
 def merge_maps(*maps: Column) -> Column:
@@ -43,11 +44,7 @@ def merge_maps(*maps: Column) -> Column:
 
 def headers_to_map(headers: Column) -> Column:
     """Header list to map; of equal keys the last one wins."""
-    entries = F.transform(
-        headers,
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
-    )
-    return F.coalesce(last_wins(entries), F.expr(EMPTY))
+    return F.coalesce(last_wins(headers["key"], headers["value"].cast("array<string>")), F.expr(EMPTY))
 
 
 def map_to_headers(metadata: Column) -> Column:

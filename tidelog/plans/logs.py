@@ -218,7 +218,9 @@ def sink_compression(i: Inputs) -> DataFrame:
     rows = i.record_log.select("part", "roff", "rkey", "rvalue", "topic")
     rows.write.option("compression", codec).partitionBy("topic").parquet(path)
     back = i.spark.read.schema(rows.schema).parquet(path)
-    return back.groupBy(F.lit(codec).alias("codec"), "topic").agg(
+    # Spark names files by the codec that they were written with.
+    used = F.regexp_extract("_metadata.file_name", "[.]([a-z0-9_]+)[.]parquet$", 1)
+    return back.groupBy(used.alias("codec"), "topic").agg(
         num_records(), F.sum(F.length("rvalue")).alias("raw_bytes")
     )
 
@@ -529,7 +531,8 @@ def redelivery_dedup(i: Inputs) -> DataFrame:
     """Everything, then all that a restarted group gets again."""
     log = i.record_log.select("topic", "part", "roff", "rkey")
     committed = i.committed_offsets.where(F.col("grp") == "consumer2")
-    again = scan.from_commit(log, committed).select(*log.columns)
+    table = i.log_table
+    again = scan.from_commit(table.read_segments(i.spark), committed, manifest=table.manifest(i.spark)).select(*log.columns)
     once = delivery.redelivery_dedup(log.unionByName(again))
     return once.groupBy("topic", "part").agg(num_records(), F.max("roff").alias("last_off"))
 
