@@ -15,6 +15,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,8 +126,9 @@ def write_log(
     Ranking a partition in one window would put a hot partition into one task. So rows are
     range partitioned over (topic, part, order), which cuts a hot partition into many
     segments; a row's offset is its position in the segment plus the sizes of the segments
-    before it. The segmented rows are written before they are counted: both steps must see
-    the same cuts, also when an executor is lost in between.
+    before it. The segmented rows are kept on the executors' disks to be counted and then
+    written, once. Both steps see the same cuts: they belong to the plan that is kept, and
+    what is lost with an executor is made again from it, in the same order.
 
     ``segments`` is how many cuts to make; by default the session's shuffle partitions,
     merged where they are small.
@@ -134,22 +136,15 @@ def write_log(
     spark = records.sparkSession
     where = ["topic", "part"]
     compression = _PARQUET_NAMES.get(codec, codec)
-    staged_at, segments_at = f"{path}/staged", f"{path}/segments"
+    segments_at = f"{path}/segments"
     cuts = [segments] if segments else []
-    (
+    staged = (
         records.repartitionByRange(*cuts, *where, *order_by)
         .sortWithinPartitions(*where, *order_by)
         .withColumn("_seg", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
-        .write.option("compression", compression)
-        .parquet(staged_at)
+        .persist(StorageLevel.DISK_ONLY)
     )
-    staged = spark.read.schema(
-        T.StructType(
-            records.schema.fields
-            + [T.StructField("_seg", T.IntegerType()), T.StructField("_row", T.LongType())]
-        )
-    ).parquet(staged_at)
 
     earlier = (
         Window.partitionBy(*where)
@@ -186,6 +181,7 @@ def write_log(
         .partitionBy(*where, "segment")
         .parquet(f"{path}/log")
     )
+    staged.unpersist()
     _time_in_order(spark, f"{path}/log")
     fields = {f.name: f for f in logged.drop("segment").schema.fields}
     stored = [f for name, f in fields.items() if name not in where] + [fields[c] for c in where]
