@@ -167,6 +167,9 @@ def test_live_dedup_across_batches_and_a_crash(spark, monkeypatch):
     def dying(self, batch, batch_id, mode="overwrite"):
         calls.append(batch_id)
         if batch_id == 2 and calls.count(2) == 1:
+            # half written: some of the ranges, and nothing that says it is whole
+            half = f"{self.path}/batch_id={batch_id}"
+            batch.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
             raise RuntimeError("lost power")
         real(self, batch, batch_id, mode)
         if batch_id == 3 and calls.count(3) == 1:

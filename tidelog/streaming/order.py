@@ -100,7 +100,7 @@ def deduplicate(
         spark = batch.sparkSession
         if ledger.last(spark) >= batch_id:
             return
-        handled = ledger.read(spark, RANGES)
+        handled = ledger.read(spark, RANGES, upto=batch_id - 1)
         target = f"{folder}/results/batch_id={batch_id}"
         unseen(batch, handled, handled.count()).write.mode("overwrite").parquet(target)
         written = spark.read.schema(batch.schema).parquet(target)

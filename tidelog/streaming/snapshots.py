@@ -76,9 +76,12 @@ class Updates:
         fs, whole = _file_system(spark, f"{self.path}-folded/current/{batch_id}")
         fs.create(whole, True).close()
 
-    def read(self, spark: SparkSession, schema: T.StructType | str) -> DataFrame:
-        """One row for each key, as of the last batch. ``schema`` is that of a batch."""
-        rows = self._rows(spark, schema, self.folded(spark), None)
+    def read(self, spark: SparkSession, schema: T.StructType | str, upto: int | None = None) -> DataFrame:
+        """One row for each key, as of the last batch. ``schema`` is that of a batch.
+
+        ``upto`` leaves out later batches that are not folded yet, as one that is half written.
+        """
+        rows = self._rows(spark, schema, self.folded(spark), upto)
         return self.fold(rows).select(*[c for c in rows.columns if c != "batch_id"])
 
     def remove_folded(self, spark: SparkSession, keep: int = 2) -> None:
