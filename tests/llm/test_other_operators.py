@@ -207,6 +207,44 @@ def test_classifier_on_held_out_labels(spark):
     assert len(none) == len(rows) and quality.classify(df.where("false"), known).count() == 0
 
 
+def test_own_evidence_is_left_out_of_the_rates_of_sites(spark):
+    r = random.Random(9)
+    rows = []
+    for k in range(300):
+        text = " ".join(f"word{r.randrange(200)}" for _ in range(r.randint(20, 80)))
+        rows.append((k, text.upper().replace(" ", "!! ") if k % 4 == 0 else text, f"host{k % 7}", "p" if k % 3 else None))
+    rows += [(300 + k, text, f"single{k}", None) for k, (_, text, _, _) in enumerate(rows[:40])]
+    rows += rows[:5] + [(None, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 != 0), 0) for k in range(300)], "doc_id long, quality int, toxic int")
+    out = quality.classify(df, labels).collect()
+    assert sorted(((x.doc_id, x.text, x.source, x.lang) for x in out), key=repr) == sorted(rows, key=repr)
+
+    own = {id(x): 1 - (1 - x.p_low) * (1 - x.p_toxic) for x in out}
+    known = spark.createDataFrame([(x.source, x.lang, own[id(x)]) for x in out], "source string, lang string, known double")
+    # the half of the labelled rows that weights, and so the global rate, are fitted on
+    second = [x.doc_id for x in df.where(F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(2)) == 1).collect() if x.doc_id in range(300)]
+    rate = (sum(k % 4 == 0 for k in second) + 0.5) / (len(second) + 1)
+    _, k_host, k_path = quality.site_counts(known, "source", "lang", "known", rate)
+    for x in out:
+        host = [own[id(y)] for y in out if y.source == x.source and y is not x]
+        both = [own[id(y)] for y in out if (y.source, y.lang) == (x.source, x.lang) and y is not x]
+        p_host = (sum(host) + k_host * rate) / (len(host) + k_host)
+        assert abs(x.p_site - (sum(both) + k_path * p_host) / (len(both) + k_path)) < 1e-6
+        if str(x.source).startswith("single"):
+            assert abs(x.p_site - rate) < 1e-6  # nothing but the prior
+
+
+def test_classifier_with_clashing_names(spark):
+    rows = [(k, f"some plain words number {k}", "h", "p", k, "a", "b", "c", 0.5) for k in range(30)]
+    names = ["doc_id", "body", "text", "path", "host", "_site_host", "known", "a.b`c", "P_Low"]
+    df = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    out = quality.classify(df, labels, text="body", host="text", path="host")
+    assert out.columns == [*names[:-1], *quality.OUTPUT]
+    assert sorted(tuple(x)[:8] for x in out.collect()) == [x[:8] for x in rows]
+
+
 def test_sparse_sites_are_drawn_to_the_prior(spark):
     rows = [("big", "a", 0.9)] * 400 + [("big", "b", 0.9)] * 2 + [("tiny", "a", 0.9)] + [(f"h{k}", "a", 0.1) for k in range(300)] * 20
     df = spark.createDataFrame(rows, "source string, lang string, known double")

@@ -7,12 +7,13 @@ class hold much more often than others. Words are picked on one half of the labe
 weights fitted on the other.
 
 *Sites.* Hosts and their paths get rates of rejection from all documents, by grouped sums of
-their evidence (labels, where there are any). The rate of a host is drawn to the global one,
+their evidence. The rate of a host is drawn to the global one,
 the rate of a path to its host's, with strengths that follow from how much the rates vary
 beyond chance (empirical Bayes), so a site of few documents says little.
 
 *Together.* A document's odds of rejection are its own times the odds of its path over the
-global odds; it is rejected when the probability reaches ``reject``.
+global odds; it is rejected when the probability reaches ``reject``. Its own evidence is
+left out of the rates of its path and host, so that nothing counts twice.
 
 The sample of labelled documents is bounded by ``sample`` (those with the smallest hashes of
 their ids); scoring and sites cover all rows. Without labels of both kinds a head gives
@@ -20,7 +21,8 @@ every document the rate of the class in the sample.
 
 * Null and empty texts have no words: their style measures are zeros.
 * Null hosts and null paths are sites of their own. Null ids are scored, and have no label.
-* Rows that repeat count each. Columns named as in ``OUTPUT`` are replaced, others stay.
+* Rows that repeat count each, and each leaves out itself only. Columns named as in ``OUTPUT``
+  are replaced, others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -287,22 +289,37 @@ def _strength(groups: DataFrame, n: str, total: str, prior: Column) -> float:
     return 1e6 if extra <= 0 else min(max(within / extra, 1.0), 1e6)
 
 
-def site_rates(scored: DataFrame, host: str, path: str, known: str, rate: float) -> DataFrame:
-    """``host, path, p_site``: the shrunk rate of rejection of each path."""
-    site = scored.select(F.col(host).alias("host"), F.col(path).alias("path"), F.col(known).alias("known"))
+def site_counts(known: DataFrame, host: str, path: str, evidence: str, rate: float) -> tuple[DataFrame, float, float]:
+    """What the rates of sites follow from: ``host, path, n, total, host_n, host_total``, and how many
+    documents the prior of a host and that of a path are worth."""
+    site = known.select(F.col(host).alias("host"), F.col(path).alias("path"), F.col(evidence).alias("known"))
     paths = staged(
         site.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("known").alias("total")), "paths"
     )
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("total").alias("host_total"))
+    hosts = paths.groupBy(F.col("host").alias("h")).agg(F.sum("n").alias("host_n"), F.sum("total").alias("host_total"))
     k_host = _strength(hosts, "host_n", "host_total", F.lit(rate))
-    shrunk = hosts.select(
-        F.col("host").alias("h"), ((F.col("host_total") + k_host * rate) / (F.col("host_n") + k_host)).alias("p_host")
-    )
-    joined = paths.join(shrunk, F.col("host").eqNullSafe(F.col("h")))
-    k_path = _strength(joined, "n", "total", F.col("p_host"))
-    return joined.select(
-        "host", "path", ((F.col("total") + k_path * F.col("p_host")) / (F.col("n") + k_path)).alias("p_site")
-    )
+    joined = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
+    k_path = _strength(joined, "n", "total", _shrunk("host_total", "host_n", k_host, F.lit(rate)))
+    return joined, k_host, k_path
+
+
+def _shrunk(total: str, n: str, strength: float, prior: Column, own: Column | None = None) -> Column:
+    """A site's rate drawn to its prior; without the evidence of one of its documents, if given."""
+    rest, others = (F.col(total), F.col(n)) if own is None else (F.greatest(F.col(total) - own, F.lit(0.0)), F.col(n) - 1)
+    return (rest + strength * prior) / (others + strength)
+
+
+def site_rates(known: DataFrame, host: str, path: str, evidence: str, rate: float) -> DataFrame:
+    """``host, path, p_site``: the shrunk rate of rejection of each path."""
+    sites, k_host, k_path = site_counts(known, host, path, evidence, rate)
+    p_host = _shrunk("host_total", "host_n", k_host, F.lit(rate))
+    return sites.select("host", "path", _shrunk("total", "n", k_path, p_host).alias("p_site"))
+
+
+def _logit(p: Column, least: float) -> Column:
+    """Log odds of a probability, kept away from 0 and 1."""
+    kept = F.greatest(F.least(p, F.lit(1 - least)), F.lit(least))
+    return F.log(kept / (1 - kept))
 
 
 def classify(
@@ -318,9 +335,9 @@ def classify(
     """All rows of ``df`` with ``OUTPUT``.
 
     ``labels`` has the id, ``quality`` (1 good, 0 low) and ``toxic`` (1 toxic); rows with a
-    null are passed over. Several labels of an id count as the worst.
+    null are passed over. Several labels of an id count as the worst. ``p_site`` is the rate
+    of a document's path among its *other* documents.
     """
-    own = [c for c in df.columns if c not in OUTPUT]
     given = (
         labels.where(F.col(id_column).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col(id_column).cast("bigint").alias("label_id"))
@@ -334,27 +351,22 @@ def classify(
         "training",
     )
     model = fit(training)
-    # The rates need evidence only; texts are read for it once and again for the result.
-    light = evidence(
-        df.select(
-            F.col(id_column).cast("bigint").alias("label_id"), F.col(host).alias("host"), F.col(path).alias("path"), F.col(text).alias("text")
-        ),
-        model,
-    ).drop("text")
-    rate = F.lit(1.0) - (1 - F.col("p_low")) * (1 - F.col("p_toxic"))
-    known = light.join(given, "label_id", "left").withColumn(
-        "known", F.coalesce(F.greatest("low", "toxic").cast("double"), rate)
-    )
-    sites = staged(site_rates(known, "host", "path", "known", model.rate), "sites")
-    logit = lambda p: F.log(p / (1 - p))
-    bounded_rate = F.greatest(F.least(rate, F.lit(1 - 1e-9)), F.lit(1e-9))
-    shift = logit(F.greatest(F.least("p_site", F.lit(1 - 1e-6)), F.lit(1e-6))) - float(np.log(model.rate / (1 - model.rate)))
-    final = 1 / (1 + F.exp(-(logit(bounded_rate) + shift)))
-    renamed = sites.select(F.col("host").alias("_site_host"), F.col("path").alias("_site_path"), "p_site")
-    scored = evidence(df.select(*own), model, text)
-    joined = scored.join(
-        renamed, F.col(host).eqNullSafe(F.col("_site_host")) & F.col(path).eqNullSafe(F.col("_site_path"))
-    )
-    return joined.select(
-        *own, "p_low", "p_toxic", "p_site", final.alias("p_reject"), (final >= reject).alias("rejected")
+    # Texts are read once: the rows go to the shared folder with their evidence, under names by
+    # position, which clash with none of those added.
+    own = [c for c in df.columns if c.lower() not in OUTPUT]
+    columns = [F.col("`" + c.replace("`", "``") + "`").alias(f"c{k}") for k, c in enumerate(own)]
+    sites_of = [F.col(host).alias("host"), F.col(path).alias("path")]
+    read = df.select(*columns, *sites_of, *([] if text in own else [F.col(text).alias("text")]))
+    scored = staged(evidence(read, model, f"c{own.index(text)}" if text in own else "text"), "scored")
+    known = scored.withColumn("known", 1 - (1 - F.col("p_low")) * (1 - F.col("p_toxic")))
+    sites, k_host, k_path = site_counts(known, "host", "path", "known", model.rate)
+    sites = staged(sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "n", "total", "host_n", "host_total"), "sites")
+    p_host = _shrunk("host_total", "host_n", k_host, F.lit(model.rate), F.col("known"))
+    shift = _logit(F.col("p_site"), 1e-6) - float(np.log(model.rate / (1 - model.rate)))
+    return (
+        known.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
+        .withColumn("p_site", _shrunk("total", "n", k_path, p_host, F.col("known")))
+        .withColumn("p_reject", 1 / (1 + F.exp(-(_logit(F.col("known"), 1e-9) + shift))))
+        .withColumn("rejected", F.col("p_reject") >= reject)
+        .select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(own)], *OUTPUT)
     )
