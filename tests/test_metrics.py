@@ -142,6 +142,37 @@ def test_broker_counters(spark, rows):
     assert rows(metrics.broker_disconnects(e)) == [(1,)]
 
 
+def test_broker_points(spark, rows):
+    got = {(p.metric, tuple(sorted(p.attrs.items()))): (p.unit, p.value) for p in metrics.broker_points(broker_events(spark)).collect()}
+    kafka = ("messaging.system", "kafka")
+    assert got == {
+        (metrics.CONNECTS, (kafka, ("outcome", "success"))): ("1", 2),
+        (metrics.CONNECTS, (("error_reason", "timeout"), kafka, ("outcome", "failure"))): ("1", 1),
+        (metrics.CONNECT_ERRORS, (("error_reason", "timeout"), kafka)): ("1", 1),
+        (metrics.DISCONNECTS, (kafka,)): ("1", 2),
+        (metrics.WRITE_ERRORS, (kafka, ("operation", "Produce"))): ("1", 1),
+        (metrics.WRITE_BYTES, (kafka, ("operation", "Produce"))): ("By", 12),
+        (metrics.WRITE_BYTES, (kafka, ("operation", "Fetch"))): ("By", 0),
+        (metrics.READ_BYTES, (kafka,)): ("By", 9),
+    }
+    named = metrics.dimension_totals(metrics.broker_points(broker_events(spark), "ns"))
+    assert (metrics.DISCONNECTS, "1", "namespace", "ns", 2) in rows(named)
+    assert metrics.metric_total(metrics.broker_points(broker_events(spark)), metrics.CONNECTS).first().total == 3
+    assert metrics.broker_points(broker_events(spark).where("false")).count() == 0
+
+
+def broker_events(spark):
+    return spark.createDataFrame(
+        [
+            ("connect", None, None, None), ("connect", None, None, None), ("connect", None, None, "deadline_exceeded"),
+            ("disconnect", None, None, None), ("disconnect", "Fetch", 4, "boom"), ("throttle", None, None, None),
+            ("write", "Produce", 5, None), ("write", "Produce", 7, None), ("write", "Produce", 100, "boom"),
+            ("write", "Fetch", None, None), ("read", "Fetch", 9, None), ("read", "Produce", None, None),
+        ],
+        "kind string, operation string, nbytes bigint, err string",
+    )
+
+
 def test_latency_histograms(spark, rows):
     e = events(spark)
     written = {r.outcome: r for r in metrics.write_latency_histogram(e).collect()}

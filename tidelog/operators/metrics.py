@@ -37,6 +37,10 @@ FETCH_COUNTERS = {
     "messaging.kafka.fetch_bytes.count": ("uncompressed_bytes", "By"),
     "messaging.kafka.fetch_records.count": ("num_records", "1"),
 }
+CONNECTS, CONNECT_ERRORS = "messaging.kafka.connects.count", "messaging.kafka.connect_errors.count"
+DISCONNECTS = "messaging.kafka.disconnects.count"
+WRITE_ERRORS, WRITE_BYTES = "messaging.kafka.write_errors.count", "messaging.kafka.write_bytes"
+READ_ERRORS, READ_BYTES = "messaging.kafka.read_errors.count", "messaging.kafka.read_bytes"
 DELAY = "consumer.messages.delay"
 WRITE_LATENCY = "messaging.kafka.write.latency"
 READ_LATENCY = "messaging.kafka.read.latency"
@@ -346,6 +350,45 @@ def broker_disconnects(events: DataFrame) -> DataFrame:
     return events.where(F.col("kind") == "disconnect").agg(F.count(F.lit(1)).alias("value"))
 
 
+def broker_points(events: DataFrame, namespace: str = "") -> DataFrame:
+    """All counters of broker events as points, from one aggregation of the events.
+
+    Only what an event's counters are told apart by is grouped on: the operation of a write, the
+    reason of a failed connection. The few sums are then turned into one or two points each.
+    """
+    kind, failed = F.col("kind"), F.col("failed")
+    sums = (
+        events.where(kind.isin("connect", "disconnect", "read", "write"))
+        .groupBy(
+            "kind",
+            ((kind != "disconnect") & F.col("err").isNotNull()).alias("failed"),
+            F.when(kind == "write", F.col("operation")).alias("operation"),
+            F.when((kind == "connect") & F.col("err").isNotNull(), connect_error_reason(F.col("err"))).alias("error_reason"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("nbytes"), F.lit(0)).alias("bytes"))
+    )
+
+    def point(applies: Column, metric: str, unit: str, value: str, ending: Column | None = None) -> Column:
+        ending = F.lit(None).cast("string") if ending is None else ending
+        fields = {"metric": F.lit(metric), "unit": F.lit(unit), "outcome": ending, "value": F.col(value)}
+        return F.when(applies, F.struct(*[c.alias(name) for name, c in fields.items()]))
+
+    ending = F.when(failed, "failure").otherwise("success")
+    points = [
+        point(kind == "connect", CONNECTS, "1", "n", ending),
+        point((kind == "connect") & failed, CONNECT_ERRORS, "1", "n"),
+        point(kind == "disconnect", DISCONNECTS, "1", "n"),
+        point((kind == "write") & failed, WRITE_ERRORS, "1", "n"),
+        point((kind == "write") & ~failed, WRITE_BYTES, "By", "bytes"),
+        point((kind == "read") & failed, READ_ERRORS, "1", "n"),
+        point((kind == "read") & ~failed, READ_BYTES, "By", "bytes"),
+    ]
+    flat = sums.select("operation", "error_reason", F.inline(F.array_compact(F.array(*points)))).withColumns(
+        {"system": F.lit("kafka"), **({"namespace": F.lit(namespace)} if namespace else {})}
+    )
+    return to_points(flat)
+
+
 def fetch_errors(fetched: DataFrame, namespace: str = "") -> DataFrame:
     """Fetch results that carry an error, counted per bare topic and partition."""
     return (

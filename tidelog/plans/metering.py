@@ -427,6 +427,55 @@ def broker_connect_errors(i: Inputs) -> DataFrame:
     return metrics.broker_connect_errors(i.broker_event_log)
 
 
+def _broker_points_sql() -> str:
+    def counter(name: str, unit: str, value: str, where: str, operation="", reason="", outcome="") -> str:
+        labels = [operation or "''", reason or "''", outcome or "''"]
+        return f"""select '{name}' as metric, '{unit}' as unit, {labels[0]} as operation, {labels[1]} as error_reason,
+                   {labels[2]} as outcome, cast({value} as bigint) as value
+            from broker_event_log where {where} group by 1, 2, 3, 4, 5"""
+
+    reason = f"case when err is null then '' else {CONNECT_REASON} end"
+    ending = "case when err is null then 'success' else 'failure' end"
+    sent, failed = "coalesce(sum(nbytes), 0)", "err is not null"
+    return " union all ".join(
+        [
+            counter(metrics.CONNECTS, "1", "count(*)", "kind = 'connect'", reason=reason, outcome=ending),
+            counter(metrics.CONNECT_ERRORS, "1", "count(*)", f"kind = 'connect' and {failed}", reason=reason),
+            counter(metrics.DISCONNECTS, "1", "count(*)", "kind = 'disconnect'"),
+            counter(metrics.WRITE_ERRORS, "1", "count(*)", f"kind = 'write' and {failed}", operation="operation"),
+            counter(metrics.WRITE_BYTES, "By", sent, "kind = 'write' and err is null", operation="operation"),
+            counter(metrics.READ_ERRORS, "1", "count(*)", f"kind = 'read' and {failed}"),
+            counter(metrics.READ_BYTES, "By", sent, "kind = 'read' and err is null"),
+        ]
+    )
+
+
+@query(
+    "broker_points",
+    f"select *, 'kafka' as system, '{NAMESPACE}' as namespace from ({_broker_points_sql()}) p",
+)
+def broker_points(i: Inputs) -> DataFrame:
+    attrs = {"messaging.system": "system", **{c: c for c in ("operation", "error_reason", "outcome", "namespace")}}
+    points = metrics.broker_points(i.broker_event_log, NAMESPACE)
+    labels = [F.coalesce(F.col("attrs")[key], F.lit("")).alias(name) for key, name in attrs.items()]
+    return points.select("metric", "unit", *labels, "value")
+
+
+@query(
+    "broker_dimension_totals",
+    f"""select metric, unit, dim, dim_value, cast(sum(value) as bigint) as total from (
+            with p as ({_broker_points_sql()})
+            select metric, unit, 'messaging.system' as dim, 'kafka' as dim_value, value from p
+            union all select metric, unit, 'namespace', '{NAMESPACE}', value from p
+            union all select metric, unit, 'operation', operation, value from p where operation <> ''
+            union all select metric, unit, 'error_reason', error_reason, value from p where error_reason <> ''
+            union all select metric, unit, 'outcome', outcome, value from p where outcome <> '') t
+        group by metric, unit, dim, dim_value""",
+)
+def broker_dimension_totals(i: Inputs) -> DataFrame:
+    return metrics.dimension_totals(metrics.broker_points(i.broker_event_log, NAMESPACE))
+
+
 @query(
     "broker_disconnects",
     "select count(*) as value from broker_event_log where kind = 'disconnect'",

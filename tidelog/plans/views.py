@@ -11,7 +11,7 @@ from tidelog.functions.naming import strip_namespace
 from tidelog.sources.envelope import to_envelope
 from tidelog.sources.log_table import LogTable, read_ends, write_ends, write_log
 from tidelog.sources.scan import with_polls
-from tidelog.sources.shared import new_folder
+from tidelog.sources.shared import new_folder, version_of
 
 NAMESPACE = "name_space"
 PARTS = 4
@@ -19,7 +19,7 @@ MAX_POLL = 50
 FAILS_BELOW = 10
 GROUPS = {"consumer1": 1, "consumer2": 2, "consumer3": 3, "consumer4": 4}
 
-# What a session has stored or looked up, by application, folder and kind.
+# What a session has stored or looked up, by application, folder and kind: the table's version then, and what was built.
 _stored: dict = {}
 
 
@@ -39,7 +39,7 @@ def micros(spark: SparkSession, ts: str) -> Column:
 class Inputs:
     """The views of one data folder.
 
-    Offsets are assigned once per session and folder: the log is written to the shared
+    Offsets are assigned once per session, folder and version of the table: the log is written to the shared
     folder as a table, as a broker would keep it, and queries that need offsets read that
     table. Those that need only where partitions end read a table of counts, and those that
     need neither read the routed events.
@@ -48,18 +48,25 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._versions: dict[str, tuple] = {}  # of the tables, when this query first looked at them
 
     def table(self, name: str) -> DataFrame:
-        """A given table; its schema is looked up once per session."""
-        path = f"{self.sf_dir}/{name}.parquet"
-        schema = self._once(f"{name} schema", lambda: self.spark.read.parquet(path).schema)
+        """A given table; its schema is looked up once per session and version of the table."""
+        path = self._path(name)
+        schema = self._once(f"{name} schema", name, lambda: self.spark.read.parquet(path).schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def _once(self, kind: str, build):
+    def _path(self, name: str) -> str:
+        return f"{self.sf_dir}/{name}.parquet"
+
+    def _once(self, kind: str, table: str, build):
+        """What ``build`` gives for a table, until the table changes."""
+        if table not in self._versions:
+            self._versions[table] = version_of(self.spark, self._path(table))
         key = (self.spark.sparkContext.applicationId, self.sf_dir, kind)
-        if key not in _stored:
-            _stored[key] = build()
-        return _stored[key]
+        if key not in _stored or _stored[key][0] != self._versions[table]:
+            _stored[key] = self._versions[table], build()
+        return _stored[key][1]
 
     @property
     def event_records(self) -> DataFrame:
@@ -84,7 +91,7 @@ class Inputs:
         def build() -> LogTable:
             return write_log(self.routed, new_folder(self.spark, "events"), ["ts_us", "event_id"])
 
-        return self._once("events", build)
+        return self._once("events", "events", build)
 
     @cached_property
     def line_table(self) -> LogTable:
@@ -107,7 +114,7 @@ class Inputs:
                 ["ts_us", *order[1:]],
             )
 
-        return self._once("lines", build)
+        return self._once("lines", "lineitem", build)
 
     @cached_property
     def record_log(self) -> DataFrame:
@@ -193,14 +200,14 @@ class Inputs:
 
     @cached_property
     def ends(self) -> DataFrame:
-        """``topic, part, end_off``, counted once per session."""
+        """``topic, part, end_off``, counted once per session and version of the table."""
 
         def build() -> str:
             path = new_folder(self.spark, "ends")
             write_ends(self.routed, path)
             return path
 
-        return read_ends(self.spark, self._once("ends", build))
+        return read_ends(self.spark, self._once("ends", "events", build))
 
     @property
     def partition_offsets(self) -> DataFrame:

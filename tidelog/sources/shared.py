@@ -24,6 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def version_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """What changes when a table is written anew or rows are added to it: time, files and bytes of its path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(place)
+    return fs.getFileStatus(place).getModificationTime(), size.getFileCount(), size.getLength()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{shared_folder(spark)}/tidelog-{label}-{uuid.uuid4().hex}"
