@@ -180,3 +180,17 @@ def test_the_codec_is_in_the_files(spark, codec):
     files = glob.glob(f"{table.path}/log/**/*.parquet", recursive=True)
     found = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
     assert found == {{"none": "UNCOMPRESSED", "lz4": "LZ4"}.get(codec, codec.upper())}
+
+
+def test_a_small_log_is_not_cut_into_as_many_files_as_shuffle_partitions(spark):
+    df = spark.range(5000).select(F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("part"), "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    try:
+        table = write_log(df, new_folder(spark, "small"), ["id"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = table.manifest(spark).collect()
+    assert len(found) <= 4
+    assert sorted((r.part, r.roff) for r in table.read(spark).collect()) == [(p, n) for p in (0, 1) for n in range(2500)]
+    assert table.read(spark).where("roff <> id div 2").count() == 0

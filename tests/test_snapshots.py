@@ -183,3 +183,22 @@ def test_live_dedup_across_batches_and_a_crash(spark, monkeypatch):
     got = sorted((x.part, x.roff) for x in order.deduplicated(spark, folder, stream.schema).collect())
     assert got == [*[(0, k) for k in range(7)], (1, 0)]
     assert sorted((x.part, x.first, x.next) for x in delivery.intervals(spark, folder).collect()) == [(0, 0, 7), (1, 0, 1)]
+
+
+def test_few_state_stores_for_few_keys(spark):
+    """A batch commits every store; restarts keep their number."""
+    import os
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        stream, folder = log_files(spark, [[(0, 0), (0, 1), (0, 2)], [(0, 3), (0, 4)], [(0, 5)]]), new_folder(spark, "few")
+        values = stream.withColumn("value_us", F.col("roff") * 1_000_000)
+        stateful.histogram_running(values, ["topic", "part"], "value_us", folder, "few", drain=True).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = [n for n in os.listdir(f"{folder}/checkpoint/state/0") if n.isdigit()]
+    assert len(stores) == stateful.FEW_STORES
+    found = stateful.running_histograms(spark, folder, "topic string, part int", ["topic", "part"]).collect()
+    assert [(r.num, r.min_us, r.max_us) for r in found] == [(6, 0, 5_000_000)]

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -111,6 +112,26 @@ def write_ends(records: DataFrame, path: str) -> DataFrame:
     return read_ends(records.sparkSession, path)
 
 
+_MERGE_KEPT = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
+@contextmanager
+def _merging_what_is_kept(spark: SparkSession):
+    """Plans kept inside have small shuffle partitions merged, as those of any other query.
+
+    Spark may leave a kept plan all its shuffle partitions, and then the smallest log is cut into so many files.
+    """
+    before = spark.conf.get(_MERGE_KEPT, None)
+    spark.conf.set(_MERGE_KEPT, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_MERGE_KEPT)
+        else:
+            spark.conf.set(_MERGE_KEPT, before)
+
+
 def write_log(
     records: DataFrame,
     path: str,
@@ -143,8 +164,9 @@ def write_log(
         .sortWithinPartitions(*where, *order_by)
         .withColumn("_seg", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
-        .persist(StorageLevel.DISK_ONLY)
     )
+    with _merging_what_is_kept(spark):
+        staged.persist(StorageLevel.DISK_ONLY)
 
     earlier = (
         Window.partitionBy(*where)
