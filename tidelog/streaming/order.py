@@ -21,7 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidelog.functions.joins import bounded
 from tidelog.streaming.delivery import PARTITION, RANGES, _ranges, _start, ledger_updates
 from tidelog.streaming.snapshots import FOLD_EVERY
-from tidelog.streaming.stateful import rocksdb_state
+from tidelog.streaming.stateful import FEW_STORES, rocksdb_state
 
 CHECKED = "topic string, part int, first bigint, next bigint, num_records bigint, repeated bigint"
 
@@ -49,11 +49,14 @@ def _go_on(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
     )
 
 
-def check_order(stream: DataFrame, folder: str, name: str, drain: bool = False) -> StreamingQuery:
+def check_order(
+    stream: DataFrame, folder: str, name: str, drain: bool = False, stores: int = FEW_STORES
+) -> StreamingQuery:
     """End with an error when a partition does not go on where it stood; count what comes again.
 
     Only offsets go through Python, those of a partition in a batch at once; the trigger's
-    limit bounds them. Partitions begin at offset 0.
+    limit bounds them. Partitions begin at offset 0. ``stores`` is how many state stores, and so
+    tasks of a batch, share the partitions.
     """
     checked = (
         stream.select(*PARTITION, "roff")
@@ -66,7 +69,7 @@ def check_order(stream: DataFrame, folder: str, name: str, drain: bool = False)
         .queryName(name)
         .option("checkpointLocation", f"{folder}/checkpoint")
     )
-    with rocksdb_state(stream.sparkSession):
+    with rocksdb_state(stream.sparkSession, stores):
         return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
