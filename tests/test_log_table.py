@@ -194,3 +194,24 @@ def test_a_small_log_is_not_cut_into_as_many_files_as_shuffle_partitions(spark):
     assert len(found) <= 4
     assert sorted((r.part, r.roff) for r in table.read(spark).collect()) == [(p, n) for p in (0, 1) for n in range(2500)]
     assert table.read(spark).where("roff <> id div 2").count() == 0
+
+
+@pytest.mark.parametrize("limit, sorts", [(200_000, 1), (0, 2)])
+def test_kept_rows_are_sorted_again_only_if_a_shuffle_comes_between(spark, monkeypatch, limit, sorts):
+    import glob
+
+    import pyarrow.parquet as pq
+    from tidelog.functions import joins
+    from tidelog.sources import log_table
+
+    df = spark.range(4000).select(F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("part"), F.hash("id").alias("n"), "id")
+    real, calls = type(df).sortWithinPartitions, []
+    monkeypatch.setattr(type(df), "sortWithinPartitions", lambda self, *by: calls.append(by) or real(self, *by))
+    monkeypatch.setattr(log_table, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(log_table, "bounded", lambda frame, known: joins.bounded(frame, known, limit))
+    table = write_log(df.repartition(5), new_folder(spark, "sorted"), ["n", "id"], segments=6)
+    assert len(calls) == sorts
+    for name in glob.glob(f"{table.path}/log/**/*.parquet", recursive=True):
+        offsets = pq.ParquetFile(name).read(["roff"]).column("roff").to_pylist()
+        assert offsets == list(range(offsets[0], offsets[0] + len(offsets)))
+    assert table.read(spark).select("part", "roff").distinct().count() == 4000

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions.joins import bounded
+from tidelog.functions.joins import BROADCAST_ROWS, bounded
 from tidelog.functions.labels import CODECS
 from tidelog.sources.file_batches import files_of_batch
 
@@ -161,8 +161,8 @@ def write_log(
     cuts = [segments] if segments else []
     staged = (
         records.repartitionByRange(*cuts, *where, *order_by)
-        .sortWithinPartitions(*where, *order_by)
         .withColumn("_seg", F.spark_partition_id())
+        .sortWithinPartitions(*where, "_seg", *order_by)
         .withColumn("_row", F.monotonically_increasing_id())
     )
     with _merging_what_is_kept(spark):
@@ -196,13 +196,11 @@ def write_log(
         .withColumnRenamed("_seg", "segment")
         .drop("_row", "_shift")
     )
-    # Tasks may read several segments; a directory each keeps their offsets in files apart.
-    (
-        logged.sortWithinPartitions(*where, "segment", "roff")
-        .write.option("compression", compression)
-        .partitionBy(*where, "segment")
-        .parquet(f"{path}/log")
-    )
+    # Tasks may read several segments; a directory each keeps their offsets in files apart. The kept rows are
+    # sorted by (topic, part, segment, offset) and a broadcast leaves them so; sorted again, they would only spill.
+    if sizes[1] > BROADCAST_ROWS:
+        logged = logged.sortWithinPartitions(*where, "segment", "roff")
+    logged.write.option("compression", compression).partitionBy(*where, "segment").parquet(f"{path}/log")
     staged.unpersist()
     _time_in_order(spark, f"{path}/log")
     fields = {f.name: f for f in logged.drop("segment").schema.fields}
