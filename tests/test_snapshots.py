@@ -202,3 +202,16 @@ def test_few_state_stores_for_few_keys(spark):
     assert len(stores) == stateful.FEW_STORES
     found = stateful.running_histograms(spark, folder, "topic string, part int", ["topic", "part"]).collect()
     assert [(r.num, r.min_us, r.max_us) for r in found] == [(6, 0, 5_000_000)]
+
+
+def test_few_state_stores_for_few_partitions(spark):
+    import os
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        folder = new_folder(spark, "few_order")
+        order.check_order(log_files(spark, [[(0, 0)], [(0, 1)]]), folder, "few_order", drain=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len([n for n in os.listdir(f"{folder}/checkpoint/state/0") if n.isdigit()]) == stateful.FEW_STORES
