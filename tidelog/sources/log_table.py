@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,6 +23,7 @@ from pyspark.sql import types as T
 from tidelog.functions.joins import BROADCAST_ROWS, bounded
 from tidelog.functions.labels import CODECS
 from tidelog.sources.file_batches import files_of_batch
+from tidelog.sources.shared import merging_what_is_kept
 
 MANIFEST = "topic string, part int, segment int, first bigint, next bigint"
 #: How much of a log a micro-batch takes by default.
@@ -112,26 +112,6 @@ def write_ends(records: DataFrame, path: str) -> DataFrame:
     return read_ends(records.sparkSession, path)
 
 
-_MERGE_KEPT = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-
-
-@contextmanager
-def _merging_what_is_kept(spark: SparkSession):
-    """Plans kept inside have small shuffle partitions merged, as those of any other query.
-
-    Spark may leave a kept plan all its shuffle partitions, and then the smallest log is cut into so many files.
-    """
-    before = spark.conf.get(_MERGE_KEPT, None)
-    spark.conf.set(_MERGE_KEPT, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_MERGE_KEPT)
-        else:
-            spark.conf.set(_MERGE_KEPT, before)
-
-
 def write_log(
     records: DataFrame,
     path: str,
@@ -165,7 +145,7 @@ def write_log(
         .sortWithinPartitions(*where, "_seg", *order_by)
         .withColumn("_row", F.monotonically_increasing_id())
     )
-    with _merging_what_is_kept(spark):
+    with merging_what_is_kept(spark):
         staged.persist(StorageLevel.DISK_ONLY)
 
     earlier = (

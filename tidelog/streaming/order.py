@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelog.functions.joins import bounded
+from tidelog.sources.shared import merging_what_is_kept
 from tidelog.streaming.delivery import PARTITION, RANGES, _ranges, _start, ledger_updates
 from tidelog.streaming.snapshots import FOLD_EVERY
 from tidelog.streaming.stateful import FEW_STORES, rocksdb_state
@@ -103,9 +104,14 @@ def deduplicate(
         spark = batch.sparkSession
         if ledger.last(spark) >= batch_id:
             return
-        handled = ledger.read(spark, RANGES, upto=batch_id - 1)
+        # Kept, as they are counted and joined: merged once.
+        with merging_what_is_kept(spark):
+            handled = ledger.read(spark, RANGES, upto=batch_id - 1).persist()
         target = f"{folder}/results/batch_id={batch_id}"
-        unseen(batch, handled, handled.count()).write.mode("overwrite").parquet(target)
+        try:
+            unseen(batch, handled, handled.count()).write.mode("overwrite").parquet(target)
+        finally:
+            handled.unpersist()
         written = spark.read.schema(batch.schema).parquet(target)
         ledger.store(_ranges(written, F.max("roff") + 1), batch_id)
 

@@ -106,10 +106,14 @@ class Updates:
         fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         columns = T.StructType([f for f in fields.fields if f.name != "batch_id"] + [T.StructField("batch_id", T.LongType())])
         batches = [n for n in _numbers(spark, self.path, "batch_id=") if n > after and (upto is None or n <= upto)]
-        rows = spark.createDataFrame([], columns)
+        # An empty table beside the others would be a task for each core.
+        if after < 0 and not batches:
+            return spark.createDataFrame([], columns)
+        rows = None
         if batches:
             reader = spark.read.schema(columns).option("basePath", self.path)
             rows = reader.parquet(*[f"{self.path}/batch_id={n}" for n in batches])
         if after >= 0:
-            rows = spark.read.schema(columns).parquet(f"{self.path}-folded/upto={after}").unionByName(rows)
+            folded = spark.read.schema(columns).parquet(f"{self.path}-folded/upto={after}")
+            rows = folded if rows is None else folded.unionByName(rows)
         return rows
