@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.processing import BatchProcessor, process_records
+from tidelog.sources.shared import new_folder
 from tidelog.streaming.snapshots import FOLD_EVERY, Updates
 
 PARTITION = ["topic", "part"]
@@ -197,8 +198,12 @@ def resume(stream: DataFrame, position: DataFrame) -> DataFrame:
     with a folder of its own, starts from the commits of the old one instead, so under
     at-least-once delivery it gets the failed rows at or above them again. A partition
     without a commit is read from its start.
+
+    The positions are those of now, written once, as every batch compares with them.
     """
-    marks = position.select(*PARTITION, "position")
+    spark, kept = position.sparkSession, new_folder(position.sparkSession, "marks")
+    position.select(*PARTITION, "position").write.parquet(kept)
+    marks = spark.read.schema("topic string, part int, position bigint").parquet(kept)
     unread = F.col("position").isNull() | (F.col("roff") >= F.col("position"))
     return stream.join(marks, PARTITION, "left").where(unread).select(*stream.columns)
 
