@@ -48,3 +48,14 @@ def test_a_resumed_run_works_out_its_positions_once(spark):
     assert job.lastProgress.batchId == 7 and tasks_of_a_batch(spark, job) <= 6
     done = delivery.results(spark, new, stream.schema).agg(F.min("roff"), F.count(F.lit(1))).first()
     assert tuple(done) == (1_000, 3_000)
+
+
+def test_claims_take_few_tasks_and_no_job_before_them(spark):
+    log, folder = a_log(spark), new_folder(spark, "claims")
+    stream = log.read_stream(spark, 1)
+    job = delivery.consume_at_most_once(
+        stream, succeed(), folder, "claims_cost", drain=True, ordered=False, claims=log.ranges_of_batch
+    )
+    job.awaitTermination()
+    assert job.lastProgress.batchId == 7 and tasks_of_a_batch(spark, job) <= 4
+    assert delivery.positions(spark, folder).first().position == 4_000

@@ -18,7 +18,13 @@ def _ends(spark: SparkSession, checkpoint: str, batch_id: int) -> list[int]:
     """The last entry of each source that the batches up to this one take; -1 for none."""
     if batch_id < 0:
         return []
-    lines = [r.value for r in spark.read.text(f"{checkpoint}/offsets/{batch_id}").collect()]
+    note = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets/{batch_id}")
+    # a few lines, read here: a job would cost more than all else that is done for a small batch
+    opened = note.getFileSystem(spark._jsc.hadoopConfiguration()).open(note)
+    try:
+        lines = spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8").splitlines()
+    finally:
+        opened.close()
     # a version, what the batch ran with, then a line for each source
     return [json.loads(line)["logOffset"] if line.startswith("{") else -1 for line in lines[2:]]
 
@@ -26,7 +32,7 @@ def _ends(spark: SparkSession, checkpoint: str, batch_id: int) -> list[int]:
 def files_of_batch(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame:
     """``path`` of each file of a micro-batch, as Spark writes it: a URI."""
     before = _ends(spark, checkpoint, batch_id - 1)
-    found = spark.createDataFrame([], "path string")
+    found = None
     for source, last in enumerate(_ends(spark, checkpoint, batch_id)):
         first = (before[source] if source < len(before) else -1) + 1
         lists = []
@@ -37,5 +43,6 @@ def files_of_batch(spark: SparkSession, checkpoint: str, batch_id: int) -> DataF
             lists.append(name if here else f"{name}.compact")
         if lists:
             entries = spark.read.schema(ENTRY).json(lists)
-            found = found.unionAll(entries.where(F.col("batchId").between(first, last)).select("path"))
-    return found
+            paths = entries.where(F.col("batchId").between(first, last)).select("path")
+            found = paths if found is None else found.unionAll(paths)
+    return spark.createDataFrame([], "path string") if found is None else found

@@ -86,7 +86,8 @@ class LogTable:
         taken = files_of_batch(spark, checkpoint, batch_id).select(
             plain(value(1)).alias("topic"), value(2).cast("int").alias("part"), value(3).cast("int").alias("segment")
         )
-        return self.manifest(spark).join(taken.distinct(), ["topic", "part", "segment"]).select("topic", "part", "first", "next")
+        found = self.manifest(spark).join(taken, ["topic", "part", "segment"], "left_semi")
+        return found.select("topic", "part", "first", "next")
 
     def read_stream(self, spark: SparkSession, bytes_per_trigger: int = BYTES_PER_TRIGGER) -> DataFrame:
         """The log as a file stream; a micro-batch takes ``bytes_per_trigger`` of files, one at least."""
