@@ -265,6 +265,44 @@ def test_jaccard_large_group_without_all_pairs(spark, monkeypatch):
     assert sum(compared) < 30 * len(rows)
 
 
+def test_jaccard_join_of_a_group_keeps_few_rows(spark):
+    """A passage late in 40 prefixes: no pair has room after its words, and the join itself drops them."""
+    members = [(0, s, n, 100, 100, 0.0, n, 17 + s, 12 + s, 40.0, 780.0, 0) for s in range(1, 10) for n in range(40)]
+    near = [(0, 99, 100 + n, 100, 100, 0.0, 100 + n, 5, 0, 2.0, 1.0, 100) for n in range(2)]
+    schema = "base long, shingle long, node long, n long, d long, own double, component long, at long, k int, members double, pairs double, major long"
+    state = spark.createDataFrame(members + near, schema)
+    pairs = jaccard._roomy(jaccard._cross_pairs(state), 75)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert [tuple(p[:2]) for p in pairs.collect()] == [(100, 101)]
+        node = pairs._jdf.queryExecution().executedPlan()
+        while "Join" not in node.nodeName():
+            node = node.children().head()
+        assert node.metrics().apply("numOutputRows").value() == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    """Rounds over 200 stored links cost no task and no file for each of 40 shuffle partitions."""
+    links = jaccard.staged(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"), "links")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = jaccard.components(links)
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert [tuple(r) for r in found.groupBy("root").count().collect()] == [(0, 201)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # decontamination
 
 

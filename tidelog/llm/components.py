@@ -3,7 +3,8 @@
 Alternating star contraction: every vertex points its larger neighbours, then its smaller
 ones, at the least vertex it knows, until nothing changes. A vertex with very many links is
 a long list of rows, never one group: the least neighbour comes from a partial aggregate and
-a join that adaptive execution may split. Each round is written to the shared folder.
+a join that adaptive execution may split. Each round is written to the shared folder, and
+works in as many tasks as its edges call for.
 """
 
 from __future__ import annotations
@@ -11,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import staged
+from tidelog.llm.common import merged, staged
+
+#: Bytes of stored edges for a task.
+_PER_TASK = 1 << 20
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = merged(large, _PER_TASK, edges)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(down, "u")
@@ -32,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionAll(down.select("u", F.col("m").alias("v")))
         )
-        edges = staged(small.distinct(), "edges")
+        edges = staged(merged(merged(small, _PER_TASK, edges).distinct(), _PER_TASK, edges), "edges")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

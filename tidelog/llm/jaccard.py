@@ -10,9 +10,11 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
    ``n - ceil(percent * n / 100) + 1``: the *prefix*. Shingles of one text alone find no
    partner and only take up places. Texts of equal sets become one representative here.
 3. Candidates are pairs with a common prefix shingle whose sizes (length filter) and places
-   of that shingle (positional filter) leave room for enough overlap: what comes before it
-   and is of one text alone cannot count. What is left is compared by a histogram of hash
-   classes (suffix filter), then set by set, once.
+   of that shingle (positional filter) leave room for enough overlap after it, as if it were
+   the first that both have. For the first one that is right, and no later one leaves more
+   room; so a pair passes at some shingle only if it does at its first, and the join
+   keeps few of the many rows of a passage's shingles. What is left is compared by a
+   histogram of hash classes (suffix filter), then set by set, once.
 4. Groups around a common shingle may be large, so not all their pairs are made. Each group
    picks a *pivot* T, its most central member, and pairs with it are verified. Members that end
    up in one component need no further look; components are taken after the first pivots and at the end. A group with few pairs between components (a
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import blocks
 from tidelog.llm.bytes_np import BYTE_VALUES, U64, Words, buffers, chunks, combined, give_back, is_space, lean, lowered, mix, prefix_sums, range_hashes
-from tidelog.llm.common import staged, text_identity
+from tidelog.llm.common import merged, staged, text_identity
 from tidelog.llm.components import components
 
 COUNTS = "bucket int, block int, hashes binary, counts binary"
@@ -60,6 +62,8 @@ PAIRS_PER_MEMBER = 64
 #: Stands for what a pivot alone has in all the corpus; the last element of every difference.
 _PIVOTS_OWN = -1
 _BINS = 64
+#: Stored bytes for a task: entries that are joined with each other, candidates that are compared, other rows.
+_ENTRIES, _CANDIDATES, _ROWS = 1 << 18, 1 << 16, 1 << 20
 
 
 class _Sets:
@@ -224,9 +228,9 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             give_back()
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
-        return pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col(column).alias("y")), "b"
-        ).select("a", "b", "n_a", "n_b", "x", "y")
+        first = pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
+        both = merged(first, _CANDIDATES, pairs).join(sets.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
+        return merged(both.select("a", "b", "n_a", "n_b", "x", "y"), _CANDIDATES, pairs)
 
     left = staged(
         with_both(candidates, "histogram").mapInArrow(near, "a bigint, b bigint, n_a bigint, n_b bigint"), "pairs"
@@ -235,26 +239,16 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _roomy(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs that pass the length and the positional filter, once each.
+    """Pairs that pass the length and the positional filter; a pair may come more than once.
 
     Of each side there is the size n of its set, the size d of its difference from the base (of
-    a base that is empty, n), and the place of a common element: ``at`` in the difference, ``k``
-    among what others have too. Then comes the positional filter at the first common element.
+    a base that is empty, n), and the place ``at`` of a common element in the difference. Room
+    is what comes from there on: all that both can have, if the element is the first common one.
     """
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-
-    def fits(room: Column) -> Column:
-        return (F.col("d_a") + F.col("d_b") - 2 * room) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
-
-    after = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))
-    return (
-        pairs.where((small * 100 >= percent * large) & fits(F.least("k_a", "k_b") + after))
-        .groupBy("base", "a", "b", "n_a", "n_b", "d_a", "d_b")
-        .agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"))
-        .where(fits(after))
-        .select("a", "b", "n_a", "n_b")
-        .distinct()
-    )
+    room = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))
+    fits = (F.col("d_a") + F.col("d_b") - 2 * room) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return pairs.where((small * 100 >= percent * large) & fits).select("a", "b", "n_a", "n_b")
 
 
 def _pair(left: str, right: str) -> list[Column]:
@@ -263,7 +257,7 @@ def _pair(left: str, right: str) -> list[Column]:
     side = lambda c: (F.when(first, F.col(f"{left}.{c}")).otherwise(F.col(f"{right}.{c}")),
                       F.when(first, F.col(f"{right}.{c}")).otherwise(F.col(f"{left}.{c}")))
     out = []
-    for c, name in (("node", ""), ("n", "n_"), ("d", "d_"), ("at", "at_"), ("k", "k_")):
+    for c, name in (("node", ""), ("n", "n_"), ("d", "d_"), ("at", "at_")):
         x, y = side(c)
         out += [x.alias(f"{name}a"), y.alias(f"{name}b")]
     return out
@@ -297,10 +291,12 @@ def similarity_join(
     )
     rows = staged(described.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    # One representative of each set; the others are found again by the set's hash.
-    heads = rows.where("shingles is not null").groupBy("h1", "h2").agg(F.min("node").alias("node"))
-    sets = rows.join(heads.select("node"), "node", "left_semi")
-    prefix = sets.select(
+    # One representative of each set; the others are found again by the set's hash. What is
+    # asked by a representative's node needs no other look at which rows are one.
+    sets = rows.where("shingles is not null")
+    heads = sets.groupBy("h1", "h2").agg(F.min("node").alias("node"))
+    heads = staged(merged(heads, _ROWS, rows), "heads")
+    prefix = sets.join(heads.select("node"), "node", "left_semi").select(
         "node", "n", (F.col("single") / F.col("n")).alias("own"), "single", F.posexplode("prefix").alias("k", "shingle")
     )
     groups = prefix.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
@@ -313,7 +309,6 @@ def similarity_join(
             F.col("n").alias("d"),
             "own",
             (F.col("single") + F.col("k")).cast("bigint").alias("at"),
-            "k",
             F.col("node").alias("component"),
         ),
         "entries",
@@ -321,7 +316,7 @@ def similarity_join(
     key = ["base", "shingle"]
     links = tested = roots = pending = None
     while True:
-        pivots = staged(_pivots(entries), "pivots")
+        pivots = staged(merged(_pivots(entries), _ROWS, entries), "pivots")
         around = (
             entries.alias("s")
             .join(pivots.alias("p"), key)
@@ -329,6 +324,7 @@ def similarity_join(
             .select("base", *_pair("s", "p"))
         )
         fresh = _roomy(around, percent)
+        fresh = merged(fresh, _ENTRIES, entries)
         found, tested = _tried(fresh if pending is None else fresh.unionAll(pending), tested, sets, percent)
         first_round = roots is None
         if first_round:  # most links are with pivots; what is found later is joined at the end
@@ -337,7 +333,8 @@ def similarity_join(
             links = found if links is None else links.unionAll(found)
         state = _between(entries, roots)
         few = F.col("pairs") <= PAIRS_PER_MEMBER * F.col("members")
-        pending = staged(_roomy(_cross_pairs(state.where(few)), percent), "candidates")
+        pending = merged(_roomy(_cross_pairs(state.where(few)), percent), _ENTRIES, state).distinct()
+        pending = staged(merged(pending, _ENTRIES, state), "candidates")
         entries = staged(_keyed_anew(state.where(~few), pivots, sets, percent, merge=first_round), "entries")
         if entries.isEmpty():
             break
@@ -368,7 +365,7 @@ def similarity_join(
 
 def _pivots(entries: DataFrame) -> DataFrame:
     """The most central member of each group: few shingles of its own."""
-    columns = ("node", "n", "d", "at", "k", "component")
+    columns = ("node", "n", "d", "at", "component")
     least = entries.groupBy("base", "shingle").agg(F.min(F.struct("own", *columns)).alias("p"))
     return least.select("base", "shingle", *[F.col(f"p.{c}").alias(c) for c in columns])
 
@@ -377,8 +374,9 @@ def _tried(
     candidates: DataFrame, tested: DataFrame | None, sets: DataFrame, percent: int
 ) -> tuple[DataFrame, DataFrame]:
     """Links among candidates that were not verified before, and all pairs that were by now."""
-    fresh = candidates.distinct()
-    fresh = staged(fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti"), "candidates")
+    fresh = candidates.dropDuplicates(["a", "b"])
+    fresh = fresh if tested is None else fresh.join(tested, ["a", "b"], "left_anti")
+    fresh = staged(merged(fresh, _ROWS, candidates), "candidates")
     pairs = fresh.select("a", "b")
     return _verify(fresh, sets, percent), pairs if tested is None else tested.unionAll(pairs)
 
@@ -394,22 +392,22 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     )
     moved = components(between)
     known = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
-    return staged(
-        known.select("node", F.coalesce("to", "root").alias("root")).unionAll(moved.join(roots, "node", "left_anti")), "roots"
-    )
+    after = known.select("node", F.coalesce("to", "root").alias("root")).unionAll(moved.join(roots, "node", "left_anti"))
+    return staged(merged(after, _ROWS, roots, links), "roots")
 
 
 def _between(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries of groups that span several components: with the component of each, how many
     members and pairs of different components its group has, and the largest component there."""
     located = entries.drop("component").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    located = merged(located, _ROWS, entries)
     sizes = located.groupBy("base", "shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    groups = sizes.groupBy("base", "shingle").agg(
+    groups = merged(sizes, _ROWS, entries).groupBy("base", "shingle").agg(
         F.sum("m").alias("members"),
         ((F.sum("m") ** 2 - F.sum(F.col("m") ** 2)) / 2).alias("pairs"),
         F.max(F.struct("m", "component"))["component"].alias("major"),
     )
-    return staged(located.join(groups.where("pairs > 0"), ["base", "shingle"]), "entries")
+    return staged(merged(located.join(groups.where("pairs > 0"), ["base", "shingle"]), _ROWS, entries), "entries")
 
 
 def _cross_pairs(state: DataFrame) -> DataFrame:
@@ -470,8 +468,8 @@ def _keyed_anew(state: DataFrame, pivots: DataFrame, sets: DataFrame, percent: i
         state.join(chosen, ["base", "shingle"])
         .where("node <> pivot")
         .select(base.alias("base"), "pivot", "node", "n", "own", "component")
-        .dropDuplicates(["base", "node"])
     )
+    members = merged(merged(members, _ROWS, state).dropDuplicates(["base", "node"]), _ROWS, state)
     # A pivot may have very many members: its set goes to them in copies. A group keyed anew
     # has more than twice PAIRS_PER_MEMBER members, so copies are fewer than members.
     copies = 16
@@ -489,27 +487,24 @@ def _keyed_anew(state: DataFrame, pivots: DataFrame, sets: DataFrame, percent: i
         )
         .withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(copies)])))
     )
+    with_sets = merged(members.join(sets.select("node", "single", "shingles"), "node"), _ENTRIES, state)
     with_both = (
-        members.join(sets.select("node", "single", "shingles"), "node")
-        .withColumn("copy", F.pmod(F.xxhash64("node"), F.lit(copies)).cast("int"))
+        with_sets.withColumn("copy", F.pmod(F.xxhash64("node"), F.lit(copies)).cast("int"))
         .join(of_pivots, ["pivot", "copy"])
     )
-    found = staged(with_both.mapInArrow(_differences(percent), DIFFERENCES), "differences")
+    found = staged(merged(with_both, _ENTRIES, state).mapInArrow(_differences(percent), DIFFERENCES), "differences")
     each = found.withColumn("shingle", F.explode("elements")).drop("elements")
     often = each.groupBy("base", "shingle").agg(F.count(F.lit(1)).alias("often"))
     in_order = Window.partitionBy("base", "node").orderBy(F.col("shingle") == _PIVOTS_OWN, "often", "shingle")
-    whole = Window.partitionBy("base", "node")
     placed = (
         each.join(often, ["base", "shingle"])
         .withColumn("place", F.row_number().over(in_order).cast("bigint") - 1)
-        .withColumn("alone", F.sum((F.col("often") == 1).cast("bigint")).over(whole))
         .withColumn("at", F.col("single") + F.col("place"))
         .where("often > 1 and at < wide")
-        .withColumn("k", F.greatest(F.lit(0), F.col("place") - F.col("alone")).cast("int"))
     )
     meeting = placed.groupBy("base", "shingle").agg(F.max("linked").alias("some_linked"))
     kept = placed.join(meeting, ["base", "shingle"]).where("some_linked or at < strict")
     several = kept.groupBy("base", "shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return kept.join(several, ["base", "shingle"], "left_semi").select(
-        "base", "shingle", "node", "n", "d", "own", "at", "k", "component"
+        "base", "shingle", "node", "n", "d", "own", "at", "component"
     )
