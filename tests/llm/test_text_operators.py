@@ -287,6 +287,62 @@ def test_jaccard_join_of_a_group_keeps_few_rows(spark):
             spark.conf.set(k, v)
 
 
+def plan_sums(spark, df, kind, metric, told=""):
+    """Collects ``df`` by sort-merge joins unless they are hinted: the sum of a metric over the plan's nodes of a kind."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = df.select("*")
+        df.collect()
+        total, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if kind in node.nodeName() and told in node.simpleString(1000):
+                total += node.metrics().apply(metric).value()
+        return total
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_jaccard_keeps_no_entries_without_room(spark, monkeypatch):
+    """Two texts share a passage after too many shingles of their own: its shingles are no entries of groups."""
+    staged, entries = jaccard.staged, []
+
+    def counted(df, label):
+        out = staged(df, label)
+        entries.extend([out.count()] if label == "entries" else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    passage = " ".join(f"p{k}" for k in range(80))
+    rows = [(i, " ".join(f"o{i}-{k}" for k in range(20)) + " " + passage) for i in range(2)]
+    got = sorted(map(tuple, jaccard.similarity_join(frame(spark, rows)).collect()), key=repr)
+    assert got == brute_jaccard(rows)
+    assert entries[0] == 0
+
+
+def test_jaccard_moves_only_the_sets_that_are_asked_for(spark, monkeypatch):
+    """One candidate among 500 sets: no other set is sent through a shuffle to verify it."""
+    shingles, histogram = bytes(range(60)), bytes([9, 0]) + bytes(126)
+    rows = [(k, 10, 0, bytearray(shingles), bytearray(histogram)) for k in range(500)]
+    schema = "node long, n long, single int, shingles binary, histogram binary"
+    sets = jaccard.staged(spark.createDataFrame(rows, schema), "sets")
+    candidates = jaccard.staged(spark.createDataFrame([(3, 400, 10, 10)], "a long, b long, n_a long, n_b long"), "candidates")
+    staged, moved = jaccard.staged, []
+
+    def counted(df, label):
+        moved.append(plan_sums(spark, df, "Exchange", "shuffleRecordsWritten", "hashpartitioning"))
+        return staged(df, label)
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    assert [tuple(r) for r in jaccard._verify(candidates, sets, 75).collect()] == [(3, 400)]
+    assert len(moved) == 2 and sum(moved) < 20
+
+
 def test_components_of_few_links_take_few_tasks(spark):
     """Rounds over 200 stored links cost no task and no file for each of 40 shuffle partitions."""
     links = jaccard.staged(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"), "links")

@@ -13,7 +13,8 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
    of that shingle (positional filter) leave room for enough overlap after it, as if it were
    the first that both have. For the first one that is right, and no later one leaves more
    room; so a pair passes at some shingle only if it does at its first, and the join
-   keeps few of the many rows of a passage's shingles. What is left is compared by a
+   keeps few of the many rows of a passage's shingles. A row that has no such room with the
+   best of its group (or, of two, with the other) is left out before. What is left is compared by a
    histogram of hash classes (suffix filter), then set by set, once.
 4. Groups around a common shingle may be large, so not all their pairs are made. Each group
    picks a *pivot* T, its most central member, and pairs with it are verified. Members that end
@@ -45,6 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.functions.joins import bounded
 from tidelog.llm import blocks
 from tidelog.llm.bytes_np import BYTE_VALUES, U64, Words, buffers, chunks, combined, give_back, is_space, lean, lowered, mix, prefix_sums, range_hashes
 from tidelog.llm.common import merged, staged, text_identity
@@ -62,6 +64,8 @@ PAIRS_PER_MEMBER = 64
 #: Stands for what a pivot alone has in all the corpus; the last element of every difference.
 _PIVOTS_OWN = -1
 _BINS = 64
+#: Ids that are broadcast to find their rows at most: 8 MB.
+_IDS = 1 << 20
 #: Stored bytes for a task: entries that are joined with each other, candidates that are compared, other rows.
 _ENTRIES, _CANDIDATES, _ROWS = 1 << 18, 1 << 16, 1 << 20
 
@@ -196,6 +200,11 @@ def _overlap(a: pa.Buffer, b: pa.Buffer) -> int:
     return int(blocks.member(few, many).sum())
 
 
+def _asked(sets: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """The sets of ``nodes``, ``most`` ids or fewer. A join by node alone would move all sets, however few are asked for."""
+    return sets.join(bounded(nodes.toDF("node"), most, _IDS), "node", "left_semi")
+
+
 def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` among distinct candidates ``a, b, n_a, n_b``.
 
@@ -228,8 +237,10 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             give_back()
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
-        first = pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
-        both = merged(first, _CANDIDATES, pairs).join(sets.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
+        most = pairs.count()
+        left, right = (_asked(sets, pairs.select(c), most) for c in ("a", "b"))
+        first = pairs.join(left.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
+        both = merged(first, _CANDIDATES, pairs).join(right.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
         return merged(both.select("a", "b", "n_a", "n_b", "x", "y"), _CANDIDATES, pairs)
 
     left = staged(
@@ -238,6 +249,31 @@ def _verify(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(with_both(left, "shingles").mapInArrow(link, "a bigint, b bigint"), "links")
 
 
+def _reach(percent: int, size: str = "d") -> tuple[Column, Column]:
+    """What an entry asks for and what it offers: two have room if neither asks for more than the other offers.
+
+    This is the positional filter of ``_roomy``, solved for each side; ``size`` is that of the difference.
+    """
+    asks = F.col(size) * (100 + percent) - F.col("n") * (100 - percent)
+    offers = (F.col(size) - 2 * F.col("at")) * (100 + percent) + F.col("n") * (100 - percent)
+    return asks, offers
+
+
+def _with_room(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of sets that may have room with another one of their shingle: exact for two, by the best for more."""
+    asks, offers = _reach(percent, "n")
+    groups = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min(asks).alias("least"),
+        F.max(offers).alias("most"),
+        F.sum(asks).alias("all_asks"),
+        F.sum(offers).alias("all_offers"),
+    )
+    fits = (asks <= F.col("most")) & (F.col("least") <= offers)
+    of_two = (asks <= F.col("all_offers") - offers) & (F.col("all_asks") - asks <= offers)
+    return rows.join(groups.where("members > 1 and least <= most"), "shingle").where(fits & ((F.col("members") > 2) | of_two))
+
+
 def _roomy(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs that pass the length and the positional filter; a pair may come more than once.
 
@@ -296,19 +332,20 @@ def similarity_join(
     sets = rows.where("shingles is not null")
     heads = sets.groupBy("h1", "h2").agg(F.min("node").alias("node"))
     heads = staged(merged(heads, _ROWS, rows), "heads")
-    prefix = sets.join(heads.select("node"), "node", "left_semi").select(
-        "node", "n", (F.col("single") / F.col("n")).alias("own"), "single", F.posexplode("prefix").alias("k", "shingle")
+    prefix = (
+        sets.join(heads.select("node"), "node", "left_semi")
+        .select("node", "n", "single", F.posexplode("prefix").alias("k", "shingle"))
+        .select("shingle", "node", "n", "single", (F.col("single") + F.col("k")).cast("bigint").alias("at"))
     )
-    groups = prefix.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
     entries = staged(
-        prefix.join(groups.select("shingle"), "shingle").select(
+        _with_room(prefix, percent).select(
             F.lit(0).cast("bigint").alias("base"),
             "shingle",
             "node",
             "n",
             F.col("n").alias("d"),
-            "own",
-            (F.col("single") + F.col("k")).cast("bigint").alias("at"),
+            (F.col("single") / F.col("n")).alias("own"),
+            "at",
             F.col("node").alias("component"),
         ),
         "entries",
