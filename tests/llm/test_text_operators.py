@@ -343,6 +343,35 @@ def test_jaccard_moves_only_the_sets_that_are_asked_for(spark, monkeypatch):
     assert len(moved) == 2 and sum(moved) < 20
 
 
+def test_jaccard_keyed_anew_joins_prefixes_only(spark, monkeypatch):
+    """Near copies keyed anew: the joins by element make fewer rows than the differences have elements."""
+    import random
+
+    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", 0)
+    staged, made, elements = jaccard.staged, [], []
+
+    def counted(df, label):
+        if label == "entries" and elements:
+            made.append(plan_sums(spark, df, "Join", "numOutputRows", "[base#"))
+        out = staged(df, label)
+        if label == "differences" and not elements:
+            elements.append(sum(len(r["elements"]) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    r = random.Random(3)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for k in range(120):
+        own = list(base)
+        for at in r.sample(range(150), r.randint(1, 7)):
+            own[at] = f"e{k}-{at}"
+        rows.append((k, " ".join(own)))
+    got = sorted(map(tuple, jaccard.similarity_join(frame(spark, rows)).collect()), key=repr)
+    assert got == brute_jaccard(rows)
+    assert made[0] < elements[0]
+
+
 def test_components_of_few_links_take_few_tasks(spark):
     """Rounds over 200 stored links cost no task and no file for each of 40 shuffle partitions."""
     links = jaccard.staged(spark.createDataFrame([(k, k + 1) for k in range(200)], "a long, b long"), "links")

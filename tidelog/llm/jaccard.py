@@ -24,7 +24,8 @@ texts link when ``|A and B| * 100 >= percent * |A or B|``.
    has and the other has not. As ``x ^ y = Dx ^ Dy``, two members that link and that are not
    both linked with T must share a large part of their differences. So they meet in a
    rare-first prefix of these, and the new groups are treated in the same way until none is
-   left. Near copies with random edits share what the pivot lacks or has alone, which is
+   left. Here rare is what has a low count in a table of ``_SLOTS`` sums for each pivot, which any
+   task can be given; so only the elements of prefixes become rows, not whole differences. Near copies with random edits share what the pivot lacks or has alone, which is
    common and comes last in that order; what is rare in their differences is their own.
 
    With ``f = (100 - percent) / (100 + percent)``, x and y link when ``|x ^ y| <= f (|x| + |y|)``,
@@ -43,7 +44,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.joins import bounded
@@ -59,11 +60,18 @@ DIFFERENCES = (
     "base bigint, node bigint, n bigint, own double, component bigint, d bigint, single bigint, strict bigint, wide bigint, "
     "linked boolean, elements array<bigint>"
 )
+COMMON = "base bigint, slot smallint, count bigint"
+PLACED = (
+    "base bigint, shingle bigint, node bigint, n bigint, d bigint, own double, at bigint, component bigint, "
+    "linked boolean, narrow boolean"
+)
 #: A group has its pairs between components verified if they are at most so many for each member.
 PAIRS_PER_MEMBER = 64
 #: Stands for what a pivot alone has in all the corpus; the last element of every difference.
 _PIVOTS_OWN = -1
 _BINS = 64
+#: How common an element of differences is, is told by a sum for its low bits.
+_SLOTS = 1024
 #: Ids that are broadcast to find their rows at most: 8 MB.
 _IDS = 1 << 20
 #: Stored bytes for a task: entries that are joined with each other, candidates that are compared, other rows.
@@ -494,6 +502,57 @@ def _differences(percent: int):
     return run
 
 
+def _common(batches):
+    """How often the members of each base have elements in each slot; a pivot's own count nowhere."""
+    for batch in batches:
+        lists = batch.column("elements")
+        elements = lists.flatten().to_numpy()
+        bases = np.repeat(batch.column("base").to_numpy(), lists.value_lengths().to_numpy())
+        shared = elements != _PIVOTS_OWN
+        elements, bases = elements[shared], bases[shared]
+        named, base = np.unique(bases, return_inverse=True)
+        at, counts = np.unique(base * _SLOTS + elements % _SLOTS, return_counts=True)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "base": pa.array(named[at // _SLOTS], pa.int64()),
+                "slot": pa.array((at % _SLOTS).astype(np.int16), pa.int16()),
+                "count": pa.array(counts, pa.int64()),
+            }
+        )
+        give_back()
+
+
+def _places(batches):
+    """Each member's elements up to the end of its wide prefix, with their places among the base's: rare ones first."""
+    columns = ("base", "node", "n", "d", "own", "component", "linked")
+    for batch in batches:
+        single, strict, wide = (batch.column(c).to_numpy() for c in ("single", "strict", "wide"))
+        kept, ats = [], []
+        for k, (elements, slots, kinds) in enumerate(zip(*(batch.column(c) for c in ("elements", "slots", "kinds")), strict=True)):
+            own = elements.values.to_numpy()
+            kind = np.zeros(_SLOTS, dtype=np.int16)
+            if slots.is_valid:
+                kind[slots.values.to_numpy()] = kinds.values.to_numpy()
+            order = np.lexsort((own, kind[own % _SLOTS], own == _PIVOTS_OWN))[: max(0, int(wide[k] - single[k]))]
+            kept.append(own[order])
+            ats.append(single[k] + np.arange(len(order)))
+        sizes = np.fromiter(map(len, kept), np.int64, len(kept))
+        row, at = np.repeat(np.arange(len(kept)), sizes), np.concatenate([np.zeros(0, np.int64), *ats])
+        repeated = batch.select(columns).take(pa.array(row))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "base": repeated.column("base"),
+                "shingle": pa.array(np.concatenate([np.zeros(0, np.int64), *kept]), pa.int64()),
+                **{c: repeated.column(c) for c in ("node", "n", "d", "own")},
+                "at": pa.array(at, pa.int64()),
+                "component": repeated.column("component"),
+                "linked": repeated.column("linked"),
+                "narrow": pa.array(at < strict[row], pa.bool_()),
+            }
+        )
+        give_back()
+
+
 def _keyed_anew(state: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int, merge: bool) -> DataFrame:
     """Entries of groups by what is rare in the differences from a group's pivot.
 
@@ -509,39 +568,42 @@ def _keyed_anew(state: DataFrame, pivots: DataFrame, sets: DataFrame, percent: i
     members = merged(merged(members, _ROWS, state).dropDuplicates(["base", "node"]), _ROWS, state)
     # A pivot may have very many members: its set goes to them in copies. A group keyed anew
     # has more than twice PAIRS_PER_MEMBER members, so copies are fewer than members.
-    copies = 16
-    of_pivots = (
-        members.select("pivot")
-        .distinct()
-        .join(
-            sets.select(
-                F.col("node").alias("pivot"),
-                F.col("n").alias("t_n"),
-                F.col("single").alias("t_single"),
-                F.col("shingles").alias("t_shingles"),
-            ),
-            "pivot",
-        )
-        .withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(copies)])))
-    )
-    with_sets = merged(members.join(sets.select("node", "single", "shingles"), "node"), _ENTRIES, state)
-    with_both = (
-        with_sets.withColumn("copy", F.pmod(F.xxhash64("node"), F.lit(copies)).cast("int"))
-        .join(of_pivots, ["pivot", "copy"])
+    copies = F.explode(F.array(*[F.lit(k) for k in range(16)])).alias("copy")
+    copy = F.pmod(F.xxhash64("node"), F.lit(16)).cast("int").alias("copy")
+    members = staged(members, "members")
+    most = members.count()
+    of_pivots = _asked(sets, members.select("pivot"), most).select(
+        F.col("node").alias("pivot"),
+        F.col("n").alias("t_n"),
+        F.col("single").alias("t_single"),
+        F.col("shingles").alias("t_shingles"),
+        copies,
     )
+    of_members = _asked(sets, members.select("node"), most).select("node", "single", "shingles")
+    with_sets = merged(members.join(of_members, "node"), _ENTRIES, state)
+    with_both = with_sets.select("*", copy).join(of_pivots, ["pivot", "copy"])
     found = staged(merged(with_both, _ENTRIES, state).mapInArrow(_differences(percent), DIFFERENCES), "differences")
-    each = found.withColumn("shingle", F.explode("elements")).drop("elements")
-    often = each.groupBy("base", "shingle").agg(F.count(F.lit(1)).alias("often"))
-    in_order = Window.partitionBy("base", "node").orderBy(F.col("shingle") == _PIVOTS_OWN, "often", "shingle")
-    placed = (
-        each.join(often, ["base", "shingle"])
-        .withColumn("place", F.row_number().over(in_order).cast("bigint") - 1)
-        .withColumn("at", F.col("single") + F.col("place"))
-        .where("often > 1 and at < wide")
+
+    counts = found.select("base", "elements").mapInArrow(_common, COMMON).groupBy("base", "slot").agg(F.sum("count").alias("count"))
+    kind = F.floor(8 * F.log2("count")).cast("smallint").alias("kind")
+    common = counts.groupBy("base").agg(F.collect_list(F.struct("slot", kind)).alias("c"))
+    common = common.select("base", F.col("c.slot").alias("slots"), F.col("c.kind").alias("kinds"), copies)
+    in_order = merged(found.select("*", copy).join(common, ["base", "copy"], "left"), _ENTRIES, found)
+    placed = staged(in_order.drop("copy").mapInArrow(_places, PLACED), "placed")
+
+    # Where one links with the pivot all may meet, else those in the strict prefix.
+    asks, offers = _reach(percent)
+    placed = placed.withColumn("asks", asks).withColumn("offers", offers)
+    of = lambda f, c, name: [f(c).alias(f"{name}_all"), f(F.when(F.col("narrow"), F.col(c))).alias(f"{name}_narrow")]
+    groups = placed.groupBy("base", "shingle").agg(
+        F.max("linked").alias("some_linked"),
+        *of(F.min, "component", "x"),
+        *of(F.max, "component", "y"),
+        *of(F.min, "asks", "least"),
+        *of(F.max, "offers", "most"),
     )
-    meeting = placed.groupBy("base", "shingle").agg(F.max("linked").alias("some_linked"))
-    kept = placed.join(meeting, ["base", "shingle"]).where("some_linked or at < strict")
-    several = kept.groupBy("base", "shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    return kept.join(several, ["base", "shingle"], "left_semi").select(
+    bounds = [F.when(F.col("some_linked"), F.col(f"{c}_all")).otherwise(F.col(f"{c}_narrow")).alias(c) for c in ("x", "y", "least", "most")]
+    groups = groups.select("base", "shingle", "some_linked", *bounds).where("x < y and least <= most").drop("x", "y")
+    return placed.join(groups, ["base", "shingle"]).where("(some_linked or narrow) and asks <= most and least <= offers").select(
         "base", "shingle", "node", "n", "d", "own", "at", "component"
     )
