@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import struct
 
@@ -112,6 +113,87 @@ def test_suffixes_ties_and_nulls(spark):
     assert suffixes.dedup_suffixes(frame(spark, [])).count() == 0
 
 
+def crowd(n, length=260):
+    """Texts that hold a passage of ``length`` characters, most with an edit of their own near it or in it."""
+    r = random.Random(5)
+    letters = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    passage, rows = letters(length), []
+    for k in range(n):
+        text = list(letters(r.randint(0, 150)) + passage + letters(r.randint(0, 150)))
+        if k % 3:
+            text[r.randrange(len(text))] = r.choice("XYZ")
+        rows.append((k, "".join(text)))
+    return rows + [(n + k, text) for k, (_, text) in enumerate(rows[:20])]
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+@pytest.mark.parametrize("sort", [500, 1 << 19])
+@pytest.mark.parametrize("share", [0, 1 << 20])
+def test_suffixes_around_a_crowded_anchor(spark, keep, sort, share, monkeypatch):
+    monkeypatch.setattr(suffixes, "SORTED", sort)
+    monkeypatch.setattr(suffixes, "CROWD", share)
+    rows = crowd(150)
+    found = suffixes.dedup_suffixes(frame(spark, rows), size=200, keep=keep).collect()
+    got = sorted(((r.id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found), key=repr)
+    assert got == brute_suffixes(rows, 200, keep)
+
+
+def fragments_of_an_anchor(size=200, n=600):
+    """Fragments in one group, all different, with few common strings: edges differ around equal cores."""
+    import numpy as np
+
+    from tidelog.llm import blocks
+
+    r = np.random.default_rng(3)
+    core = r.integers(97, 123, size + 4).astype(np.uint8)
+    texts = []
+    for k in range(n):
+        left, right = (r.integers(97, 123, 40).astype(np.uint8) for _ in range(2))
+        texts.append(np.concatenate((left, core, right)).tobytes())
+    pack = lambda kind, values: np.array(values).astype(kind).tobytes()
+    digests = b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in texts)
+    row = (0, 0, digests, pack("<u8", [9] * n), pack("<i8", range(n)), pack("<i8", [0] * n), pack("<u4", [40] * n))
+    many, sizes = pack(np.uint8, [0] * n), pack("<u4", [len(x) for x in texts])
+    return blocks.frame(suffixes.SENT, [(*row, many, sizes, b"".join(texts))])
+
+
+def test_a_large_group_is_sorted_a_bounded_number_of_bytes_at_a_time(monkeypatch):
+    import numpy as np
+
+    sorted_bytes, order = [], suffixes.suffix_order
+    monkeypatch.setattr(suffixes, "SORTED", 10_000)
+    monkeypatch.setattr(suffixes, "suffix_order", lambda text, *a: sorted_bytes.append(len(text)) or order(text, *a))
+    found = suffixes._repeated(fragments_of_an_anchor(), 200, "none").to_pylist()
+    assert max(sorted_bytes, default=0) <= 10_000
+    starts = {}
+    for at, pair in zip(np.frombuffer(found[0]["at"], "<u4"), np.frombuffer(found[0]["ranges"], "<u4").reshape(-1, 2), strict=True):
+        starts.setdefault(int(at), set()).update(range(*pair.tolist()))
+    assert len(starts) == 600 and all({40, 41, 42, 43, 44} <= x for x in starts.values())
+
+
+def test_fragments_of_a_crowded_anchor_go_to_many_buckets(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffixes, "CROWD", 400)
+    r, n = random.Random(6), 8
+    base, texts = "".join(r.choice("abcdefgh ") for _ in range(700)), []
+    for _ in range(300):
+        text = list(base)
+        for k in r.sample(range(700), 9):
+            text[k] = r.choice("XYZ")
+        texts.append("".join(text))
+    own = suffixes._Runs(pa.table({"text": pa.array(texts)}), 200)
+    told, crowded, ids = own.anchors(n)[0], own.crowded(n), np.arange(300)
+    assert len(crowded)
+    whole = suffixes._Fragments(own, told, crowded[:0], ids, 200, n)
+    cut = suffixes._Fragments(own, told, crowded, ids, 200, n)
+    assert (cut.last - cut.first + 1).sum() == (whole.last - whole.first + 1).sum()  # every string once
+    most = lambda x: np.unique(x.anchors[x.head], return_counts=True)[1].max()
+    assert most(whole) > 100 and most(cut) < most(whole) / 2
+    assert len(np.unique(cut.bucket)) == n
+
+
 def test_longest_factors_match_brute_force():
     import numpy as np
 
