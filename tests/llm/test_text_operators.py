@@ -138,13 +138,13 @@ def test_suffixes_around_a_crowded_anchor(spark, keep, sort, share, monkeypatch)
     assert got == brute_suffixes(rows, 200, keep)
 
 
-def fragments_of_an_anchor(size=200, n=600):
+def fragments_of_an_anchor(size=200, n=600, seed=3, block=0, pick=40):
     """Fragments in one group, all different, with few common strings: edges differ around equal cores."""
     import numpy as np
 
     from tidelog.llm import blocks
 
-    r = np.random.default_rng(3)
+    r = np.random.default_rng(seed)
     core = r.integers(97, 123, size + 4).astype(np.uint8)
     texts = []
     for k in range(n):
@@ -152,7 +152,7 @@ def fragments_of_an_anchor(size=200, n=600):
         texts.append(np.concatenate((left, core, right)).tobytes())
     pack = lambda kind, values: np.array(values).astype(kind).tobytes()
     digests = b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in texts)
-    row = (0, 0, digests, pack("<u8", [9] * n), pack("<i8", range(n)), pack("<i8", [0] * n), pack("<u4", [40] * n))
+    row = (0, block, digests, pack("<u8", [9] * n), pack("<i8", range(n)), pack("<i8", [0] * n), pack("<u4", [pick] * n))
     many, sizes = pack(np.uint8, [0] * n), pack("<u4", [len(x) for x in texts])
     return blocks.frame(suffixes.SENT, [(*row, many, sizes, b"".join(texts))])
 
@@ -171,6 +171,18 @@ def test_a_large_group_is_sorted_a_bounded_number_of_bytes_at_a_time(monkeypatch
     assert len(starts) == 600 and all({40, 41, 42, 43, 44} <= x for x in starts.values())
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_a_large_group_without_strings_at_some_distances(keep, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffixes, "SORTED", 1_000)
+    # Strings begin 40 to 1 bytes before the anchor and on, or 190 to 106 before it; none in between.
+    near, far = fragments_of_an_anchor(n=20), fragments_of_an_anchor(n=20, seed=4, block=1, pick=190)
+    for found in suffixes._repeated(pa.concat_tables([near, far]), 200, keep).to_pylist():
+        assert set(np.frombuffer(found["at"], "<u4").tolist()) == set(range(keep == "first", 20))
+
+
 def test_fragments_of_a_crowded_anchor_go_to_many_buckets(monkeypatch):
     import numpy as np
     import pyarrow as pa
